@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.functions import reformat_date, to_int, with_period
+from panelkit.functions import to_int, with_period
 from panelkit.operators.keys import KEYS, require_keys
 
 # Column names of the monthly tables and the event that counts as a notification.
@@ -58,9 +58,8 @@ def rollup_notifications(
 ) -> DataFrame:
     """Events of one kind per person and month, from ``yyyy-MM-dd`` dates."""
     chosen = event_filter(events, "main_event", event)
-    dated = chosen.withColumn("yyyymmdd", reformat_date("yyyymmdd", "yyyy-MM-dd", "yyyyMMdd"))
     return (
-        require_keys(with_period(dated), keys)
+        require_keys(with_period(chosen, fmt="yyyy-MM-dd"), keys)
         .groupBy(*keys)
         .agg(F.count("main_event").alias(N_NOTIFY))
     )
