@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions import to_int, with_period
@@ -18,10 +18,22 @@ N_VISITS = "count_distinct_region"
 NOTIFICATION = "notification"
 
 
+def _per_month(rows: DataFrame, keys: list[str], *aggs: Column) -> DataFrame:
+    """``rows`` aggregated per key, without the keys whose month is unknown.
+
+    The month is tested through a count. A test on the key itself would be moved below the
+    grouping, where every date of every row would be parsed once more for it.
+    """
+    month = keys[-1]
+    grouped = rows.groupBy(*keys).agg(*aggs, F.count(month).alias("_dated"))
+    return grouped.filter("_dated > 0").drop("_dated")
+
+
 def rollup_points(points: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Purchases per person and month.
 
-    Sum of points, lines with a store, distinct stores, distinct products; exact.
+    Sum of points, lines with a store, distinct stores, distinct products; exact. ``keys`` are
+    the person and, last, the month. Lines of unknown person or date are left out.
 
     Lines are grouped twice in one pass, by (key, store) and by (key, product); the
     second step adds the groups up per key. Against two ``count_distinct`` in one
@@ -29,7 +41,7 @@ def rollup_points(points: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     like it spreads a person-month with very many lines over its stores and products
     instead of sending all lines to one task.
     """
-    lines = require_keys(with_period(points), keys).select(
+    lines = require_keys(with_period(points, out=keys[-1]), keys[:-1]).select(
         *keys, to_int(points, "total_points").alias("points"), "storename", "productname"
     )
     groups = lines.groupingSets(
@@ -40,7 +52,9 @@ def rollup_points(points: DataFrame, keys: list[str] = KEYS) -> DataFrame:
         F.count("storename").alias("lines"),
     )
     by_store = F.col("by_store") == 1
-    return groups.groupBy(*keys).agg(
+    return _per_month(
+        groups,
+        keys,
         F.sum(F.when(by_store, F.col("points"))).alias(SUM_POINTS),
         F.sum(F.when(by_store, F.col("lines"))).alias(N_PURCHASES),
         F.count(F.when(by_store, F.col("storename"))).alias(N_STORES),
@@ -58,11 +72,8 @@ def rollup_notifications(
 ) -> DataFrame:
     """Events of one kind per person and month, from ``yyyy-MM-dd`` dates."""
     chosen = event_filter(events, "main_event", event)
-    return (
-        require_keys(with_period(chosen, fmt="yyyy-MM-dd"), keys)
-        .groupBy(*keys)
-        .agg(F.count("main_event").alias(N_NOTIFY))
-    )
+    rows = require_keys(with_period(chosen, fmt="yyyy-MM-dd", out=keys[-1]), keys[:-1])
+    return _per_month(rows, keys, F.count("main_event").alias(N_NOTIFY))
 
 
 def rollup_visits(visits: DataFrame, keys: list[str] = KEYS) -> DataFrame:
@@ -70,8 +81,5 @@ def rollup_visits(visits: DataFrame, keys: list[str] = KEYS) -> DataFrame:
 
     A plain count, although the established column name speaks of distinct regions.
     """
-    return (
-        require_keys(with_period(visits), keys)
-        .groupBy(*keys)
-        .agg(F.count("region").alias(N_VISITS))
-    )
+    rows = require_keys(with_period(visits, out=keys[-1]), keys[:-1])
+    return _per_month(rows, keys, F.count("region").alias(N_VISITS))

@@ -14,6 +14,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows of a scan that has fewer splits than the session has cores, spread over the cores.
+
+    The test tables are single files with one row group, so all work up to the first shuffle
+    would run in one task. A scan with enough splits, as any large table has, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _day(col: str, fmt: str) -> Column:
     return F.date_format(F.col(col).cast("date"), fmt)
 
@@ -50,8 +60,11 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("distinct_id"),
         _day("o_orderdate", "yyyyMMdd").alias("yyyymmdd"),
     )
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag"
+    )
     return (
-        table(spark, sf_dir, "lineitem")
+        _spread(lines)
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
