@@ -9,9 +9,11 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     VectorAssembler,
 )
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.operators.ranking import running_totals
+
 # Gender codes.
 GENDER_CODES = {"F": 2, "M": 1}
 
@@ -39,10 +41,10 @@ def numeric_features(df: DataFrame, exclude: list[str] = ()) -> list[str]:
     return [c for c, t in df.dtypes if t in ("int", "bigint") and c not in exclude]
 
 
-def category_map(df: DataFrame, cols: list[str]) -> DataFrame:
+def category_map(df: DataFrame, cols: list[str], bounded: bool = False) -> DataFrame:
     """(col, value, index) as the indexer assigns it: most frequent first, ties by text.
 
-    The window ranks categories, not rows: the same short list that a fitted indexer holds.
+    ``bounded``: see ``running_totals``; right for columns of few categories.
     """
     pairs = F.explode(
         F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("value")) for c in cols])
@@ -52,10 +54,13 @@ def category_map(df: DataFrame, cols: list[str]) -> DataFrame:
         .select("p.col", "p.value")
         .filter(F.col("value").isNotNull())
         .groupBy("col", "value")
-        .count()
+        .agg(F.count(F.lit(1)).alias("n"), F.lit(1).alias("one"))
     )
-    w = Window.partitionBy("col").orderBy(F.desc("count"), "value")
-    return counts.select("col", "value", (F.row_number().over(w) - 1).cast("double").alias("index"))
+    ranked = running_totals(counts, [F.col("col"), F.desc("n"), F.col("value")], ["one"], bounded)
+    # one row per column of ``cols``
+    starts = ranked.groupBy("col").agg(F.min("before_one").alias("start"))
+    index = (F.col("before_one") - F.col("start")).cast("double")
+    return ranked.join(F.broadcast(starts), "col").select("col", "value", index.alias("index"))
 
 
 def index_name(col: str) -> str:

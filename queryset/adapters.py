@@ -15,13 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """Rows of a scan that has fewer splits than the session has cores, spread over the cores.
+    """Rows of a scan whose splits would keep only a few of the cores busy, spread over all.
 
     The test tables are single files with one row group, so all work up to the first shuffle
     would run in one task. A scan with enough splits, as any large table has, is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 <= cores else df
 
 
 def _day(col: str, fmt: str) -> Column:
