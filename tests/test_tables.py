@@ -233,3 +233,25 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         staging.shared_folder(Session())
+
+
+@pytest.mark.parametrize("part", [None, "yyyymm"])
+def test_merge_of_nothing(spark, tmp_path, part):
+    path = str(tmp_path / "t")
+    rows = [(1, "202301", 1), (1, "202302", 2)]
+    ft.create_feature_table(_panel(spark, rows), path, partition_by=part)
+    ft.upsert_feature_table(spark, path, _panel(spark, []))
+    assert _rows(ft.read_feature_table(spark, path)) == rows
+    ft.upsert_feature_table(spark, path, _panel(spark, [(2, "202302", 3)]))
+    assert _rows(ft.read_feature_table(spark, path)) == [*rows, (2, "202302", 3)]
+
+
+def test_merge_with_most_rows_in_one_month(spark, tmp_path):
+    path = str(tmp_path / "t")
+    months = F.when(F.col("id") % 3 > 0, "202301").otherwise(F.concat(F.lit("2023"), F.lpad((F.col("id") % 12 + 1).cast("string"), 2, "0")))
+    rows = spark.range(3000).select(F.col("id").alias("distinct_id"), months.alias("yyyymm"), F.col("id").alias("x"))
+    ft.create_feature_table(rows, path, partition_by="yyyymm")
+    ft.upsert_feature_table(spark, path, rows.filter("distinct_id % 2 = 0").withColumn("x", -F.col("x")))
+    got = ft.read_feature_table(spark, path)
+    assert got.count() == 3000
+    assert got.filter("x <> if(distinct_id % 2 = 0, -distinct_id, distinct_id)").count() == 0
