@@ -1,13 +1,22 @@
-"""The corpus pipeline: documents through five stages, each written and read again."""
+"""The corpus pipeline: documents through five stages, each written and read again.
+
+A stage is a name and a function of (spark, docs, sf_dir); it works on all documents that the one before kept,
+and all but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import quality_rules
+from panelkit.llm import line_dedup, mixing, quality_rules, sentencepiece_codec, simhash
+from panelkit.llm.queries import domain
 from panelkit.sources.staging import stage
 
+# Every domain, language and source weighs the same, and 95 % of the words are taken, once at most.
+WEIGHTS, SHARE = {}, 0.95
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
@@ -15,7 +24,41 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.filter("kept").select(*docs.columns)
 
 
-STAGES = [("quality rules", quality)]
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that repeat earlier ones; ``n_chars`` follows the text. Documents that lose all
+    their lines are copies of what stays elsewhere and go."""
+    rest = line_dedup.dedup_lines(docs)
+    left = rest.filter((F.col("n_dropped") == 0) | F.col("text").rlike(r"\S"))
+    return left.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest id."""
+    gone = stage(simhash.near_duplicates(docs).filter("not kept").select("doc_id").distinct(), "copies")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the target weights take, as often as they take them."""
+    mixed = mixing.mix(docs.withColumn("domain", domain()), weights=WEIGHTS, share=SHARE)
+    taken = mixed.filter("epochs > 0").groupBy(F.col("doc_id").alias("__id")).agg(F.max("epochs").alias("__epochs"))
+    kept = docs.join(taken, docs["doc_id"].eqNullSafe(F.col("__id")))
+    copies = F.explode(F.sequence(F.lit(1), F.col("__epochs").cast("int")))
+    return kept.withColumn("__copy", copies).select(*docs.columns)
+
+
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the documents, encoded and decoded again."""
+    return sentencepiece_codec.codec_digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("simhash near-dedup", near_duplicates),
+    ("mixing to target weights", mixture),
+    ("sentencepiece encoding", pieces),
+]
 # SimHash needs XXH64, which DuckDB does not have; the tests hold the stages against brute force.
 ORACLE_SQL = None
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from panelkit.llm import quality_rules
+from panelkit.llm import line_dedup, mixing, quality_rules, queries
 
 # The words, and the windows of eight that come again, of every text.
 _RULES = r"""
 WITH docs AS (
   SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents
 ),
 windows AS (
@@ -31,7 +31,7 @@ measured AS (
          CAST(len(lines) AS BIGINT) AS n_lines,
          CAST(length(regexp_replace(text, '[\x00-\x40\x5B-\x60\x7B-\x7F]', '', 'g')) AS BIGINT) AS n_letters,
          CAST(length(regexp_replace(text, '[^A-Z]', '', 'g')) AS BIGINT) AS n_upper,
-         CAST(len(list_filter(range(2, len(words) + 1), i -> words[i] = words[i - 1])) AS BIGINT) AS n_stutters
+         CAST(len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1])) AS BIGINT) AS n_stutters
   FROM docs LEFT JOIN repeats USING (row)
 ),
 judged AS (
@@ -44,10 +44,110 @@ judged AS (
   FROM measured
 )"""
 
+# An edit leaves the first or the last nine characters of a line of 20 or more alone.
+_LINES = f"""
+WITH lines AS (
+  SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS pos, unnest(string_split(text, chr(10))) AS line
+  FROM documents
+),
+known AS (
+  SELECT line, min(doc_id * 1000000 + pos) AS first FROM lines WHERE length(line) >= {line_dedup.MIN_CHARS} GROUP BY line
+),
+pairs AS (
+  SELECT a.line, b.line AS earlier FROM known a JOIN known b
+  ON left(a.line, 9) = left(b.line, 9) AND b.first < a.first AND abs(length(a.line) - length(b.line)) <= 1
+  UNION
+  SELECT a.line, b.line AS earlier FROM known a JOIN known b
+  ON right(a.line, 9) = right(b.line, 9) AND b.first < a.first AND abs(length(a.line) - length(b.line)) <= 1
+),
+sized AS (
+  SELECT line, CASE WHEN length(line) >= length(earlier) THEN line ELSE earlier END AS x,
+         CASE WHEN length(line) >= length(earlier) THEN earlier ELSE line END AS y
+  FROM pairs
+),
+near AS (
+  SELECT DISTINCT line FROM sized
+  WHERE CASE WHEN length(x) = length(y)
+        THEN len(list_filter(range(1, length(x) + 1), lambda i: substr(x, i, 1) <> substr(y, i, 1))) <= 1
+        ELSE len(list_filter(range(1, length(x) + 1), lambda i: substr(x, 1, i - 1) || substr(x, i + 1) = y)) > 0 END
+),
+judged AS (
+  SELECT doc_id, pos, line,
+         coalesce(near.line IS NOT NULL OR first < doc_id * 1000000 + pos, false) AS gone
+  FROM lines LEFT JOIN known USING (line) LEFT JOIN near USING (line)
+),
+texts AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS rest
+  FROM judged GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped,
+       CAST(length(rest) AS BIGINT) AS n_left, sha256(rest) AS left_sha256
+FROM documents LEFT JOIN texts USING (doc_id)"""
+
+
+def _fill(name: str, nodes: str) -> str:
+    """Budgets of the children in ``nodes`` (path, parent, cap, of_parent)."""
+    return f"""
+{name} AS (
+  SELECT path, CASE WHEN ratio IS NULL THEN 0.0
+              WHEN ratio <= level THEN CAST(cap AS DOUBLE)
+              ELSE max(CASE WHEN ratio > level THEN level END) OVER (PARTITION BY parent) * weight END AS budget
+  FROM (
+    SELECT *, CASE WHEN weight > 0 THEN
+        (of_parent - coalesce(CAST(sum(cap) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS DOUBLE), 0))
+        / sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) END AS level
+    FROM (
+      SELECT n.*, coalesce(given, 1.0::DOUBLE) AS weight, CASE WHEN coalesce(given, 1.0) > 0 THEN cap / coalesce(given, 1.0::DOUBLE) END AS ratio
+      FROM ({nodes}) n LEFT JOIN weights USING (path)
+    )
+    WINDOW w AS (PARTITION BY parent ORDER BY ratio ASC NULLS LAST, path)
+  )
+)"""
+
+
+def _mixing() -> str:
+    given = ", ".join(f"({list(p)!r}, {w}::DOUBLE)" for p, w in queries.WEIGHTS.items())
+    caps = f"CAST(sum(supply) * {queries.EPOCHS} AS DOUBLE) AS cap"
+    levels = []
+    for k in range(1, len(mixing.LEVELS) + 1):
+        if k == 1:
+            of_parent = f"(SELECT floor(sum(supply) * {queries.SHARE}::DOUBLE) FROM leaves)"
+            nodes = f"SELECT path[1:1] AS path, []::VARCHAR[] AS parent, {caps}, {of_parent} AS of_parent FROM leaves GROUP BY 1"
+        else:
+            nodes = f"""SELECT c.*, p.budget AS of_parent
+      FROM (SELECT path[1:{k}] AS path, path[1:{k - 1}] AS parent, {caps} FROM leaves GROUP BY 1, 2) c
+      JOIN level{k - 1} p ON p.path = c.parent"""
+        levels.append(_fill(f"level{k}", nodes))
+    return f"""
+WITH sizes AS (
+  SELECT doc_id, ['domain' || CAST(CAST(regexp_extract(source, '(\\d+)$', 1) AS BIGINT) % {queries.DOMAINS} AS VARCHAR), lang, source] AS path,
+         CAST(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS n_tokens
+  FROM documents
+),
+leaves AS (SELECT path, sum(n_tokens) AS supply FROM sizes GROUP BY path),
+weights(path, given) AS (VALUES {given}),{",".join(levels)},
+plan AS (
+  SELECT path, CAST(supply AS BIGINT) AS supply, CAST(floor(budget) AS BIGINT) AS target
+  FROM leaves JOIN level{len(mixing.LEVELS)} USING (path)
+),
+placed AS (
+  SELECT doc_id, path, n_tokens, target // supply AS whole, target % supply AS left_over,
+         md5(concat_ws('|', '11', CAST(target // supply AS VARCHAR), CAST(doc_id AS VARCHAR))) AS place
+  FROM sizes JOIN plan USING (path)
+),
+added AS (SELECT *, sum(n_tokens) OVER (PARTITION BY path ORDER BY place) AS upto FROM placed)
+SELECT doc_id, path[1] AS domain, path[2] AS lang, path[3] AS source, n_tokens,
+       CASE WHEN n_tokens > 0 THEN whole + CASE WHEN left_over > 0 AND upto <= left_over THEN 1 ELSE 0 END ELSE 0 END AS epochs
+FROM added"""
+
+
 ORACLE = {
     "op1_quality_rules": _RULES
     + f"""
 SELECT *, failed & {quality_rules.mask("base-1")} <> 0 AS base_failed,
        failed & {quality_rules.mask("base-1") | quality_rules.mask(quality_rules.POLICY)} = 0 AS kept
 FROM judged""",
+    "op5_line_dedup": _LINES,
+    "op8_mixing": _mixing(),
 }

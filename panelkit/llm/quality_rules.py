@@ -31,21 +31,17 @@ _NOT_LETTER = bytes(b for b in range(192) if not 97 <= (b | 32) <= 122 or b >= 1
 _TIMES = np.random.default_rng(8).integers(1, 2**63, WINDOW, dtype=np.uint64) | np.uint64(1)
 
 
-def _rules() -> dict[str, tuple[int, Column]]:
-    """Bit number of each rule and when it fails. Numbers are never reused, so stored ledgers stay readable."""
-    c = F.col
-    return {
-        "few_words": (0, c("n_words") < 20),
-        "repeated_windows": (1, 100 * c("n_repeat_words") > 30 * c("n_words")),
-        "many_symbols": (2, 10 * c("n_symbols") > 2 * c("n_words")),
-        "repeated_lines": (3, 2 * c("n_dup_lines") > c("n_lines")),
-        "odd_word_length": (4, (c("word_chars") < 2 * c("n_words")) | (c("word_chars") > 20 * c("n_words"))),
-        "few_letters": (5, 2 * c("n_letters") < c("word_chars")),
-        "upper_case": (6, 2 * c("n_upper") > c("n_letters")),
-        "stutters": (7, 5 * c("n_stutters") > c("n_words")),
-    }
-
-
+# Bit number of each rule, and when it fails. Numbers are never reused, so stored ledgers stay readable.
+RULES = {
+    "few_words": (0, "n_words < 20"),
+    "repeated_windows": (1, "100 * n_repeat_words > 30 * n_words"),
+    "many_symbols": (2, "10 * n_symbols > 2 * n_words"),
+    "repeated_lines": (3, "2 * n_dup_lines > n_lines"),
+    "odd_word_length": (4, "word_chars < 2 * n_words OR word_chars > 20 * n_words"),
+    "few_letters": (5, "2 * n_letters < word_chars"),
+    "upper_case": (6, "2 * n_upper > n_letters"),
+    "stutters": (7, "5 * n_stutters > n_words"),
+}
 # The policies by name and version; rules of a policy reject, all others only measure.
 POLICIES = {
     "base-1": ["few_words", "repeated_windows"],
@@ -59,7 +55,7 @@ POLICY = "web-2"
 
 
 def _bit(rule: str) -> int:
-    return 1 << _rules()[rule][0]
+    return 1 << RULES[rule][0]
 
 
 def mask(policy: str) -> int:
@@ -131,7 +127,7 @@ def ledger(docs: DataFrame, keep: list[str] | None = None, text: str = "text") -
     that repeat an id get a row each. Columns of ``keep`` with the name of a measure are replaced.
     """
     measured = map_texts(docs, _measured, _FIELDS, text, ["doc_id"] if keep is None else keep)
-    bits = [F.when(fails, 1 << bit).otherwise(0).cast("bigint") for bit, fails in _rules().values()]
+    bits = [F.when(F.expr(fails), 1 << bit).otherwise(0).cast("bigint") for bit, fails in RULES.values()]
     failed = bits[0]
     for b in bits[1:]:
         failed = failed.bitwiseOR(b)

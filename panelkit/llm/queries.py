@@ -3,21 +3,111 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from panelkit.llm import quality_rules, token_counts
+from panelkit.llm import (
+    arrow_sequences,
+    embedding_dedup,
+    language_mixture,
+    line_dedup,
+    mixing,
+    ordinal_quality,
+    quality_rules,
+    sentencepiece_codec,
+    simhash,
+    token_counts,
+)
+
+# Fixed values of the mixing query: number of domains, weights of nodes of the tree, epochs, share of all words.
+DOMAINS = 4
+WEIGHTS = {
+    ("domain0",): 2.0,
+    ("domain3",): 0.5,
+    ("domain0", "en"): 3.0,
+    ("domain1", "en"): 2.0,
+    ("domain1", "de", "src1"): 4.0,
+}
+EPOCHS, SHARE = 2, 0.8
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def domain(source: str = "source") -> Column:
+    """Domain of a source: the number in its name, modulo DOMAINS; 'other' without a number."""
+    number = F.regexp_extract(source, r"(\d+)$", 1).try_cast("bigint")
+    return F.coalesce(F.concat(F.lit("domain"), (number % DOMAINS).cast("string")), F.lit("other"))
+
+
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(quality_rules.ledger(documents(spark, sf_dir)))
 
 
+def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_mixture.learn_and_predict(documents(spark, sf_dir))
+
+
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op4_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from the labels, predicted for all documents."""
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", ordinal_quality.grade_of().alias("grade"))
+    return ordinal_quality.predict(docs, ordinal_quality.fit(docs, labels))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = line_dedup.dedup_lines(documents(spark, sf_dir))
+    return rest.select(
+        "doc_id",
+        "n_lines",
+        "n_dropped",
+        F.length("text").cast("bigint").alias("n_left"),
+        F.sha2("text", 256).alias("left_sha256"),
+    )
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op7_token_counts)}
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).withColumn("domain", domain())
+    mixed = mixing.mix(docs, weights=WEIGHTS, epochs=EPOCHS, share=SHARE)
+    named = [F.get("path", i).alias(c) for i, c in enumerate(mixing.LEVELS)]
+    return mixed.select("doc_id", *named, "n_tokens", "epochs")
+
+
+def op9_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arrow_sequences.round_trip(
+        spark, documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1
+    )
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.codec_digests(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op2_language_mixture,
+        op3_embedding_dedup,
+        op4_ordinal_quality,
+        op5_line_dedup,
+        op6_simhash,
+        op7_token_counts,
+        op8_mixing,
+        op9_arrow_sequences,
+        op10_sentencepiece,
+    )
+}

@@ -1,0 +1,84 @@
+"""Queries with SQL against their SQL, and the pipeline against brute force."""
+
+import os
+
+import duckdb
+import public_tokenizers
+import pytest
+import sentencepiece
+
+import corpus_pipeline
+from panelkit.llm import oracle, quality_rules, queries
+from tests.llm.test_line_dedup import by_hand as lines_by_hand
+from tests.llm.test_near_duplicates import brute_fingerprint, roots
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+
+
+@pytest.mark.parametrize("name", sorted(oracle.ORACLE))
+def test_matches_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_DIR}/{t}.parquet'")
+    df = queries.QUERIES[name](spark, SF_DIR)
+    cur = con.execute(oracle.ORACLE[name])
+    names = [d[0] for d in cur.description]
+    assert sorted(df.columns) == sorted(names)
+    got = sorted((tuple(r[n] for n in names) for r in df.collect()), key=repr)
+    assert got == sorted(cur.fetchall(), key=repr)
+
+
+def letters(*numbers):
+    return "".join(chr(97 + n // 26) + chr(97 + n % 26) for n in numbers)
+
+
+def test_pipeline_as_by_hand(spark, documents):
+    body = [" ".join(letters((7 * i * k) % 91, i) for k in range(1, 60)) for i in range(30)]
+    rows = [(i, t, ["en", "de"][i % 2], f"src{i % 3}") for i, t in enumerate(body)]
+    rows += [(100, body[3], "en", "src0"), (101, body[4] + "\n" + body[5], "en", "src1"), (102, "few words", "en", "src0")]
+    rows += [(103, " ".join(reversed(body[6].split())), "en", "src1"), (104, body[7].replace(letters(49, 7), "other") + " end", "en", "src2")]
+    docs = documents(rows)
+
+    kept = corpus_pipeline.quality(spark, docs, "")
+    assert kept.columns == docs.columns
+    base = [r for r in rows if not quality_rules.measure(r[1])[0] < 20]
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r[0] for r in base)
+
+    rest = corpus_pipeline.lines(spark, kept, "")
+    want = {k: t for k, t in lines_by_hand([r[:2] for r in base]).items() if t.strip() or dict(r[:2] for r in base)[k] == t}
+    found = {r["doc_id"]: r["text"] for r in rest.collect()}
+    assert found == want and 100 not in found and 101 not in found
+    assert rest.columns == docs.columns
+
+    single = corpus_pipeline.near_duplicates(spark, rest, "")
+    prints = {i: brute_fingerprint(t) for i, t in want.items()}
+    linked = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 3]
+    root = roots(prints, linked)
+    assert sorted(r["doc_id"] for r in single.collect()) == sorted(i for i, r in root.items() if i == r)
+    assert single.columns == docs.columns
+
+    mixed = corpus_pipeline.mixture(spark, single, "")
+    assert mixed.columns == docs.columns
+    ids = [r["doc_id"] for r in mixed.collect()]
+    assert len(ids) == len(set(ids)) and set(ids) <= set(root.values())
+
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    last = {r["doc_id"]: r["n_tokens"] for r in corpus_pipeline.pieces(spark, mixed, "").collect()}
+    assert last == {i: len(model.encode(want[i], add_eos=True)) for i in ids}
+
+
+def test_pipeline_on_rows_of_any_kind(spark, documents, tmp_path):
+    good = " ".join(letters(7, i) for i in range(60))
+    docs = documents([(1, good), (1, good), (2, None), (3, ""), (None, good + " x" * 3), (4, "a" * 100_000)])
+    path = str(tmp_path / "sf")
+    docs.write.parquet(f"{path}/documents.parquet")
+    got = corpus_pipeline.run(spark, path)
+    assert "n_tokens" in got.columns and got.count() >= 1
+    docs.limit(0).write.mode("overwrite").parquet(f"{path}/documents.parquet")
+    assert corpus_pipeline.run(spark, path).count() == 0
+
+
+def test_stages_take_their_arguments():
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality rules", "line dedup", "simhash near-dedup", "mixing to target weights", "sentencepiece encoding",
+    ]

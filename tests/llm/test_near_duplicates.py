@@ -1,0 +1,188 @@
+import math
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from panelkit.llm import blocks, embedding_dedup, simhash
+from panelkit.llm.components import components
+
+VECTORS = "vec_id bigint, label int, embedding array<float>"
+
+
+def roots(ids, linked):
+    """Smallest id of each component, by hand."""
+    root = {i: i for i in ids}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in linked:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    return {i: find(i) for i in ids}
+
+
+@pytest.mark.parametrize("kind", ["path", "star", "random", "cycle", "empty", "loops"])
+def test_components(spark, kind):
+    rng = random.Random(7)
+    links = {
+        "path": [(i, i + 1) for i in range(200)],
+        "star": [(500, i) for i in range(300)],
+        "random": [(rng.randrange(400), rng.randrange(400)) for _ in range(260)],
+        "cycle": [(i, (i + 1) % 50) for i in range(50)] * 2,
+        "empty": [],
+        "loops": [(1, 1), (2, 2), (3, 4), (4, 3), (None, 5), (6, None)],
+    }[kind]
+    rng.shuffle(links)
+    got = components(spark.createDataFrame(links, "a bigint, b bigint")).collect()
+    real = [(a, b) for a, b in links if a is not None and b is not None and a != b]
+    assert {r["id"]: r["component_id"] for r in got} == roots({i for e in real for i in e}, real)
+    assert len(got) == len({r["id"] for r in got})
+
+
+def brute_vectors(rows, similarity):
+    def unit(v):
+        if not v or any(x is None or not math.isfinite(x) for x in v) or not any(v):
+            return None
+        v = np.array(v, np.float32).astype(np.float64)
+        return v / np.linalg.norm(v)
+
+    units = [unit(v) if label is not None and i is not None else None for i, label, v in rows]
+    n, linked = [0] * len(rows), []
+    for a in range(len(rows)):
+        for b in range(a):
+            u, v = units[a], units[b]
+            if u is not None and v is not None and len(u) == len(v) and rows[a][1] == rows[b][1] and u @ v >= similarity:
+                n[a] += 1
+                n[b] += 1
+                linked.append((rows[a][0], rows[b][0]))
+    part = roots({r[0] for r in rows if r[0] is not None}, linked)
+    return sorted(((r[0], k, part.get(r[0])) for r, k in zip(rows, n, strict=True)), key=repr)
+
+
+def cloud(n, seed, dim=16):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((6, dim))
+    rows = []
+    for i in range(n):
+        v = centres[rng.integers(6)] + rng.normal(0, 0.22, dim)
+        rows.append((i, int(rng.integers(2)), [float(np.float32(x)) for x in v]))
+    return rows
+
+
+def test_vectors_as_by_hand(spark, monkeypatch):
+    rows = cloud(160, 1)
+    rows += [(1000 + i, rows[i][1], rows[i][2]) for i in range(30)]  # copies
+    rows += [(2000, 0, [2 * x for x in rows[0][2]]), (2001, 1 - rows[0][1], rows[0][2])]
+    rows += [(3000 + k, 0, v) for k, v in enumerate([None, [], [0.0] * 16, [math.nan] * 16, [math.inf] + [1.0] * 15, [1.0] * 8])]
+    rows += [(3100, 0, [None] + [1.0] * 15), (3101, None, rows[0][2]), (None, 0, rows[0][2]), (5, rows[5][1], rows[5][2])]
+    rows += [(3200, 0, [1.0] * 8)]
+    table = spark.createDataFrame(rows, VECTORS).withColumn("bucket", F.lit("x")).withColumn("n_links", F.lit("y"))
+    want = brute_vectors(rows, 0.93)
+    for block, group in ((512, 4096), (8, 64)):  # a bucket in one block, and in many
+        monkeypatch.setattr(blocks, "BLOCK", block)
+        monkeypatch.setattr(blocks, "GROUP", group)
+        got = embedding_dedup.near_duplicates(table).collect()
+        assert sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in got), key=repr) == want
+    for r in got:
+        assert r["kept"] == (r["vec_id"] is None or r["vec_id"] == r["component_id"])
+    assert embedding_dedup.near_duplicates(table.limit(0)).count() == 0
+
+
+def test_vectors_of_the_test_table(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = [(r["vec_id"], r["label"], r["embedding"]) for r in table.collect()]
+    got = [(r["vec_id"], r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicates(table).collect()]
+    assert sorted(got, key=repr) == brute_vectors(rows, 0.93)
+
+
+def test_recall_of_sign_hashing():
+    """Pairs at the very threshold are found with a probability of 0.99."""
+    rng = np.random.default_rng(3)
+    a, b = rng.standard_normal((2, 4000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    other = 0.93 * a + math.sqrt(1 - 0.93**2) * b
+    codes = [embedding_dedup.sign_codes(x, embedding_dedup.TABLES, embedding_dedup.BITS) for x in (a, other)]
+    assert (codes[0] == codes[1]).any(axis=1).mean() > 0.98
+
+
+def brute_fingerprint(text, size=3):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = [w.decode() for w in low.encode().split()]
+    if not words:
+        return 0
+    parts = [" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))]
+    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_fingerprints_as_by_hand(spark, documents):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["Ab", "é", "c\x0b", "ÀB", "x"]) for _ in range(rng.randint(0, 9))) for _ in range(200)]
+    texts += [None, "", " \n", "a", "A", "a\x1cb", "a\x85b \x0c c", "long " * 40_000]
+    for t in texts:
+        assert simhash.fingerprint(t) & (2**64 - 1) == brute_fingerprint(t)
+    got = simhash.near_duplicates(documents(texts)).collect()
+    assert {r["doc_id"]: r["fingerprint"] for r in got} == {
+        i: f"{brute_fingerprint(t):016x}" for i, t in enumerate(texts)
+    }
+    # Spark's own hash of a shingle is the same
+    own = spark.createDataFrame([("a b é",)], "s string").select(F.xxhash64("s")).first()[0]
+    assert own % 2**64 == xxhash.xxh64_intdigest("a b é".encode(), 42)
+
+
+@pytest.mark.parametrize("distance", [3, 2, 0])
+def test_links_lose_no_pair(spark, monkeypatch, distance):
+    rng = random.Random(11)
+    prints = {0, 2**64 - 1}
+    for _ in range(25):
+        x = rng.getrandbits(64)
+        prints.add(x)
+        for _ in range(12):
+            for b in rng.sample(range(64), rng.randint(1, 4)):
+                x ^= 1 << b
+            prints.add(x)
+    rows = [(i, x - 2**64 if x >= 2**63 else x) for i, x in enumerate(sorted(prints))]
+    table = spark.createDataFrame(rows, "rep bigint, fp bigint")
+    linked = [
+        (i, j) for i, x in rows for j, y in rows if i < j and ((x ^ y) & (2**64 - 1)).bit_count() <= distance
+    ]
+    want = {i: r for i, r in roots(range(len(rows)), linked).items() if i != r}
+    for block in (512, 4):
+        monkeypatch.setattr(blocks, "BLOCK", block)
+        got = components(simhash.links(table, distance), "id", "low").filter("id != component_id").collect()
+        assert {r["id"]: r["component_id"] for r in got} == want
+
+
+def test_chain_budgets_hold_for_every_close_pair():
+    """Any two fingerprints within 3 bits have a chain: the theorem that the filter rests on, for all 0 to 3 bits of
+    a random pattern over the four segments."""
+    rng = random.Random(2)
+    for _ in range(3000):
+        x = rng.getrandbits(64)
+        y = x
+        for b in rng.sample(range(64), rng.randint(0, 3)):
+            y ^= 1 << b
+        pair = [np.array([[v]], np.uint64) for v in (x, y)]
+        assert any(simhash._check_chain(*pair, np.array([[s]]), 3)[0, 0] for s in range(4))
+
+
+def test_texts_link_and_edges_are_defined(spark, documents):
+    body = " ".join(f"word{i}" for i in range(400))
+    rows = [(5, body), (3, body), (9, body + " more"), (4, None), (8, ""), (7, "other words here"), (7, "something else now"),
+            (None, body), (6, "other  words\there")]
+    docs = documents(rows).withColumn("fp", F.lit("x")).withColumn("kept", F.lit("y"))
+    got = simhash.near_duplicates(docs).collect()
+    by_id = {(r["doc_id"], r["fingerprint"]): r for r in got}
+    assert len(got) == len(rows)
+    assert all(r["component_id"] is None and r["kept"] for r in got if r["doc_id"] is None)
+    part = {k[0]: r["component_id"] for k, r in by_id.items() if k[0] is not None}
+    assert part[5] == part[3] == 3 and part[8] == part[4] == 4 and part[6] == part[7] == 6
+    assert simhash.near_duplicates(docs.limit(0)).count() == 0
