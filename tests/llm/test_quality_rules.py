@@ -44,7 +44,7 @@ def test_ledger_and_verdicts(spark, documents):
     assert [r["kept"] for r in got] == [True, False, False, False, False, False, False, True, True, True]
     assert [r["base_failed"] for r in got] == [False, True, True, True, True, False, True, False, False, False]
     symbols = got[5]
-    assert symbols["failed"] == 1 << 2
+    assert symbols["failed"] == 1 << 2 | 1 << 5
     wide = docs.withColumn("n_words", docs["doc_id"]).withColumn("failed", docs["text"])
     again = q.verdicts(q.ledger(wide, wide.columns)).select("doc_id", "kept", "n_words", "failed").collect()
     assert [(r["kept"], r["n_words"], r["failed"]) for r in again] == [(r["kept"], r["n_words"], r["failed"]) for r in got]
