@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from panelkit.llm.blocks import block_pairs, compare, forest
 from panelkit.llm.components import components
@@ -33,7 +33,7 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 def sign_codes(vectors: np.ndarray, tables: int, bits: int) -> np.ndarray:
     """One number per vector and table: the sides of ``bits`` random hyperplanes that the vector lies on."""
     signs = _unit(vectors) @ _planes(vectors.shape[1], tables, bits) > 0
-    return signs.reshape(len(vectors), tables, bits) @ (1 << np.arange(bits, dtype=np.int64))
+    return signs.reshape(len(vectors), tables, bits) @ (1 << np.arange(bits, dtype=np.int32))
 
 
 def _usable(vector) -> F.Column:
@@ -50,7 +50,7 @@ def _coded(reps: DataFrame, tables: int, bits: int) -> DataFrame:
             sizes = np.diff(lists.offsets.to_numpy())
             values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             ends = np.cumsum(sizes)
-            codes = np.zeros((len(sizes), tables), np.int64)
+            codes = np.zeros((len(sizes), tables), np.int32)
             for dim in np.unique(sizes):
                 rows = np.flatnonzero(sizes == dim)
                 codes[rows] = sign_codes(values[(ends[rows] - dim)[:, None] + np.arange(dim)], tables, bits)
@@ -58,7 +58,7 @@ def _coded(reps: DataFrame, tables: int, bits: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*part.columns, made], names=["first", "copies", "label", "vector", "codes"])
 
     plain = reps.select("first", "copies", "label", "vector")
-    return plain.mapInArrow(code, StructType([*plain.schema.fields, StructField("codes", ArrayType(LongType()))]))
+    return plain.mapInArrow(code, StructType([*plain.schema.fields, StructField("codes", ArrayType(IntegerType()))]))
 
 
 def near_duplicates(
@@ -73,16 +73,15 @@ def near_duplicates(
     of zeros only or with a null, NaN or infinite number, and vectors of different lengths. A null id has a null
     component and is kept. Rows that repeat an id count as rows. An empty table gives no rows.
     """
-    source = rows.select("vec_id", "label", F.col(f"`{vector}`").cast("array<double>").alias("vector"))
+    kept_type = dict(rows.dtypes)[vector] in ("array<float>", "array<double>")
+    numbers = F.col(f"`{vector}`") if kept_type else F.col(f"`{vector}`").cast("array<double>")
+    source = rows.select("vec_id", "label", numbers.alias("vector"))
     usable = _usable(F.col("vector")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     same = source.filter(usable).groupBy("label", "vector")
     reps = same.agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"))
     # numbered as they are written, so that every later reading sees one number for a distinct vector
     coded = stage(_coded(reps, tables, bits).withColumn("id", F.monotonically_increasing_id()), "codes")
-    in_buckets = coded.drop("first").select("*", F.posexplode("codes").alias("t", "code")).withColumn(
-        "bucket", F.xxhash64("label", F.size("vector"), "t", "code")
-    )
-    found = stage(_links(in_buckets.withColumn("label", F.xxhash64("label")), similarity), "links")
+    found = stage(_links(coded, similarity), "links")
 
     linked = found.groupBy("id").agg(F.sum("n").alias("linked"))
     rooted = coded.drop("codes").join(linked, "id", "left").join(components(found, "id", "low"), "id", "left")
@@ -98,13 +97,20 @@ def near_duplicates(
     ).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
 
-def _links(rows: DataFrame, similarity: float) -> DataFrame:
+def _links(coded: DataFrame, similarity: float) -> DataFrame:
     """(id, low, n): for pairs of blocks, the vectors with links, how many rows they link with, and the smallest id
-    of their block pair that they reach. A pair of vectors counts in the first table that puts both in a bucket."""
+    of their block pair that they reach. A pair of vectors counts in the first table that puts both in a bucket.
+
+    Buckets and blocks are made of numbers; the vectors join what is left of them.
+    """
+    in_buckets = coded.select("id", "label", F.size("vector").alias("size"), F.posexplode("codes").alias("t", "code"))
+    narrow = in_buckets.select("id", "t", F.xxhash64("label", "size", "t", "code").alias("bucket"))
+    pairs = block_pairs(stage(narrow, "buckets"), "id")
+    wide = pairs.join(coded.select("id", "copies", F.xxhash64("label").alias("label"), "vector", "codes"), "id")
 
     def load(group: pd.DataFrame) -> dict[str, np.ndarray]:
         size = group["vector"].map(len).to_numpy()
-        vectors = np.zeros((len(group), size.max()))
+        vectors = np.zeros((len(group), size.max()), np.float64)
         for i, v in enumerate(group["vector"]):
             vectors[i, : len(v)] = v
         codes = np.stack(group["codes"].to_numpy())
@@ -129,5 +135,4 @@ def _links(rows: DataFrame, similarity: float) -> DataFrame:
         n, low = np.r_[n, m], np.r_[low, low_other]
         return ids[n > 0], low[n > 0], n[n > 0]
 
-    # written once: the blocks read it twice
-    return compare(block_pairs(stage(rows, "buckets"), "id"), load, each, "id bigint, low bigint, n bigint")
+    return compare(wide, load, each, "id bigint, low bigint, n bigint")
