@@ -41,10 +41,10 @@ def numeric_features(df: DataFrame, exclude: list[str] = ()) -> list[str]:
     return [c for c, t in df.dtypes if t in ("int", "bigint") and c not in exclude]
 
 
-def category_map(df: DataFrame, cols: list[str], bounded: bool = False) -> DataFrame:
+def category_map(df: DataFrame, cols: list[str]) -> DataFrame:
     """(col, value, index) as the indexer assigns it: most frequent first, ties by text.
 
-    ``bounded``: see ``running_totals``; right for columns of few categories.
+    Runs jobs when called: see ``running_totals``.
     """
     pairs = F.explode(
         F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("value")) for c in cols])
@@ -56,7 +56,7 @@ def category_map(df: DataFrame, cols: list[str], bounded: bool = False) -> DataF
         .groupBy("col", "value")
         .agg(F.count(F.lit(1)).alias("n"), F.lit(1).alias("one"))
     )
-    ranked = running_totals(counts, [F.col("col"), F.desc("n"), F.col("value")], ["one"], bounded)
+    ranked = running_totals(counts, [F.col("col"), F.desc("n"), F.col("value")], ["one"])
     # one row per column of ``cols``
     starts = ranked.groupBy("col").agg(F.min("before_one").alias("start"))
     index = (F.col("before_one") - F.col("start")).cast("double")

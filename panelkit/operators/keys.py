@@ -34,7 +34,7 @@ def key_violations(df: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     )
 
 
-def dedup_latest(df: DataFrame, keys: list[str] = KEYS, order: list | None = None) -> DataFrame:
+def dedup_first(df: DataFrame, keys: list[str] = KEYS, order: list | None = None) -> DataFrame:
     """One row per key: the first by ``order``, by default by all other columns.
 
     The order has to tell the copies apart for the survivor to be the same on every

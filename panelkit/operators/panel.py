@@ -32,7 +32,7 @@ def assemble_panel(
     the spine itself.
 
     Every input has to be unique on the keys (rollups are; pass the spine through
-    ``dedup_latest``). All joins then use one key order, so each table is shuffled
+    ``dedup_first``). All joins then use one key order, so each table is shuffled
     once, no key is hot, and nothing is broadcast except by Spark's own size check.
     """
     if nest:

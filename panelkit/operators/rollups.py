@@ -18,6 +18,16 @@ N_VISITS = "count_distinct_region"
 NOTIFICATION = "notification"
 
 
+def _dated(rows: DataFrame, fmt: str, keys: list[str]) -> DataFrame:
+    """``rows`` of known person with their month, each date parsed once.
+
+    The month comes out of a one-element array: a condition on it, such as a later join on the key brings
+    along, stays above that step. Otherwise it would be moved down and parse every date of every row again.
+    """
+    dated = with_period(rows, fmt=fmt, out="_month").withColumn(keys[-1], F.explode(F.array("_month")))
+    return require_keys(dated, keys[:-1]).drop("_month")
+
+
 def _per_month(rows: DataFrame, keys: list[str], *aggs: Column) -> DataFrame:
     """``rows`` aggregated per key, without the keys whose month is unknown.
 
@@ -72,7 +82,7 @@ def rollup_notifications(
 ) -> DataFrame:
     """Events of one kind per person and month, from ``yyyy-MM-dd`` dates."""
     chosen = event_filter(events, "main_event", event)
-    rows = require_keys(with_period(chosen, fmt="yyyy-MM-dd", out=keys[-1]), keys[:-1])
+    rows = _dated(chosen, "yyyy-MM-dd", keys)
     return _per_month(rows, keys, F.count("main_event").alias(N_NOTIFY))
 
 
@@ -81,5 +91,5 @@ def rollup_visits(visits: DataFrame, keys: list[str] = KEYS) -> DataFrame:
 
     A plain count, although the established column name speaks of distinct regions.
     """
-    rows = require_keys(with_period(visits, out=keys[-1]), keys[:-1])
+    rows = _dated(visits, "yyyyMMdd", keys)
     return _per_month(rows, keys, F.count("region").alias(N_VISITS))

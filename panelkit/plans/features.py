@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
 
-from panelkit.operators.keys import KEYS, dedup_latest
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from panelkit.operators.keys import KEYS, dedup_first, require_keys
 from panelkit.operators.panel import add_future_value, assemble_panel, fill_features
 from panelkit.operators.rollups import (
     N_NOTIFY,
@@ -33,7 +36,7 @@ def monthly_panel(
     joined tables are unique on the keys, so the result is the same as after.
     """
     return assemble_panel(
-        dedup_latest(people),
+        dedup_first(people),
         rollup_points(points),
         [rollup_notifications(events), rollup_visits(visits)],
         nest=nest,
@@ -48,6 +51,18 @@ def feature_panel(
     return add_future_value(fill_features(panel, FEATURES))
 
 
+def months_before(month: str, n: int) -> str:
+    """The month key ``n`` months before another."""
+    at = int(month[:4]) * 12 + int(month[4:]) - 1 - n
+    return f"{at // 12:04d}{at % 12 + 1:02d}"
+
+
+def _within(col: str, months: tuple[str, str], dash: str = "") -> Column:
+    """Date texts of these months, by a comparison of texts, which reaches the Parquet scan."""
+    low, high = (f"{m[:4]}{dash}{m[4:]}" for m in months)
+    return F.col(col).between(f"{low}{dash}01", f"{high}{dash}31")
+
+
 def build_feature_table(
     spark: SparkSession,
     people: str,
@@ -56,21 +71,37 @@ def build_feature_table(
     visits: str,
     table: str,
     description: str = "",
-    id_type: str = "bigint",
+    id_type: str | None = None,
     partition_by: str | None = KEYS[1],
     update: bool = False,
-) -> None:
+    months: tuple[str, str] | None = None,
+    overlap: int = 1,
+) -> int:
     """Read the raw tables at the given paths and store their panel as a feature table.
 
-    ``update`` merges into the table at ``table``, otherwise it is created.
+    ``update`` merges into the table at ``table``, otherwise it is created. ``months``, the first and last as
+    ``yyyyMM``, restricts every scan to these months and ``overlap`` months before them: a person's last stored
+    month gets its value to predict only when the next one comes. A person whose last row lies more than
+    ``overlap`` months back needs a larger one. Dates that are no dates are left out with and without ``months``.
+
+    Rows of ``people`` without id or month are set aside in ``<table>/rejects`` before anything else is computed;
+    gives their number.
     """
-    panel = feature_panel(
-        read_people(spark, people, id_type),
-        read_points(spark, points, id_type),
-        read_app_events(spark, events, id_type),
-        read_visits(spark, visits, id_type),
-    )
+    spine = read_people(spark, people, id_type)
+    lines, log = read_points(spark, points, id_type), read_app_events(spark, events, id_type)
+    calls = read_visits(spark, visits, id_type)
+    bad = spine.filter(F.col(KEYS[0]).isNull() | F.col(KEYS[1]).isNull())
+    if months is not None:
+        span = (months_before(months[0], overlap), months[1])
+        spine = spine.filter(F.col(KEYS[1]).between(*span))
+        lines, calls = lines.filter(_within("yyyymmdd", span)), calls.filter(_within("yyyymmdd", span))
+        log = log.filter(_within("yyyymmdd", span, "-"))
+    rejected = bad.count()
+    if rejected:
+        bad.write.parquet(f"{table}/rejects/{uuid.uuid4().hex}")
+    panel = feature_panel(require_keys(spine), lines, log, calls)
     if update:
         upsert_feature_table(spark, table, panel)
     else:
         create_feature_table(panel, table, KEYS, description, partition_by)
+    return rejected

@@ -19,6 +19,7 @@ from panelkit.operators.encode import (
 from panelkit.operators.keys import KEYS
 from panelkit.operators.panel import FUTURE
 from panelkit.operators.split import hash_split, split_parts
+from panelkit.sources.staging import stage
 
 LABEL = index_name("label")
 
@@ -31,14 +32,23 @@ def training_rows(panel: DataFrame) -> DataFrame:
 def prepare(
     panel: DataFrame, train_pct: int = 70, seed: int = 42, by: str | None = None
 ) -> tuple[DataFrame, DataFrame, PipelineModel]:
-    """(train, test, fitted preprocessing): features learnt on the training part only."""
-    rows = training_rows(panel)
+    """(train, test, fitted preprocessing): features learnt on the training part only.
+
+    The rows are written once when this is called, as the fitting reads them several times.
+    """
+    rows = stage(training_rows(panel), "training")
     train, test = split_parts(hash_split(rows, KEYS, train_pct, seed, by))
     numeric = numeric_features(train, exclude=[*KEYS, "gender", "label"])
     steps = feature_pipeline(["gender"], numeric, "label").fit(train)
     return steps.transform(train), steps.transform(test), steps
 
 
+def label_names(steps: PipelineModel, label: str = "label") -> list[str]:
+    """What each index of the label stands for: the indexer numbers the values by their frequency."""
+    indexer = steps.stages[0]
+    return list(indexer.labelsArray[indexer.getInputCols().index(label)])
+
+
 def train_forest(
     train: DataFrame,
     max_depth: int = 5,

@@ -1,9 +1,9 @@
 """Scans of the four raw tables.
 
-Each reader picks its columns by name, so only they are read from Parquet, and brings
-them to the types the rollups expect; values that do not convert become null. ``id_type``
-is the type of the person id, 'string' for ids that are not numbers; give all four tables the
-same.
+Each reader picks its columns by name, so only they are read from Parquet. The person id keeps the type
+it is stored with (text in CSV files): '007' and '7' are two people. Give ``id_type`` only where the tables
+store one id in different types; an id that does not convert then stops the read, it never becomes null.
+Other columns are brought to the types the rollups expect; values that do not convert become null there.
 """
 
 from __future__ import annotations
@@ -11,47 +11,58 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+ID = "distinct_id"
 
-def _typed(df: DataFrame, types: dict[str, str | None]) -> DataFrame:
+
+def _typed(df: DataFrame, types: dict[str, str | None], id_type: str | None) -> DataFrame:
     """Columns of ``types`` in that order; None keeps the stored type."""
     stored = dict(df.dtypes)
-    return df.select(
-        *[
-            F.col(c) if t in (None, stored[c]) else F.col(c).try_cast(t).alias(c)
-            for c, t in types.items()
-        ]
-    )
+
+    def column(name: str, wanted: str | None):
+        if name == ID and id_type not in (None, stored[name]):
+            value = F.col(name).try_cast(id_type)
+            message = F.concat(F.lit(f"{ID} is no {id_type}: "), F.col(name).cast("string"))
+            lost = F.col(name).isNotNull() & value.isNull()
+            return F.when(lost, F.raise_error(message).cast(id_type)).otherwise(value).alias(name)
+        return F.col(name) if wanted in (None, stored[name]) else F.col(name).try_cast(wanted).alias(name)
+
+    return df.select(*[column(c, t) for c, t in types.items()])
 
 
-def read_people(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
+def read_people(spark: SparkSession, path: str, id_type: str | None = None) -> DataFrame:
     """Spine: one row per person and month, Parquet."""
-    types = {"distinct_id": id_type, "age": "int", "gender": "string", "yyyymm": "string"}
-    return _typed(spark.read.parquet(path), types)
+    types = {ID: None, "age": "int", "gender": "string", "yyyymm": "string"}
+    return _typed(spark.read.parquet(path), types, id_type)
 
 
-def read_points(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
+def read_points(spark: SparkSession, path: str, id_type: str | None = None) -> DataFrame:
     """Purchase lines with ``yyyyMMdd`` dates, Parquet; points may be stored as text."""
     types = {
         "total_points": None,
         "storename": "string",
         "productname": "string",
-        "distinct_id": id_type,
+        ID: None,
         "yyyymmdd": "string",
     }
-    return _typed(spark.read.parquet(path), types)
+    return _typed(spark.read.parquet(path), types, id_type)
 
 
-def read_visits(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
+def read_visits(spark: SparkSession, path: str, id_type: str | None = None) -> DataFrame:
     """Visits with ``yyyyMMdd`` dates, Parquet."""
-    types = {"distinct_id": id_type, "yyyymmdd": "string", "region": "string"}
-    return _typed(spark.read.parquet(path), types)
+    types = {ID: None, "yyyymmdd": "string", "region": "string"}
+    return _typed(spark.read.parquet(path), types, id_type)
 
 
-def read_app_events(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
-    """App events with ``yyyy-MM-dd`` dates, CSV with a header.
+def read_app_events(
+    spark: SparkSession, path: str | list[str], id_type: str | None = None, header: list[str] | None = None
+) -> DataFrame:
+    """App events with ``yyyy-MM-dd`` dates, CSV files with a header; all columns are text.
 
-    All columns of the file are text; the header gives the names, so order and
-    further columns do not matter.
+    ``header`` names the columns of the files in their order, by default as the first file has them. A file with
+    another header stops the read with an error; read files of another order on their own, with theirs.
     """
-    types = {"distinct_id": id_type, "yyyymmdd": "string", "main_event": "string"}
-    return _typed(spark.read.option("header", True).csv(path), types)
+    types = {ID: None, "yyyymmdd": "string", "main_event": "string"}
+    reader = spark.read.option("header", True)
+    names = reader.csv(path).columns if header is None else header
+    schema = ", ".join(f"`{c}` string" for c in names)
+    return _typed(reader.schema(schema).option("enforceSchema", False).csv(path), types, id_type)

@@ -2,30 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from panelkit.sources.folders import drop_folder, list_folder
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="panelkit-")
+_STAGED = re.compile(r"[\w-]+-[0-9a-f]{32}")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session.
+    """``spark.checkpoint.dir`` of the session; where it is unset, a folder in the warehouse.
 
-    Where it is unset a local session gets a temporary folder; a cluster gets an error,
-    as its machines do not see each other's temporary folders.
+    Both are shared by all machines of a cluster; a machine's own temporary folder is never used.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return _local_folder()
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging"
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -37,9 +30,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """``df`` computed once, written as Parquet and read back.
 
     For results that are read several times, or that must not change between two
-    readings. Lost executors cost a re-read, never a re-computation.
+    readings. Lost executors cost a re-read, never a re-computation. The table stays until
+    ``drop_staged`` or the owner of the folder removes it.
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Remove everything staged under the shared folder, by this session and by others: call it when no job runs."""
+    for name in list_folder(spark, shared_folder(spark)):
+        if _STAGED.fullmatch(name):
+            drop_folder(spark, f"{shared_folder(spark)}/{name}")

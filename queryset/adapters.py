@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The 24 months of the spine; every 50th customer is listed twice.
-FIRST_MONTH, LAST_MONTH = "1997-01-01", "1998-12-01"
+# Fixed value: every 50th customer is listed twice.
 LISTED_TWICE = 50
 
 
@@ -14,24 +13,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Rows of a scan whose splits would keep only a few of the cores busy, spread over all.
-
-    The test tables are single files with one row group, so all work up to the first shuffle
-    would run in one task. A scan with enough splits, as any large table has, is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 <= cores else df
-
-
 def _day(col: str, fmt: str) -> Column:
     return F.date_format(F.col(col).cast("date"), fmt)
 
 
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
-    month = F.explode(
-        F.sequence(F.lit(FIRST_MONTH).cast("date"), F.lit(LAST_MONTH).cast("date"), F.expr("interval 1 month"))
-    )
+    """Every customer in every month from the first order to the last."""
+    order_month = F.trunc(F.col("o_orderdate").cast("date"), "month")
+    span = table(spark, sf_dir, "orders").agg(F.sequence(F.min(order_month), F.max(order_month), F.expr("interval 1 month")))
+    month = F.explode(span.scalar())
     copies = F.when(F.col("distinct_id") % LISTED_TWICE == 0, 2).otherwise(1)
     return (
         table(spark, sf_dir, "customer")
@@ -64,7 +54,7 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag"
     )
     return (
-        _spread(lines)
+        lines
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -100,3 +90,26 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(F.col("o_orderstatus") != "P", F.col("r_name")).alias("region"),
         )
     )
+
+
+def write_raw(spark: SparkSession, sf_dir: str, folder: str, id_column: Column | None = None) -> dict[str, str]:
+    """The four raw tables written under ``folder``, three as Parquet and the events as CSV; gives their paths.
+
+    ``id_column`` replaces the person id.
+    """
+    made = {"people": people, "points": points, "events": app_events, "visits": visits}
+    paths = {name: f"{folder}/{name}" for name in made}
+    for name, read in made.items():
+        rows = read(spark, sf_dir)
+        rows = rows if id_column is None else rows.withColumn("distinct_id", id_column)
+        if name == "events":
+            rows.write.option("header", True).csv(paths[name])
+        else:
+            rows.write.parquet(paths[name])
+    return paths
+
+
+def month_span(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """First and last month of the orders."""
+    key = F.date_format(F.col("o_orderdate").cast("date"), "yyyyMM")
+    return tuple(table(spark, sf_dir, "orders").agg(F.min(key), F.max(key)).first())

@@ -9,7 +9,11 @@ WITH people AS (
          CASE c_mktsegment WHEN 'BUILDING' THEN 'F' WHEN 'MACHINERY' THEN 'M' END AS gender,
          strftime(m.month, '%Y%m') AS yyyymm
   FROM customer
-  CROSS JOIN (SELECT unnest(generate_series(DATE '1997-01-01', DATE '1998-12-01', INTERVAL 1 MONTH)) AS month) m
+  CROSS JOIN (
+    SELECT unnest(generate_series(
+      CAST((SELECT date_trunc('month', min(o_orderdate)) FROM orders) AS DATE),
+      CAST((SELECT date_trunc('month', max(o_orderdate)) FROM orders) AS DATE), INTERVAL 1 MONTH)) AS month
+  ) m
   CROSS JOIN (SELECT unnest([1, 2]) AS copy) c
   WHERE copy = 1 OR c_custkey % 50 = 0
 ),
@@ -146,12 +150,8 @@ area AS (
 
 
 def _standardized() -> str:
-    cols = [
-        "age", "sum_total_points", "count_consumption", "count_store_distinct",
-        "count_product_distinct", "count_notify", "count_distinct_region",
-    ]
-    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in cols)
-    out = ", ".join(f"round(({c} - m_{c}) / s_{c}, 6) AS {c}" for c in cols)
+    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in _NUMBERS)
+    out = ", ".join(f"round(({c} - m_{c}) / s_{c}, 6) AS {c}" for c in _NUMBERS)
     return (
         _TRAINING
         + f", stats AS (SELECT {stats} FROM training WHERE {_ROW_SPLIT} = 'train')"
@@ -171,6 +171,111 @@ def _rule_runs() -> str:
 
 _RUN_COLUMNS = "SELECT run_id, run_name, threshold, round(-auc, 9) AS negative_auc FROM rules"
 
+_REPORT = """,
+probs AS (
+  SELECT y, least(greatest(sum_total_points / (sum_total_points + 50.0::DOUBLE), 1e-15), 1 - 1e-15) AS p FROM rule
+),
+loss AS (SELECT -avg(CASE WHEN y = 1 THEN ln(p) ELSE ln(1 - p) END) AS log_loss FROM probs),
+rates AS (
+  SELECT *, tp + fp + fn + tn AS n, tp + fn AS n1, tn + fp AS n0,
+         tp / (tp + fp) AS pr1, tp / (tp + fn) AS re1, tn / (tn + fn) AS pr0, tn / (tn + fp) AS re0
+  FROM cells
+),
+f AS (SELECT *, 2 * pr1 * re1 / (pr1 + re1) AS f1, 2 * pr0 * re0 / (pr0 + re0) AS f0 FROM rates),
+report AS (
+  SELECT 'n' AS metric, n AS value FROM f
+  UNION ALL SELECT 'n_left_out', 0.0::DOUBLE
+  UNION ALL SELECT 'accuracy', (tp + tn) / n FROM f
+  UNION ALL SELECT 'precision', pr1 FROM f
+  UNION ALL SELECT 'recall', re1 FROM f
+  UNION ALL SELECT 'f1', f1 FROM f
+  UNION ALL SELECT 'weighted_precision', (n1 * pr1 + n0 * pr0) / n FROM f
+  UNION ALL SELECT 'weighted_recall', (n1 * re1 + n0 * re0) / n FROM f
+  UNION ALL SELECT 'weighted_f1', (n1 * f1 + n0 * f0) / n FROM f
+  UNION ALL SELECT 'auc', (re1 + re0) / 2 FROM f
+  UNION ALL SELECT 'log_loss', log_loss FROM loss
+  UNION ALL SELECT 'auc_score', (rank_sum - p * (p + 1) / 2) / (p * q) FROM area
+)
+SELECT metric, round(value, 9) AS value FROM report"""
+
+# The parameters that the search draws with its seed, trial by trial.
+_TRIALS = [(4, 12), (3, 30), (4, 71), (5, 18)]
+
+
+def _stump() -> str:
+    """The best of the three splits by Gini impurity of the training part, and the shares of its leaves."""
+    splits = [("gender", 0.5), ("gender", 1.5), ("bought", 0.5)]
+    tried = " UNION ALL ".join(
+        f"SELECT '{c}' AS col, {at}::DOUBLE AS threshold, {c} <= {at} AS is_left, count(*) AS n, sum(label) AS p "
+        f"FROM rows WHERE split = 'train' GROUP BY ALL"
+        for c, at in splits
+    )
+    return (
+        _TRAINING
+        + f""",
+rows AS (
+  SELECT *, CASE WHEN sum_total_points > 0 THEN 1 ELSE 0 END AS bought, {_ROW_SPLIT} AS split FROM training
+),
+sides AS ({tried}),
+chosen AS (
+  SELECT col, threshold FROM sides GROUP BY col, threshold HAVING count(*) = 2
+  ORDER BY sum(2.0::DOUBLE * p * (n - p) / n) LIMIT 1
+),
+leaves AS (SELECT s.*, CAST(p AS DOUBLE) / n AS share FROM sides s JOIN chosen USING (col, threshold))
+SELECT r.distinct_id, r.yyyymm, CAST(r.label AS DOUBLE) AS label,
+       CASE WHEN share > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, round(share, 9) AS probability_1
+FROM rows r JOIN leaves l ON l.is_left = (CASE WHEN l.col = 'gender' THEN r.gender ELSE r.bought END <= l.threshold)
+WHERE r.split = 'test'"""
+    )
+
+
+_NUMBERS = [
+    "age", "sum_total_points", "count_consumption", "count_store_distinct",
+    "count_product_distinct", "count_notify", "count_distinct_region",
+]
+
+
+def _indexed(col: str) -> str:
+    """Index of each value of a column: the most frequent of the training part first, ties by text."""
+    return f"""(SELECT {col}, CAST(row_number() OVER (ORDER BY count(*) DESC, CAST({col} AS VARCHAR)) - 1 AS DOUBLE) AS {col}_index
+  FROM training WHERE {_ROW_SPLIT} = 'train' GROUP BY {col})"""
+
+
+def _vectors() -> str:
+    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in _NUMBERS)
+    out = ", ".join(f"round(({c} - m_{c}) / s_{c}, 6) AS {c}" for c in _NUMBERS)
+    return (
+        _TRAINING
+        + f", stats AS (SELECT {stats} FROM training WHERE {_ROW_SPLIT} = 'train')"
+        + f" SELECT distinct_id, yyyymm, gender_index, {out} FROM training CROSS JOIN stats"
+        + f" JOIN {_indexed('gender')} USING (gender) WHERE {_ROW_SPLIT} = 'test'"
+    )
+
+
+def _trials() -> str:
+    rows = ", ".join(f"('trial {i}', {depth}, {trees})" for i, (depth, trees) in enumerate(_TRIALS))
+    return (
+        _TRAINING
+        + f""",
+labels AS {_indexed("label")}
+SELECT run_name, max_depth, num_trees,
+       (SELECT CAST(label AS VARCHAR) FROM labels WHERE label_index = 0) AS label_0,
+       (SELECT CAST(label AS VARCHAR) FROM labels WHERE label_index = 1) AS label_1,
+       (SELECT CAST(count(*) AS DOUBLE) FROM training WHERE {_ROW_SPLIT} = 'test') AS n,
+       0.0::DOUBLE AS n_left_out, true AS mirrored, true AS same_again
+FROM (VALUES {rows}) AS t(run_name, max_depth, num_trees)"""
+    )
+
+
+def _schema() -> str:
+    kinds = {"age": "int", "gender": "string", "yyyymm": "string"}
+    names = ["distinct_id", "yyyymm", "age", "gender", *_NUMBERS[1:], "lag_sum_total"]
+    rows = ", ".join(
+        f"('{c}', '{kinds.get(c, 'bigint')}', {c in names[:2]}, {i}, 'person months')" for i, c in enumerate(names)
+    )
+    return f"SELECT * FROM (VALUES {rows}) AS t(\"column\", type, is_key, position, description)"
+
+
 ORACLE = {
     "people_spine": _RAW + " SELECT distinct_id, age, gender, yyyymm FROM spine",
     "period_key": """
@@ -241,32 +346,10 @@ SELECT threshold, round(fpr, 9) AS fpr, round(tpr, 9) AS tpr FROM curve
 UNION ALL SELECT NULL, 0.0, 0.0""",
     "auc_hard": _RULE + " SELECT round((tp / (tp + fn) + tn / (tn + fp)) / 2, 9) AS auc FROM cells",
     "auc_score": _RULE + " SELECT round((rank_sum - p * (p + 1) / 2) / (p * q), 9) AS auc FROM area",
-    "classification_report": _RULE
-    + """,
-probs AS (
-  SELECT y, least(greatest(sum_total_points / (sum_total_points + 50.0::DOUBLE), 1e-15), 1 - 1e-15) AS p FROM rule
-),
-loss AS (SELECT -avg(CASE WHEN y = 1 THEN ln(p) ELSE ln(1 - p) END) AS log_loss FROM probs),
-rates AS (
-  SELECT *, tp + fp + fn + tn AS n, tp + fn AS n1, tn + fp AS n0,
-         tp / (tp + fp) AS pr1, tp / (tp + fn) AS re1, tn / (tn + fn) AS pr0, tn / (tn + fp) AS re0
-  FROM cells
-),
-f AS (SELECT *, 2 * pr1 * re1 / (pr1 + re1) AS f1, 2 * pr0 * re0 / (pr0 + re0) AS f0 FROM rates),
-report AS (
-  SELECT 'n' AS metric, n AS value FROM f
-  UNION ALL SELECT 'accuracy', (tp + tn) / n FROM f
-  UNION ALL SELECT 'precision', pr1 FROM f
-  UNION ALL SELECT 'recall', re1 FROM f
-  UNION ALL SELECT 'f1', f1 FROM f
-  UNION ALL SELECT 'weighted_precision', (n1 * pr1 + n0 * pr0) / n FROM f
-  UNION ALL SELECT 'weighted_recall', (n1 * re1 + n0 * re0) / n FROM f
-  UNION ALL SELECT 'weighted_f1', (n1 * f1 + n0 * f0) / n FROM f
-  UNION ALL SELECT 'auc', (re1 + re0) / 2 FROM f
-  UNION ALL SELECT 'log_loss', log_loss FROM loss
-  UNION ALL SELECT 'auc_score', (rank_sum - p * (p + 1) / 2) / (p * q) FROM area
-)
-SELECT metric, round(value, 9) AS value FROM report""",
+    "classification_report": _RULE + _REPORT,
+    "classification_report_gaps": (_RULE + _REPORT)
+    .replace("  FROM panel\n)", "  FROM panel WHERE gender IN ('F', 'M')\n)")
+    .replace("0.0::DOUBLE\n", "CAST(count(*) AS DOUBLE) FROM panel WHERE gender IS NULL OR gender NOT IN ('F', 'M')\n", 1),
     "feature_table_upsert": _PANEL
     + """
 SELECT distinct_id, yyyymm, age, gender,
@@ -280,4 +363,29 @@ SELECT distinct_id, yyyymm, age, gender,
 FROM (SELECT *, CAST(CASE WHEN yyyymm >= '199711' THEN 1 ELSE 0 END AS BIGINT) AS bump FROM panel)""",
     "runs_by_parent": _rule_runs() + " " + _RUN_COLUMNS,
     "best_run": _rule_runs() + " " + _RUN_COLUMNS + " ORDER BY auc DESC, run_id LIMIT 1",
+    "feature_table_schema": _schema(),
+    "runs_reranked": _rule_runs()
+    + """,
+hits AS ("""
+    + " UNION ALL ".join(
+        f"SELECT 'rule-{t}' AS run_id, avg(CASE WHEN (sum_total_points >= {t}) = (label = 1) THEN 1.0 ELSE 0.0 END) AS accuracy FROM training"
+        for t in (1, 20, 50, 100)
+    )
+    + """)
+SELECT run_id, run_name, threshold, round(-auc, 9) AS negative_auc, round(accuracy, 9) AS accuracy,
+       row_number() OVER (ORDER BY accuracy DESC, run_id) = 1 AS best
+FROM rules JOIN hits USING (run_id)""",
+    "text_ids": _PANEL
+    + """
+SELECT CASE WHEN distinct_id % 2 = 0 THEN lpad(CAST(distinct_id AS VARCHAR), 6, '0')
+            ELSE 'C-' || CAST(distinct_id AS VARCHAR) END AS distinct_id, * EXCLUDE (distinct_id)
+FROM panel""",
+    "feature_panel_incremental": _PANEL + " SELECT * FROM panel",
+    "feature_vectors": _vectors(),
+    "forest_stump": _stump(),
+    "forest_score_keys": _TRAINING
+    + f"""
+SELECT distinct_id, yyyymm, label_index AS label, true AS sane
+FROM training JOIN {_indexed("label")} USING (label) WHERE {_ROW_SPLIT} = 'test'""",
+    "search_trials": _trials(),
 }

@@ -5,8 +5,8 @@ import pytest
 from panelkit.operators.encode import index_name
 from panelkit.plans import model, search
 from panelkit.sources.feature_table import create_feature_table
-from panelkit.sources.models import load_model, save_model
-from panelkit.sources.runs import read_runs
+from panelkit.sources.models import load_model, publish_model, published_model, save_model
+from panelkit.sources.runs import append_runs, read_runs
 from panelkit.sources.staging import stage
 
 PANEL = (
@@ -86,7 +86,9 @@ def test_search_and_best_model(spark, panel, tmp_path):
     assert [r.auc for r in board] == sorted((r.auc for r in board), reverse=True)
     assert all(r.negative_auc == -r.auc for r in board)
 
-    features, forest = load_model(f"{target}/features"), load_model(f"{target}/forest")
+    features, made_by = published_model(spark, f"{target}/features")
+    forest, best = published_model(spark, f"{target}/forest")
+    assert made_by == parent and best == board[0].run_id
     rows = features.transform(model.training_rows(panel))
     assert model.score(forest, rows).count() == panel.count()
     _, test, _ = model.prepare(panel)
@@ -94,6 +96,27 @@ def test_search_and_best_model(spark, panel, tmp_path):
     assert report["auc"] == pytest.approx(board[0].auc, abs=1e-12)
     assert report["auc_score"] == pytest.approx(board[0].auc_score, abs=1e-12)
 
+    # reports are logged with the runs, with what the label's indices stand for, and any of them may choose
+    kept = {r.run_id: r for r in runs.collect()}
+    trials = [kept[f"{parent}-{i}"] for i in range(3)]
+    assert all({r.tags["label_0"], r.tags["label_1"]} == {"0", "1"} for r in trials)
+    assert all(r.metrics["test_auc"] == pytest.approx(r.metrics["auc"], abs=1e-12) for r in trials)
+    assert all(0 <= r.metrics["train_auc"] <= 1 for r in trials)
+    append_runs(spark, f"{path}/runs", [{"run_id": trials[2].run_id, "metrics": {"test_accuracy": -1.0}}])
+    chosen = search.keep_best(spark, path, parent, f"{target}/forest", "test_accuracy", largest=False)
+    assert chosen == trials[2].run_id == published_model(spark, f"{target}/forest")[1]
+    assert published_model(spark, f"{target}/forest", version=1)[1] == best
+
+
+def test_published_models_keep_their_versions(spark, parts, tmp_path):
+    path = str(tmp_path / "m")
+    with pytest.raises(ValueError, match="no such model"):
+        published_model(spark, path)
+    fitted = model.train_forest(parts[0], max_depth=2, num_trees=2)
+    assert [publish_model(spark, fitted, path, r) for r in ("a", "b")] == [1, 2]
+    (tmp_path / "m" / "versions" / "version=3").mkdir()  # a writer that died
+    assert [published_model(spark, path, v)[1] for v in (1, 2, None)] == ["a", "b", "b"]
+
 
 def test_label_index_name():
     assert model.LABEL == index_name("label") == "labelIndex"

@@ -6,7 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from panelkit.operators.keys import dedup_latest, key_violations, require_keys
+from panelkit.operators.keys import dedup_first, key_violations, require_keys
 from panelkit.operators.panel import add_future_value, assemble_panel, fill_features, preview
 from panelkit.operators.rollups import rollup_notifications, rollup_points, rollup_visits
 from panelkit.plans.features import feature_panel, monthly_panel
@@ -176,21 +176,23 @@ def test_panel_shuffles_each_table_once(spark, tables):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # spine, points (by store and product, then by key), events, visits, future value
     assert plan.count("Exchange") == 6
+    # the dates of points, notifications and visits, each parsed at one place
+    assert plan.count("concat_ws(-") == 3
     assert "Cartesian" not in plan and "NestedLoop" not in plan
 
 
 def test_dedup_is_deterministic_and_cut_before_the_shuffle(spark):
     df = spark.createDataFrame([(1, "m", None), (1, "m", 3), (1, "m", 2), (2, "m", None)], "k int, t string, v int")
     for n in (1, 2, 5):
-        assert _rows(dedup_latest(df.repartition(n), ["k", "t"])) == [(1, "m", 2), (2, "m", None)]
-    assert _rows(dedup_latest(df, ["k", "t"], [F.desc_nulls_last("v")])) == [(1, "m", 3), (2, "m", None)]
-    plan = dedup_latest(df, ["k", "t"])._jdf.queryExecution().executedPlan().toString()
+        assert _rows(dedup_first(df.repartition(n), ["k", "t"])) == [(1, "m", 2), (2, "m", None)]
+    assert _rows(dedup_first(df, ["k", "t"], [F.desc_nulls_last("v")])) == [(1, "m", 3), (2, "m", None)]
+    plan = dedup_first(df, ["k", "t"])._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Exchange hashpartitioning") < plan.index(", Partial")
 
 
 def test_dedup_of_keys_alone(spark):
     df = spark.createDataFrame([(1,), (1,), (None,), (None,)], "k int")
-    assert _rows(dedup_latest(df, ["k"])) == [(1,), (None,)]
+    assert _rows(dedup_first(df, ["k"])) == [(1,), (None,)]
 
 
 def test_key_violations(spark):

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from panelkit.plans import features
 from panelkit.plans.features import build_feature_table
 from panelkit.sources import feature_table as ft
 from panelkit.sources import raw, runs, staging
@@ -49,8 +50,8 @@ def test_merge_rewrites_only_the_months_it_touches(spark, tmp_path):
     path = str(tmp_path / "t")
     ft.create_feature_table(_panel(spark, [(1, "202301", 1), (1, "202302", 2)]), path, partition_by="yyyymm")
     ft.upsert_feature_table(spark, path, _panel(spark, [(1, "202302", 5)]))
-    written = [p.name for p in (tmp_path / "t" / "data" / "version=2").iterdir() if p.is_dir()]
-    assert written == ["yyyymm=202302"]
+    before, after = (dict(_rows(ft.feature_table_parts(spark, path, v))) for v in (1, 2))
+    assert before["202301"] == after["202301"] and before["202302"] != after["202302"]
     assert _rows(ft.read_feature_table(spark, path)) == [(1, "202301", 1), (1, "202302", 5)]
 
 
@@ -91,19 +92,71 @@ def test_broken_keys_are_not_published(spark, tmp_path, part, bad):
 def test_left_over_data_of_a_dead_job_is_not_read(spark, tmp_path):
     path = str(tmp_path / "t")
     ft.create_feature_table(_panel(spark, [(1, "202301", 1)]), path, partition_by="yyyymm")
-    _panel(spark, [(1, "202301", 666)]).write.partitionBy("yyyymm").parquet(f"{path}/data/version=2")
+    _panel(spark, [(1, "202301", 666)]).write.partitionBy("yyyymm").parquet(f"{path}/data/write=dead")
+    (tmp_path / "t" / "versions" / "version=2").mkdir()
     assert _rows(ft.read_feature_table(spark, path)) == [(1, "202301", 1)]
-    ft.upsert_feature_table(spark, path, _panel(spark, [(2, "202302", 2)]))
-    assert _rows(ft.read_feature_table(spark, path)) == [(1, "202301", 1), (2, "202302", 2)]
 
 
-def test_partition_column_has_to_be_a_key_with_few_values(spark, tmp_path, monkeypatch):
-    df = _panel(spark, [(1, "202301", 1), (2, "202302", 2)])
+@pytest.mark.parametrize("part", [None, "yyyymm"])
+def test_two_writers_of_one_version(spark, tmp_path, monkeypatch, part):
+    path = str(tmp_path / "t")
+    ft.create_feature_table(_panel(spark, [(1, "202301", 1)]), path, partition_by=part)
+    publish = ft._publish
+
+    def slow(*args):
+        monkeypatch.setattr(ft, "_publish", publish)
+        ft.upsert_feature_table(spark, path, _panel(spark, [(2, "202301", 2)]))  # another writer comes first
+        publish(*args)
+
+    monkeypatch.setattr(ft, "_publish", slow)
+    with pytest.raises(Exception, match="already exists"):
+        ft.upsert_feature_table(spark, path, _panel(spark, [(3, "202301", 3)]))
+    assert _rows(ft.read_feature_table(spark, path)) == [(1, "202301", 1), (2, "202301", 2)]
+    assert _rows(ft.read_feature_table(spark, path, version=1)) == [(1, "202301", 1)]
+
+
+@pytest.mark.parametrize("part", [None, "yyyymm"])
+def test_clean_up(spark, tmp_path, part):
+    path = str(tmp_path / "t")
+    ft.create_feature_table(_panel(spark, [(1, "202301", 1), (1, "202302", 1)]), path, partition_by=part)
+    for i in range(3):
+        ft.upsert_feature_table(spark, path, _panel(spark, [(9, "202302", i)]))
+    _panel(spark, [(1, "202301", 666)]).write.parquet(f"{path}/data/write=dead")
+    want = _rows(ft.read_feature_table(spark, path))
+    ft.clean_feature_table(spark, path, keep=2)
+    assert _rows(ft.read_feature_table(spark, path)) == want
+    assert _rows(ft.read_feature_table(spark, path, version=3))[-1] == (9, "202302", 1)
+    with pytest.raises(ValueError, match="no such"):
+        ft.read_feature_table(spark, path, version=2)
+    used = {r[1] for v in (3, 4) for r in _rows(ft.feature_table_parts(spark, path, v))}
+    assert {p.name for p in (tmp_path / "t" / "data").iterdir()} == {f"write={w}" for w in used}
+    ft.upsert_feature_table(spark, path, _panel(spark, [(9, "202302", 7)]))
+    assert (9, "202302", 7) in _rows(ft.read_feature_table(spark, path))
+
+
+def test_further_and_missing_columns_are_refused(spark, tmp_path):
+    path = str(tmp_path / "t")
+    ft.create_feature_table(_panel(spark, [(1, "202301", 1)]), path)
+    with pytest.raises(ValueError, match="further .'extra'."):
+        ft.upsert_feature_table(spark, path, _panel(spark, [(1, "202301", 2)]).withColumn("extra", F.lit(1)))
+    with pytest.raises(ValueError, match="missing .'x'."):
+        ft.upsert_feature_table(spark, path, _panel(spark, [(1, "202301", 2)]).drop("x"))
+    assert _rows(ft.read_feature_table(spark, path)) == [(1, "202301", 1)]
+
+
+def test_partition_column_has_to_be_a_key(spark, tmp_path):
     with pytest.raises(ValueError, match="not a key"):
-        ft.create_feature_table(df, str(tmp_path / "a"), partition_by="x")
-    monkeypatch.setattr(ft, "MAX_PARTITIONS", 1)
-    with pytest.raises(ValueError, match="too many"):
-        ft.create_feature_table(df, str(tmp_path / "b"), partition_by="yyyymm")
+        ft.create_feature_table(_panel(spark, [(1, "202301", 1)]), str(tmp_path / "a"), partition_by="x")
+
+
+def test_any_number_of_partitions(spark, tmp_path):
+    """More partitions than any list for the driver should hold; each row has its own."""
+    path, n = str(tmp_path / "t"), 10_050
+    rows = spark.range(n).selectExpr("id % 7 AS distinct_id", "lpad(cast(id AS string), 6, '0') AS yyyymm", "id AS x")
+    ft.create_feature_table(rows, path, partition_by="yyyymm")
+    assert ft.read_feature_table(spark, path).agg(F.count("*"), F.sum("x")).first() == (n, n * (n - 1) // 2)
+    ft.upsert_feature_table(spark, path, rows.filter("x < 3").withColumn("x", F.lit(-1).cast("bigint")))
+    assert ft.read_feature_table(spark, path).agg(F.count("*"), F.sum("x")).first() == (n, n * (n - 1) // 2 - 6)
 
 
 def test_partitions_are_pruned(spark, tmp_path):
@@ -135,16 +188,16 @@ def test_empty_table(spark, tmp_path):
         assert _rows(ft.read_feature_table(spark, path)) == [(1, "202301", 1)]
 
 
-def test_readers_take_columns_by_name_and_type(spark, tmp_path):
+def test_readers_take_columns_by_name_and_keep_ids(spark, tmp_path):
     spark.createDataFrame(
-        [(202301, "z", "F", 30, "17"), (202302, "z", None, None, "x")],
+        [(202301, "z", "F", 30, "007"), (202302, "z", None, 40, "7"), (202302, "z", None, None, "x")],
         "yyyymm int, other string, gender string, age bigint, distinct_id string",
     ).write.parquet(str(tmp_path / "people"))
     people = raw.read_people(spark, str(tmp_path / "people"))
-    assert people.schema.simpleString() == "struct<distinct_id:bigint,age:int,gender:string,yyyymm:string>"
-    assert _rows(people) == [(17, 30, "F", "202301"), (None, None, None, "202302")]
-    kept = raw.read_people(spark, str(tmp_path / "people"), id_type="string")
-    assert {r.distinct_id for r in kept.collect()} == {"17", "x"}
+    assert people.schema.simpleString() == "struct<distinct_id:string,age:int,gender:string,yyyymm:string>"
+    assert _rows(people) == [("007", 30, "F", "202301"), ("7", 40, None, "202302"), ("x", None, None, "202302")]
+    with pytest.raises(Exception, match="is no bigint: x"):
+        raw.read_people(spark, str(tmp_path / "people"), id_type="bigint").collect()
 
 
 def test_points_may_be_text_or_numbers(spark, tmp_path):
@@ -157,9 +210,15 @@ def test_points_may_be_text_or_numbers(spark, tmp_path):
 def test_csv_columns_in_any_order(spark, tmp_path):
     folder = tmp_path / "main"
     folder.mkdir()
-    (folder / "a.csv").write_text("main_event,x,yyyymmdd,distinct_id\nnotification,1,2023-01-05,7\nlogin,2,,abc\n")
+    (folder / "a.csv").write_text("main_event,x,yyyymmdd,distinct_id\nnotification,1,2023-01-05,007\nlogin,2,,abc\n")
     got = raw.read_app_events(spark, str(folder))
-    assert _rows(got) == [(7, "2023-01-05", "notification"), (None, None, "login")]
+    assert _rows(got) == [("007", "2023-01-05", "notification"), ("abc", None, "login")]
+    # a file with another order does not slip in; read on its own it is right
+    (folder / "b.csv").write_text("distinct_id,yyyymmdd,main_event,x\n8,2023-01-06,notification,3\n")
+    with pytest.raises(Exception, match="CSV header"):
+        raw.read_app_events(spark, str(folder)).collect()
+    other = raw.read_app_events(spark, str(folder / "b.csv"))
+    assert _rows(other) == [("8", "2023-01-06", "notification")]
 
 
 def test_only_needed_columns_are_scanned(spark, tmp_path):
@@ -170,27 +229,60 @@ def test_only_needed_columns_are_scanned(spark, tmp_path):
     assert "payload" not in plan
 
 
-def test_build_feature_table_from_files(spark, tmp_path):
+def _write_raw(spark, tmp_path, months):
+    """Two people with a purchase, a notification and a visit in each month, and rows that are to be set aside."""
     paths = {n: str(tmp_path / n) for n in ("people", "points", "events", "visits", "table")}
+    who = [(i, m) for i in (1, 2) for m in months]
     spark.createDataFrame(
-        [(1, 30, "F", "202301"), (1, 30, "F", "202302"), (1, 30, "F", "202302")],
+        [(i, 30, "F", m) for i, m in who] + [(1, 30, "F", months[0]), (None, 9, "F", months[0]), (3, 9, "F", None)],
         "distinct_id bigint, age int, gender string, yyyymm string",
     ).write.parquet(paths["people"])
     spark.createDataFrame(
-        [("4", "a", "p", 1, "20230201")],
+        [(str(int(m) % 100 + i), "a", "p", i, f"{m}01") for i, m in who] + [("5", "a", "p", 1, f"{months[0]}99")],
         "total_points string, storename string, productname string, distinct_id bigint, yyyymmdd string",
     ).write.parquet(paths["points"])
     spark.createDataFrame(
-        [(1, "2023-02-01", "notification")], "distinct_id bigint, yyyymmdd string, main_event string"
+        [(i, f"{m[:4]}-{m[4:]}-28", "notification") for i, m in who], "distinct_id bigint, yyyymmdd string, main_event string"
     ).write.option("header", True).csv(paths["events"])
     spark.createDataFrame(
-        [(1, "20230201", "ASIA")], "distinct_id bigint, yyyymmdd string, region string"
+        [(i, f"{m}15", "ASIA") for i, m in who], "distinct_id bigint, yyyymmdd string, region string"
     ).write.parquet(paths["visits"])
+    return paths
+
+
+def test_build_feature_table_from_files(spark, tmp_path):
+    paths = _write_raw(spark, tmp_path, ["202301", "202302"])
     for update in (False, True):
-        build_feature_table(spark, **paths, update=update)
+        assert build_feature_table(spark, **paths, id_type="bigint", update=update) == 2
         assert _rows(ft.read_feature_table(spark, paths["table"])) == [
-            (1, "202301", 30, "F", 0, 0, 0, 0, 0, 0, 4)
+            (i, "202301", 30, "F", 1 + i, 1, 1, 1, 1, 1, 2 + i) for i in (1, 2)
         ]
+    rejects = spark.read.parquet(f"{paths['table']}/rejects/*")
+    assert rejects.count() == 4  # two of each build
+
+
+def test_build_by_months(spark, tmp_path):
+    months = ["202211", "202212", "202301", "202302"]
+    paths = _write_raw(spark, tmp_path, months)
+    build_feature_table(spark, **paths, id_type="bigint")
+    whole = _rows(ft.read_feature_table(spark, paths["table"]))
+    parts = paths | {"table": str(tmp_path / "parts")}
+    build_feature_table(spark, **parts, id_type="bigint", months=("202211", "202212"))
+    for m in ("202301", "202302"):
+        before = dict(_rows(ft.feature_table_parts(spark, parts["table"])))
+        build_feature_table(spark, **parts, id_type="bigint", update=True, months=(m, m))
+        after = dict(_rows(ft.feature_table_parts(spark, parts["table"])))
+        assert {v for v in before if after[v] == before[v]} == {v for v in before if v < features.months_before(m, 1)}
+    assert _rows(ft.read_feature_table(spark, parts["table"])) == whole
+    assert [features.months_before("202302", n) for n in (0, 1, 2, 14)] == ["202302", "202301", "202212", "202112"]
+
+
+def test_months_reach_the_scan(spark, tmp_path):
+    paths = _write_raw(spark, tmp_path, ["202301", "202302"])
+    rows = raw.read_points(spark, paths["points"]).filter(features._within("yyyymmdd", ("202302", "202302")))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(yyyymmdd,20230201)" in plan.split("PushedFilters")[1]
+    assert rows.count() == 2
 
 
 def test_runs(spark, tmp_path):
@@ -214,6 +306,14 @@ def test_runs(spark, tmp_path):
     best = runs.best_run(runs.search_runs(table, "parent_run_id = 'p'"), "auc").collect()
     assert [(r.run_id, r.params) for r in best] == [("b", {"d": "3"})]
     assert runs.search_runs(table).count() == 6
+    # metrics logged later belong to the run; the last value of a name counts
+    runs.append_runs(spark, path, [{"run_id": "a", "metrics": {"late": 1.0, "auc": 0.65}, "tags": {"t": "x"}}])
+    runs.append_runs(spark, path, [{"run_id": "a", "metrics": {"late": 2.0}}])
+    a = runs.read_runs(spark, path).filter("run_id = 'a'").collect()
+    assert [(r.parent_run_id, r.params, r.metrics, r.tags) for r in a] == [
+        ("p", {"d": "2"}, {"auc": 0.65, "late": 2.0}, {"t": "x"})
+    ]
+    assert runs.best_run(runs.read_runs(spark, path), "late").first().run_id == "a"
 
 
 def test_staging_uses_the_shared_folder(spark, tmp_path):
@@ -223,16 +323,23 @@ def test_staging_uses_the_shared_folder(spark, tmp_path):
     assert all(staging.shared_folder(spark) in f for f in df.inputFiles())
 
 
-def test_a_cluster_without_a_shared_folder_is_refused():
+def test_without_a_checkpoint_folder_the_warehouse_is_used():
     class Conf(dict):
         def get(self, key, default=None):
             return dict.get(self, key, default)
 
     class Session:
-        conf = Conf({"spark.master": "yarn"})
+        conf = Conf({"spark.master": "yarn", "spark.sql.warehouse.dir": "hdfs://x/warehouse"})
+
+    assert staging.shared_folder(Session()) == "hdfs://x/warehouse/_staging"
+
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        staging.shared_folder(Session())
+def test_staged_tables_can_be_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "shared_folder", lambda _: str(tmp_path))
+    staging.stage(spark.range(3), "t")
+    (tmp_path / "mine").mkdir()
+    staging.drop_staged(spark)
+    assert [p.name for p in tmp_path.iterdir()] == ["mine"]
 
 
 @pytest.mark.parametrize("part", [None, "yyyymm"])
