@@ -214,7 +214,9 @@ def _stump() -> str:
         _TRAINING
         + f""",
 rows AS (
-  SELECT *, CASE WHEN sum_total_points > 0 THEN 1 ELSE 0 END AS bought, {_ROW_SPLIT} AS split FROM training
+  SELECT * REPLACE (CASE WHEN (gender = 2) <> (age % 10 = 0) THEN 1 ELSE 0 END AS label),
+         CASE WHEN sum_total_points > 0 THEN 1 ELSE 0 END AS bought, {_ROW_SPLIT} AS split
+  FROM training
 ),
 sides AS ({tried}),
 chosen AS (

@@ -315,10 +315,16 @@ def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def forest_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One tree with one split on gender or on points yes / no; stored and loaded before it scores."""
-    rows = training_set(spark, sf_dir).withColumn("bought", (F.col("sum_total_points") > 0).cast("int"))
+    """One tree with one split on gender or on points yes / no; stored and loaded before it scores.
+
+    It learns whether gender is 2, told wrong for every tenth age: a split whose sides agree would be pruned.
+    """
+    told = (F.col("gender") == 2) != (F.col("age") % 10 == 0)
+    rows = training_set(spark, sf_dir).withColumns(
+        {"bought": (F.col("sum_total_points") > 0).cast("int"), "label": told.cast("double")}
+    )
     vectors = VectorAssembler(inputCols=["gender", "bought"], outputCol="features").transform(rows)
-    train, test = split.split_parts(split.hash_split(stage(vectors.withColumn("label", F.col("label").cast("double")), "stump")))
+    train, test = split.split_parts(split.hash_split(stage(vectors, "stump")))
     fitted = model.train_forest(
         train, max_depth=1, num_trees=1, label="label", bootstrap=False, featureSubsetStrategy="all"
     )
