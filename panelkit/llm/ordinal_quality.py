@@ -7,7 +7,7 @@ ordered thresholds. From it come the expected grade and the probability of the h
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -17,24 +17,29 @@ from pyspark.sql import functions as F
 
 from panelkit.llm.batches import map_texts
 
-# Buckets of features; labelled documents that a model is fitted on at most; gradient steps, their length, and the pull
-# of weights towards zero.
-BUCKETS, SAMPLE, STEPS, RATE, DECAY = 1 << 18, 8_000, 80, 0.25, 2e-6
+# Buckets of features; labelled documents that a model is fitted on at most; documents that a feature has to be in to get
+# a weight; steps of the fit, and the precision of the weights' prior, a normal distribution around zero.
+BUCKETS, SAMPLE, LEAST_DOCS, STEPS, PRIOR = 1 << 18, 12_000, 10, 40, 9.0
 GRADES = 3
+# Probability of the highest grade from which a document is kept.
+LEAST = 0.7
 # The shape of a word: capitals, small letters and digits alike, other characters as they are.
 _SHAPE = bytes(
     65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b >= 128 else 48 if 48 <= b <= 57 else b for b in range(256)
 )
+_STARTS = [(b"\x01", 4), (b"\x02", 6)]
+_MARKS = b".,;:!?"
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
 def features(text: str | None) -> np.ndarray:
-    """Buckets of a whole text, each once: its lower-cased words, words without marks around them, and shapes."""
+    """Buckets of a whole text, each once: its lower-cased words without marks around them, how they begin, and shapes."""
     data = (text or "").encode("utf-8", "surrogatepass")
-    words = set(data.translate(_LOWER).split())
-    shapes = {b"\x00" + s for s in data.translate(_SHAPE).split()}
-    bare = {b"\x01" + w.strip(b".,;:!?") for w in words}
-    return np.unique(np.fromiter(map(zlib.crc32, chain(words, shapes, bare)), np.uint32) % BUCKETS).astype(np.int32)
+    words = {w.strip(_MARKS) for w in data.translate(_LOWER).split()}
+    starts = (tag + w[:n] for w in words for tag, n in _STARTS if len(w) > n)
+    shapes = (b"\x00" + s for s in set(data.translate(_SHAPE).split()))
+    hashed = np.fromiter(map(zlib.crc32, chain(words, starts, shapes)), np.uint32)
+    return np.unique(hashed % BUCKETS).astype(np.int32)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -49,40 +54,74 @@ class Model:
 
     def tails(self, found: np.ndarray) -> np.ndarray:
         """P(grade > k) for each threshold k."""
-        score = self.weights[found].sum() / np.sqrt(max(1, len(found)))
-        return _sigmoid(score - self.thresholds)
-
-
-def fit_rows(found: list[np.ndarray], grade: np.ndarray, grades: int) -> Model:
-    """Maximum likelihood by adaptive gradient steps over all rows; without rows, all grades are equally likely."""
-    weights = np.zeros(BUCKETS)
-    first = np.log(np.arange(1, grades) / np.arange(grades - 1, 0, -1))
-    if not len(found):
-        return Model(weights, first)
-    sizes = np.array([len(f) for f in found])
-    column, row = np.concatenate(found).astype(np.int64), np.repeat(np.arange(len(found)), sizes)
-    scale = 1 / np.sqrt(np.maximum(1, sizes))
-    # thresholds as the first and the logarithms of the gaps keep their order; they start at the grades' shares
-    share = (np.bincount(grade, minlength=grades)[:-1].cumsum() + 0.5) / (len(grade) + 1.0)
-    start = np.maximum.accumulate(np.log(share / (1 - share)) + 1e-3 * np.arange(grades - 1))
-    base, gaps = start[0], np.log(np.maximum(np.diff(start), 1e-3))
-    sums_w, sums_t = np.full(BUCKETS, 1e-8), np.full(grades - 1, 1e-8)
-    for _ in range(STEPS):
-        cuts = np.r_[-np.inf, base + np.r_[0, np.cumsum(np.exp(gaps))], np.inf]
-        score = np.bincount(row, weights[column], len(found)) * scale
+        return _sigmoid(self.weights[found].sum() - self.thresholds)
+
+
+def _minimise(loss: Callable[[np.ndarray], tuple[float, np.ndarray]], x: np.ndarray, steps: int, memory: int = 10) -> np.ndarray:
+    """Limited-memory BFGS with backtracking; ``loss`` gives value and gradient."""
+    moves: list[tuple[np.ndarray, np.ndarray]] = []
+    value, slope = loss(x)
+    for _ in range(steps):
+        way, parts = slope.copy(), []
+        for s, y in reversed(moves):
+            parts.append((s @ way) / (y @ s))
+            way -= parts[-1] * y
+        way *= (moves[-1][0] @ moves[-1][1]) / (moves[-1][1] @ moves[-1][1]) if moves else 1 / max(1.0, np.linalg.norm(way))
+        for (s, y), part in zip(moves, reversed(parts), strict=True):
+            way += s * (part - (y @ way) / (y @ s))
+        length = 1.0
+        while True:
+            new_value, new_slope = loss(x - length * way)
+            if new_value <= value - 1e-4 * length * (slope @ way) or length < 1e-6:
+                break
+            length /= 2
+        s, y = -length * way, new_slope - slope
+        if s @ y > 1e-12:
+            moves = [*moves, (s, y)][-memory:]
+        done = value - new_value < 1e-7
+        x, value, slope = x + s, new_value, new_slope
+        if done:
+            break
+    return x
+
+
+def fit_rows(found: list[np.ndarray], grade: np.ndarray, grades: int, least_docs: int = LEAST_DOCS) -> Model:
+    """The likeliest model given a normal prior on the weights; without rows, all grades are equally likely.
+
+    Features of fewer than ``least_docs`` rows have weight 0."""
+    weights, n = np.zeros(BUCKETS), len(found)
+    if not n:
+        return Model(weights, np.log(np.arange(1, grades) / np.arange(grades - 1, 0, -1)))
+    column = np.concatenate(found).astype(np.int32)
+    row = np.repeat(np.arange(n, dtype=np.int32), [len(f) for f in found])
+    used = np.flatnonzero(np.bincount(column, minlength=BUCKETS) >= least_docs)
+    place = np.full(BUCKETS, -1, np.int32)
+    place[used] = np.arange(len(used))
+    column, row = place[column], row[place[column] >= 0]
+    column = column[column >= 0]
+    m = len(used)
+    # thresholds as the first and the logarithms of the gaps, so they keep their order; they start at the grades' shares
+    share = (np.bincount(grade, minlength=grades)[:-1].cumsum() + 0.5 * np.arange(1, grades)) / (n + 0.5 * grades)
+    start = np.log(share / (1 - share))
+
+    def thresholds(x: np.ndarray) -> np.ndarray:
+        return x[m] + np.r_[0, np.cumsum(np.exp(x[m + 1 :]))]
+
+    def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
+        cuts = np.r_[-np.inf, thresholds(x), np.inf]
+        score = np.bincount(row, x[column], n)
         high, low = _sigmoid(cuts[grade + 1] - score), _sigmoid(cuts[grade] - score)
         chance = np.maximum(high - low, 1e-12)
         d_high, d_low = high * (1 - high) / chance, low * (1 - low) / chance
-        slope = (d_high - d_low) / len(found)  # of the loss by the score
-        g_w = np.bincount(column, (slope * scale)[row], BUCKETS) + DECAY * weights
-        g_cut = np.array([d_low[grade == k + 1].sum() - d_high[grade == k].sum() for k in range(grades - 1)]) / len(found)
-        g_t = np.r_[g_cut.sum(), np.cumsum(g_cut[::-1])[::-1][1:] * np.exp(gaps)]
-        sums_w += g_w**2
-        sums_t += g_t**2
-        weights -= RATE * g_w / np.sqrt(sums_w)
-        step = 0.1 * g_t / np.sqrt(sums_t)
-        base, gaps = base - step[0], gaps - step[1:]
-    return Model(weights, base + np.r_[0, np.cumsum(np.exp(gaps))])
+        by_weight = np.bincount(column, ((d_high - d_low) / n)[row], m) + PRIOR / n * x[:m]
+        by_cut = np.array([d_low[grade == k + 1].sum() - d_high[grade == k].sum() for k in range(grades - 1)]) / n
+        behind = np.cumsum(by_cut[::-1])[::-1]  # a gap moves all thresholds behind it
+        value = -np.log(chance).mean() + 0.5 * PRIOR / n * (x[:m] @ x[:m])
+        return value, np.r_[by_weight, behind[0], behind[1:] * np.exp(x[m + 1 :])]
+
+    x = _minimise(loss, np.r_[np.zeros(m), start[0], np.log(np.maximum(np.diff(start), 1e-3))], STEPS)
+    weights[used] = x[:m]
+    return Model(weights, thresholds(x))
 
 
 def sample_ids(labels: DataFrame, sample: int = SAMPLE, seed: int = 5) -> DataFrame:
@@ -116,7 +155,7 @@ def fit(docs: DataFrame, labels: DataFrame, grades: int = GRADES, sample: int =
     return Model(weights, np.array(row["thresholds"]))
 
 
-def predict(docs: DataFrame, model: Model, good: int = GRADES - 1, least: float = 0.5, text: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: Model, good: int = GRADES - 1, least: float = LEAST, text: str = "text") -> DataFrame:
     """(doc_id, expected_grade, p_good, kept) of every whole text.
 
     ``p_good`` is the probability of grade ``good`` or more; documents with ``least`` or more are kept. Null and empty
@@ -133,7 +172,5 @@ def predict(docs: DataFrame, model: Model, good: int = GRADES - 1, least: float
 
 
 def grade_of(quality: str = "quality", toxic: str = "toxic") -> Column:
-    """0: low quality; 1: good quality, but toxic; 2: good and clean. Null if either is unknown."""
-    good, clean = F.col(quality) == 1, F.col(toxic) == 0
-    known = F.col(quality).isNotNull() & F.col(toxic).isNotNull()
-    return F.when(known & ~good, 0).when(known & ~clean, 1).when(known, 2)
+    """Two ratings as one grade: a point for good quality, a point for not being toxic. Null if either is unknown."""
+    return F.col(quality).cast("int") + (1 - F.col(toxic).cast("int"))
