@@ -5,9 +5,9 @@ character at one place is taken out. So each line emits, as hashed keys, itself
 character deleted; lines that share a key are joined with the earliest of them, and the edit distance is checked.
 
 Three things keep that small. Equal lines are one line from the start. A line enters the join only if another of
-about its length shares its first or its last half, as an edit leaves one half alone. And a variant is hashed in
-parts: the text before a block of characters, the block without one of them, the text behind, so that a line of n
-characters costs about n * BLOCK + n * n / BLOCK characters of hashing and not n * n.
+about its length shares its first or its last half, as an edit leaves one half alone. And a line is cut into blocks: a
+variant is hashed as the text before a block, the block without one character, the text behind; only blocks
+around which another line is the same emit variants.
 
 Only DataFrame functions are used.
 """
@@ -74,37 +74,49 @@ def _candidates(known: DataFrame, lines: DataFrame) -> DataFrame:
     return texts.groupBy("id", "first").agg(F.any_value("line").alias("line"))
 
 
-def variants(lines: DataFrame) -> DataFrame:
-    """(id, first, key, at): hashed keys of all variants; ``at`` is the place of the deleted character, -1 in the line
-    itself.
+def _blocks(lines: DataFrame) -> DataFrame:
+    """(id, first, start, block, head, tail, tail_of_whole): each block of each line, with hashes of what is around it.
 
-    For each block, the line itself is cut one character earlier behind the block: there a longer line goes on
-    from which a character of that block was deleted.
+    ``tail_of_whole`` begins one character earlier: there a longer line goes on from which a character of that block
+    was deleted, while this one stays whole.
     """
     size, n = F.lit(BLOCK), F.length("line")
-    cut = lines.withColumn("start", F.explode(F.sequence(F.lit(0), n, size)))
     line, start = F.col("line"), F.col("start")
-    parts = cut.select(
+    return lines.withColumn("start", F.explode(F.sequence(F.lit(0), n, size))).select(
         "id",
         "first",
         "start",
-        F.xxhash64(F.substring(line, F.lit(1), start)).alias("head"),
         F.substring(line, start + 1, size).alias("block"),
+        F.xxhash64(F.substring(line, F.lit(1), start)).alias("head"),
         F.xxhash64(F.substring(line, start + size + 1, n)).alias("tail"),
         F.xxhash64(F.substring(line, start + size, n)).alias("tail_of_whole"),
     )
-    # the last place of a block stands for the line itself
+
+
+def _shared_blocks(blocks: DataFrame) -> DataFrame:
+    """Those of ``blocks`` (a written table) around which another line is the same: the edit can only lie there."""
+    around = [F.xxhash64("start", "head", c) for c in ("tail", "tail_of_whole")]
+    keys = blocks.select("id", "start", F.explode(F.array_distinct(F.array(*around))).alias("around"))
+    shared = keys.groupBy("around").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("around")
+    met = keys.join(stage(shared, "around"), "around", "left_semi").select("id", "start").distinct()
+    return blocks.join(met, ["id", "start"], "left_semi")
+
+
+def variants(lines: DataFrame) -> DataFrame:
+    """(id, first, key, at): hashed keys of the variants that another line can share; ``at`` is the place of the deleted
+    character, -1 in the line itself."""
     block, width = F.col("block"), F.length("block")
-    each = parts.withColumn("j", F.explode(F.sequence(F.lit(0), width)))
+    # the last place of a block stands for the line itself
+    each = _shared_blocks(stage(_blocks(lines), "blocks")).withColumn("j", F.explode(F.sequence(F.lit(0), width)))
     j, whole = F.col("j"), F.col("j") == width
     without = F.concat(F.substring(block, F.lit(1), j), F.substring(block, j + 2, width))
-    kept = F.when(whole, F.substring(block, F.lit(1), size - 1)).otherwise(without)
+    kept = F.when(whole, F.substring(block, F.lit(1), F.lit(BLOCK - 1))).otherwise(without)
     tail = F.when(whole, F.col("tail_of_whole")).otherwise(F.col("tail"))
     return each.select(
         "id",
         "first",
         F.xxhash64("start", "head", kept, tail).alias("key"),
-        F.when(whole, -1).otherwise(start + j).alias("at"),
+        F.when(whole, -1).otherwise(F.col("start") + j).alias("at"),
     )
 
 
@@ -164,13 +176,13 @@ def dedup_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     body = F.col(f"`{text}`")
     same = body.isNotNull() & docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(body) == F.col("__row"))
-    joined = docs.join(gone, same, "left")
-    lines = F.split(body, _END)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__dropped"))
-    rest = F.array_join(F.transform(kept, lambda i: lines[i]), _END)
+    # cut once, in a step of its own: what follows uses the lines several times
+    joined = docs.join(gone, same, "left").withColumn("__lines", F.split(body, _END))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__dropped"))
+    rest = F.array_join(F.transform(kept, lambda i: F.col("__lines")[i]), _END)
     counts = {
-        "n_lines": F.coalesce(F.when(body.isNotNull(), F.size(lines)), F.lit(0)).cast("bigint"),
+        "n_lines": F.coalesce(F.when(body.isNotNull(), F.size("__lines")), F.lit(0)).cast("bigint"),
         "n_dropped": F.when(F.col("__dropped").isNull(), 0).otherwise(F.size("__dropped")).cast("bigint"),
     }
     changed = {text: F.when(F.col("__dropped").isNull(), body).otherwise(rest)}
-    return joined.withColumns(counts | changed).drop("__id", "__row", "__dropped")
+    return joined.withColumns(counts | changed).drop("__id", "__row", "__dropped", "__lines")
