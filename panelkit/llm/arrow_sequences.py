@@ -11,10 +11,11 @@ index, so files of lost executors are never read.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
@@ -27,15 +28,17 @@ from pyspark.sql import functions as F
 from panelkit.sources.staging import new_folder, stage
 
 SEQUENCE, BATCH = 1024, 256
-# Entries that a task's memory of encoded words holds before it is emptied; longer words are not remembered.
-MEMORY, LONGEST_KEY = 500_000, 64
+# Entries that a task's memory of encoded words holds before it is emptied; longer words are not remembered; texts
+# that are cut into words at a time.
+MEMORY, LONGEST_KEY, TEXTS = 900_000, 64, 500
 _INDEX = "doc_id bigint, file string, place bigint, n_tokens bigint"
 
 
 class WordEncoder:
     """Ids of texts by a tokenizers file whose pre-tokenizer never keeps a space or line end inside a token.
 
-    A text is cut there, and the words that come again are remembered.
+    A text is cut there, and the words that come again are remembered. Words that differ by what the file's rules
+    take apart or fold anyway, a full stop or comma behind an ASCII letter and ASCII capitals, are encoded once.
     """
 
     def __init__(self, path: str):
@@ -43,33 +46,55 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
+        rules = json.loads(self.model.to_str())
+        steps = [n["type"] for n in rules["normalizer"]["normalizers"]]
+        if steps != ["NFC", "Replace", "Lowercase"] or any("<" not in t["content"] for t in rules["added_tokens"]):
+            raise ValueError(f"not a vocabulary of the expected kind: {path}")
         self.dtype = np.dtype("<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4")
         self.words: dict[bytes, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> Iterator[bytes]:
-        for coded in self.model.encode_batch_fast(texts, add_special_tokens=False):
-            yield np.array(coded.ids, self.dtype).tobytes()
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as the bytes of an array of ``dtype``; null and empty texts have none."""
-        cut = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-        if len(self.words) > MEMORY:
-            self.words.clear()
-        new: set[bytes] = set()
-        for words in cut:
-            new.update(words)
-        new.difference_update(self.words)
-        unknown = list(new)
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        texts = [w.decode("utf-8", "surrogatepass") for w in words]
+        coded = self.model.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(c.ids, self.dtype).tobytes() for c in coded]
+
+    def _learn(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
+        """Ids of words."""
+        split = {}
+        for w in words:
+            stop = w[-1:] in (b".", b",") and w[-2:-1].isalpha()
+            stem, tail = (w[:-1], w[-1:]) if stop else (w, b"")
+            # a special string in capitals is none
+            split[w] = (stem if b"<" in stem else stem.lower()), tail
+        unknown = list({part for pair in split.values() for part in pair if part}.difference(self.words))
+        fresh = {}
         for k in range(0, len(unknown), 10_000):
             part = unknown[k : k + 10_000]
-            texts_of = [w.decode("utf-8", "surrogatepass") for w in part]
-            self.words.update(zip(part, self._ids(texts_of), strict=True))
-        get = self.words.__getitem__
-        out = [b"".join(map(get, words)) for words in cut]
-        for w in unknown:
-            if len(w) > LONGEST_KEY:
-                del self.words[w]
-        return out
+            fresh.update(zip(part, self._ids(part), strict=True))
+        fresh[b""] = b""
+
+        def ids(part: bytes) -> bytes:
+            known = fresh.get(part)
+            return self.words[part] if known is None else known
+
+        return {w: ids(stem) + ids(tail) for w, (stem, tail) in split.items()}
+
+    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Ids of each text as the bytes of an array of ``dtype``; null and empty texts have none."""
+        for k in range(0, len(texts), TEXTS):
+            cut = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts[k : k + TEXTS]]
+            if len(self.words) > MEMORY:
+                self.words.clear()
+            new: set[bytes] = set()
+            for words in cut:
+                new.update(words)
+            new.difference_update(self.words)
+            self.words.update(self._learn(new))
+            get = self.words.__getitem__
+            yield from [b"".join(map(get, words)) for words in cut]
+            for w in new:
+                if len(w) > LONGEST_KEY:
+                    del self.words[w]
 
 
 @cache
