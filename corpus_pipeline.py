@@ -25,9 +25,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that repeat earlier ones; ``n_chars`` follows the text. Documents that lose all
-    their lines are copies of what stays elsewhere and go."""
-    rest = line_dedup.dedup_lines(docs)
+    """Documents without lines that repeat earlier ones, short ones too, or a copy would leave its heading behind;
+    ``n_chars`` follows the text. Documents that lose all their lines are copies of what stays elsewhere and go."""
+    rest = line_dedup.dedup_lines(docs, short=True)
     left = rest.filter((F.col("n_dropped") == 0) | F.col("text").rlike(r"\S"))
     return left.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 

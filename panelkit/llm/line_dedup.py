@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from panelkit.sources.staging import stage
 
-# Shorter lines are left alone; characters of a block; rows of a table that may be broadcast.
+# Shorter lines are not compared up to an edit; characters of a block; rows of a table that may be broadcast.
 MIN_CHARS, BLOCK, BROADCAST_ROWS = 20, 64, 500_000
 _END = "\n"
 
@@ -45,21 +45,25 @@ def _halves() -> Column:
     return F.flatten(F.transform(classes, ends))
 
 
-def split_lines(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(place, id, line): the lines of MIN_CHARS characters or more, cut at line feeds only.
+def split_lines(docs: DataFrame, text: str = "text", short: bool = False) -> DataFrame:
+    """(place, id, line): the lines of MIN_CHARS characters or more, cut at line feeds only; with ``short`` also the
+    shorter ones that have a word.
 
     ``place`` orders all lines: by document, null ids last, rows that repeat an id by a hash of their texts, then by
     position. ``id`` is a 128-bit hash of the line.
     """
     cut = docs.select("doc_id", F.xxhash64(f"`{text}`").alias("row"), F.posexplode(F.split(f"`{text}`", _END)).alias("pos", "line"))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "pos")
-    long = cut.filter(F.length("line") >= MIN_CHARS)
-    return long.select(place.alias("place"), F.unhex(F.md5("line")).alias("id"), "line")
+    wanted = F.length("line") >= MIN_CHARS
+    wanted = wanted | F.col("line").rlike(r"\S") if short else wanted
+    return cut.filter(wanted).select(place.alias("place"), F.unhex(F.md5("line")).alias("id"), "line")
 
 
 def distinct_lines(lines: DataFrame) -> DataFrame:
-    """(id, first, n, anchors): each distinct line, where it is found first, how often, and its halves."""
-    return lines.withColumn("anchors", _halves()).groupBy("id").agg(
+    """(id, first, n, anchors): each distinct line, where it is found first, how often, and its halves; no halves (null)
+    of a line under MIN_CHARS characters, which so never enters the join."""
+    halves = F.when(F.length("line") >= MIN_CHARS, _halves())
+    return lines.withColumn("anchors", halves).groupBy("id").agg(
         F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), F.any_value("anchors").alias("anchors")
     )
 
@@ -148,9 +152,9 @@ def near_lines(known: DataFrame, lines: DataFrame) -> DataFrame:
     return checked.filter(F.levenshtein("line", "earlier", 1) >= 0).select("id").distinct()
 
 
-def dropped_lines(docs: DataFrame, text: str = "text") -> DataFrame:
+def dropped_lines(docs: DataFrame, text: str = "text", short: bool = False) -> DataFrame:
     """(doc_id, row, dropped): positions of the lines to drop, for documents that have any."""
-    lines = split_lines(docs, text)
+    lines = split_lines(docs, text, short)
     known = stage(distinct_lines(lines), "lines")
     near = near_lines(known, lines).withColumn("near", F.lit(True))
     again = known.join(near, "id", "left").select("id", "first", "n", F.coalesce("near", F.lit(False)).alias("near"))
@@ -160,18 +164,19 @@ def dropped_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     return by_row.agg(F.collect_set("place.pos").alias("dropped"))
 
 
-def dedup_lines(docs: DataFrame, text: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, text: str = "text", short: bool = False) -> DataFrame:
     """The documents with ``n_lines`` and ``n_dropped`` beside their columns, and the dropped lines taken out of
     ``text``; the rest of the lines stay in order, a document without any left gets an empty text.
 
     A line of MIN_CHARS characters or more is dropped if an earlier line of any document, or of its own, is equal to
-    it or one edit (a character inserted, deleted or replaced) away. Earlier means a smaller doc_id (null last), then
+    it or one edit (a character inserted, deleted or replaced) away. With ``short``, a shorter line that has a word is
+    dropped if an earlier line is equal to it; without, shorter lines stay. Earlier means a smaller doc_id (null last), then
     a smaller position; whether that line is dropped itself does not matter. Rows that repeat an id come in the order
     of a hash of their texts; rows that repeat id and text share their lines' places, so all of them keep the same
     lines. Null texts stay null and have no lines. Columns named n_lines or n_dropped are replaced. An empty table
     gives no rows.
     """
-    gone = dropped_lines(docs, text).select(
+    gone = dropped_lines(docs, text, short).select(
         F.col("doc_id").alias("__id"), F.col("row").alias("__row"), F.col("dropped").alias("__dropped")
     )
     body = F.col(f"`{text}`")

@@ -90,3 +90,12 @@ def test_edges_are_defined(spark, documents):
 def test_no_python_in_the_plan(spark, documents, capsys):
     line_dedup.dedup_lines(documents(["a line that comes again and again"] * 3)).explain()
     assert "Python" not in capsys.readouterr().out
+
+
+def test_short_lines_go_if_asked(spark, documents):
+    rows = [(1, "Heading\n\nthe very same line of text\n \n"), (2, "Heading\n\nthe very same line of text\n \nHeadinq"), (None, "Heading")]
+    got = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in line_dedup.dedup_lines(documents(rows), short=True).collect()}
+    # blank lines stay, and one edit counts from MIN_CHARS characters on
+    assert got == {1: (rows[0][1], 0), 2: ("\n \nHeadinq", 2), None: ("", 1)}
+    kept = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(documents(rows)).collect()}
+    assert kept == by_hand(rows) and kept[None] == "Heading"

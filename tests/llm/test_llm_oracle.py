@@ -84,3 +84,11 @@ def test_stages_take_their_arguments():
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "quality rules", "line dedup", "simhash near-dedup", "mixing to target weights", "sentencepiece encoding",
     ]
+
+
+def test_lines_leave_no_stub_of_a_copy(spark, documents):
+    body = " ".join(letters(7, i) for i in range(60))
+    rows = [(1, f"A heading\n\n{body}\n1."), (2, f"A heading\n\n{body}\n1."), (3, f"A heading\n{body[::-1]}"), (4, f"1.\n{body} x")]
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.lines(spark, documents(rows), "").collect()}
+    want = {1: rows[0][1], 3: body[::-1], 4: f"{body} x"}
+    assert got == {i: (t, len(t)) for i, t in want.items()}
