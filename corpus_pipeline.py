@@ -7,7 +7,7 @@ and all but the last return the columns of documents.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm import line_dedup, mixing, quality_rules, sentencepiece_codec, simhash
@@ -32,17 +32,43 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return left.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
+def _row(docs: DataFrame) -> Column:
+    """A hash of a row's values and of which are null: rows that repeat an id, or have none, are told apart by it."""
+    columns = [docs[f"`{c}`"] for c in docs.columns]
+    return F.xxhash64(*columns, *[c.isNull() for c in columns])
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id."""
-    gone = stage(simhash.near_duplicates(docs).filter("not kept").select("doc_id").distinct(), "copies")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near copies: the one with the smallest id, null last; of rows that repeat an id, the
+    one with the smallest hash, and of equal rows one."""
+    hashed = docs.withColumn("__hash", _row(docs))
+    # rows without an id are copies like others, so the operator gets an id that is never null
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("__hash").alias("hash"))
+    verdicts = simhash.near_duplicates(hashed.select(place.alias("doc_id"), "text"))
+    rows = verdicts.groupBy(F.col("doc_id.doc_id").alias("__id"), F.col("doc_id.hash").alias("__row"))
+    judged = rows.agg(F.bool_and("kept").alias("__kept"), F.count(F.lit(1)).alias("__n"))
+    judged = stage(judged.filter("not __kept or __n > 1"), "copies")
+    same = hashed["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__row"))
+    # only rows that are kept and come again are shuffled with their texts
+    once = hashed.join(judged, same, "left_anti").select(*docs.columns)
+    again = hashed.join(judged.filter("__kept"), same, "left_semi").select(*docs.columns)
+    return once.unionByName(again.dropDuplicates())
+
+
+def _leaf(path: Column) -> Column:
+    return F.xxhash64(F.to_json(path))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the target weights take, as often as they take them."""
+    """Documents that the target weights take, as often as they take them. Rows of a leaf that repeat an id, or have
+    none, are taken alike; rows of other leaves have nothing to do with them."""
     mixed = mixing.mix(docs.withColumn("domain", domain()), weights=WEIGHTS, share=SHARE)
-    taken = mixed.filter("epochs > 0").groupBy(F.col("doc_id").alias("__id")).agg(F.max("epochs").alias("__epochs"))
-    kept = docs.join(taken, docs["doc_id"].eqNullSafe(F.col("__id")))
+    by_row = mixed.filter("epochs > 0").groupBy(F.col("doc_id").alias("__id"), _leaf(F.col("path")).alias("__of"))
+    # written first, so that its size is known before the texts would be shuffled for the join
+    taken = stage(by_row.agg(F.max("epochs").alias("__epochs")), "taken")
+    path = F.array(domain(), *[F.col(c).cast("string") for c in mixing.LEVELS[1:]])
+    worded = docs.filter(F.col("text").rlike(r"\S")).withColumn("__leaf", _leaf(path))
+    kept = worded.join(taken, worded["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__leaf") == F.col("__of")))
     copies = F.explode(F.sequence(F.lit(1), F.col("__epochs").cast("int")))
     return kept.withColumn("__copy", copies).select(*docs.columns)
 

@@ -92,3 +92,23 @@ def test_lines_leave_no_stub_of_a_copy(spark, documents):
     got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.lines(spark, documents(rows), "").collect()}
     want = {1: rows[0][1], 3: body[::-1], 4: f"{body} x"}
     assert got == {i: (t, len(t)) for i, t in want.items()}
+
+
+def test_near_duplicates_judge_rows(spark, documents):
+    a, b, c, d = (" ".join(letters(k, i) for i in range(60)) for k in (1, 5, 9, 13))
+    rows = [(1, a), (5, a), (5, b), (9, b), (7, c), (7, c), (None, a), (None, d), (None, d), (None, d, None, "en"), (None, d, "en", None)]
+    rows += [(8, c + " ", "de", "src1"), (7, c + " ", "en", "src2")]
+    docs = documents(rows)
+    got = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns
+    found = sorted(((r["doc_id"], r["text"].strip()) for r in got.collect()), key=repr)
+    assert found == sorted([(1, a), (5, b), (7, c), (None, d)], key=repr)
+    assert corpus_pipeline.near_duplicates(spark, docs.limit(0), "").count() == 0
+
+
+def test_mixture_judges_rows_by_leaf(spark, documents, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "WEIGHTS", {("domain0", "en", "src0"): 0.0})
+    monkeypatch.setattr(corpus_pipeline, "SHARE", 2.0)
+    rows = [(5, "shut leaf", "en", "src0"), (5, "open leaf", "en", "src4"), (None, "no id", None, "src1"), (None, "shut", "en", "src0"), (5, " ", "en", "src4")]
+    got = corpus_pipeline.mixture(spark, documents(rows), "").collect()
+    assert sorted(r["text"] for r in got) == ["no id", "open leaf"]
