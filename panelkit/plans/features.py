@@ -22,6 +22,7 @@ from panelkit.operators.rollups import (
 )
 from panelkit.sources.feature_table import create_feature_table, upsert_feature_table
 from panelkit.sources.raw import read_app_events, read_people, read_points, read_visits
+from panelkit.sources.staging import stage
 
 ACTIVITY = [SUM_POINTS, N_PURCHASES, N_STORES, N_PRODUCTS, N_NOTIFY, N_VISITS]
 FEATURES = ["age", *ACTIVITY]
@@ -63,6 +64,22 @@ def _within(col: str, months: tuple[str, str], dash: str = "") -> Column:
     return F.col(col).between(f"{low}{dash}01", f"{high}{dash}31")
 
 
+def _rows_before(spine: DataFrame, months: tuple[str, str], low: str) -> DataFrame:
+    """Keys of the last row before ``months`` of each person who has rows in them, where it is older than ``low``."""
+    person, month = KEYS
+    now = spine.filter(F.col(month).between(*months)).select(person).distinct()
+    before = spine.filter(F.col(month) < months[0]).select(*KEYS).join(now, person, "left_semi")
+    return before.groupBy(person).agg(F.max(month).alias(month)).filter(F.col(month) < low)
+
+
+def _with_rows(table: DataFrame, kept: Column, older: Column, month: Column, keys: DataFrame) -> DataFrame:
+    """The rows of ``table`` that are ``kept``, and of the ``older`` ones those of a person and month in ``keys``."""
+    person = keys.select(F.col(KEYS[0]).alias("__id"), F.col(KEYS[1]).alias("__month"))
+    rows = table.filter(older).withColumn("__of", month)
+    same = (F.col(KEYS[0]) == F.col("__id")) & (F.col("__of") == F.col("__month"))
+    return table.filter(kept).unionByName(rows.join(person, same, "left_semi").drop("__of"))
+
+
 def build_feature_table(
     spark: SparkSession,
     people: str,
@@ -81,8 +98,9 @@ def build_feature_table(
 
     ``update`` merges into the table at ``table``, otherwise it is created. ``months``, the first and last as
     ``yyyyMM``, restricts every scan to these months and ``overlap`` months before them: a person's last stored
-    month gets its value to predict only when the next one comes. A person whose last row lies more than
-    ``overlap`` months back needs a larger one. Dates that are no dates are left out with and without ``months``.
+    month gets its value to predict only when the next one comes. An update finds in the spine (ids and months only)
+    the persons of these months whose last row before them is older than that, and builds that row again too, as
+    its value to predict is known only now. Dates that are no dates are left out with and without ``months``.
 
     Rows of ``people`` without id or month are set aside in ``<table>/rejects`` before anything else is computed;
     gives their number.
@@ -93,9 +111,20 @@ def build_feature_table(
     bad = spine.filter(F.col(KEYS[0]).isNull() | F.col(KEYS[1]).isNull())
     if months is not None:
         span = (months_before(months[0], overlap), months[1])
-        spine = spine.filter(F.col(KEYS[1]).between(*span))
-        lines, calls = lines.filter(_within("yyyymmdd", span)), calls.filter(_within("yyyymmdd", span))
-        log = log.filter(_within("yyyymmdd", span, "-"))
+        older = stage(_rows_before(spine, months, span[0]), "older") if update else None
+        first = older.agg(F.min(KEYS[1])).first()[0] if update else None
+        month, date = F.col(KEYS[1]), F.col("yyyymmdd")
+        if first is None:
+            spine = spine.filter(month.between(*span))
+            lines, calls = lines.filter(_within("yyyymmdd", span)), calls.filter(_within("yyyymmdd", span))
+            log = log.filter(_within("yyyymmdd", span, "-"))
+        else:
+            gap = (first, months_before(span[0], 1))
+            spine = _with_rows(spine, month.between(*span), month.between(*gap), month, older)
+            kept, past, of = _within("yyyymmdd", span), _within("yyyymmdd", gap), F.substring(date, 1, 6)
+            lines, calls = (_with_rows(t, kept, past, of, older) for t in (lines, calls))
+            of = F.concat(F.substring(date, 1, 4), F.substring(date, 6, 2))
+            log = _with_rows(log, _within("yyyymmdd", span, "-"), _within("yyyymmdd", gap, "-"), of, older)
     rejected = bad.count()
     if rejected:
         bad.write.parquet(f"{table}/rejects/{uuid.uuid4().hex}")

@@ -277,6 +277,26 @@ def test_build_by_months(spark, tmp_path):
     assert [features.months_before("202302", n) for n in (0, 1, 2, 14)] == ["202302", "202301", "202212", "202112"]
 
 
+def test_build_by_months_with_gaps(spark, tmp_path):
+    """A person's row is stored once the next one comes, however many months lie between."""
+    months = ["202209", "202210", "202211", "202212", "202301"]
+    paths = _write_raw(spark, tmp_path, months)
+    people = spark.read.parquet(paths["people"])
+    gone = {1: ["202210", "202211", "202212"], 2: ["202211"]}
+    for i, absent in gone.items():
+        people = people.filter(~(F.col("distinct_id").eqNullSafe(i) & F.coalesce(F.col("yyyymm").isin(absent), F.lit(False))))
+    paths = paths | {"people": str(tmp_path / "gaps"), "table": str(tmp_path / "whole")}
+    people.write.parquet(paths["people"])
+    build_feature_table(spark, **paths, id_type="bigint")
+    whole = _rows(ft.read_feature_table(spark, paths["table"]))
+    assert [r[:2] for r in whole] == [(1, "202209"), (2, "202209"), (2, "202210"), (2, "202212")]
+    parts = paths | {"table": str(tmp_path / "parts")}
+    build_feature_table(spark, **parts, id_type="bigint", months=("202209", "202209"))
+    for m in months[1:]:
+        build_feature_table(spark, **parts, id_type="bigint", update=True, months=(m, m))
+    assert _rows(ft.read_feature_table(spark, parts["table"])) == whole
+
+
 def test_months_reach_the_scan(spark, tmp_path):
     paths = _write_raw(spark, tmp_path, ["202301", "202302"])
     rows = raw.read_points(spark, paths["points"]).filter(features._within("yyyymmdd", ("202302", "202302")))
