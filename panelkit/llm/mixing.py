@@ -58,16 +58,21 @@ def _filled(nodes: DataFrame) -> DataFrame:
 def leaf_budgets(leaves: DataFrame, depth: int, weights: Weights, epochs: int, share: float) -> DataFrame:
     """(path, supply, budget) of each leaf; ``leaves`` is a written table of (path, supply), one row for each leaf.
 
-    The root's budget is ``share`` of all tokens, rounded down. Weights are not negative, 0 shuts a node.
+    The root's budget is ``share`` of all tokens, rounded down. Weights are not negative, 0 shuts a node; what it holds
+    is no part of what the nodes above it can use.
     """
-    held = leaves.withColumn("cap", F.col("supply") * epochs)
     whole = F.floor(F.sum("supply").over(Window.partitionBy("parent")) * F.lit(float(share))).cast("double")
-    above = None
-    for k in range(1, depth + 1):
+    held = leaves.withColumn("cap", F.col("supply") * epochs)
+    levels = []
+    for k in range(depth, 0, -1):
         nodes = held.groupBy(F.slice("path", 1, k).alias("path")).agg(
             F.sum("cap").alias("cap"), F.sum("supply").alias("supply")
         )
         nodes = _weighted(nodes.withColumn("parent", F.slice("path", 1, k - 1)), weights)
+        levels.insert(0, nodes)
+        held = nodes.withColumn("cap", F.when(F.col("weight") > 0, F.col("cap")).otherwise(0))
+    above = None
+    for nodes in levels:
         if above is None:
             nodes = nodes.withColumn("of_parent", whole)
         else:

@@ -90,3 +90,16 @@ def test_edges_are_defined(spark, documents):
 def test_no_python_in_the_plan(spark, documents, capsys):
     mixing.mix(documents(["a b"]).withColumn("domain", F.lit("d"))).explain()
     assert "Python" not in capsys.readouterr().out
+
+
+def test_shut_children_are_no_supply(spark):
+    """What a shut node would have held goes to the ancestors' siblings, at every depth."""
+    rows = [(i, "a", "x", "s", 1) for i in range(10)]
+    rows += [(100 + i, "a", "x", "shut", 1) for i in range(90)]
+    rows += [(300 + i, "a", "y", "s", 1) for i in range(100)]
+    rows += [(1000 + i, "b", "x", "s", 1) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, domain string, lang string, source string, n bigint")
+    weights = {("a", "y"): 0.0, ("a", "x", "shut"): 0.0}
+    mixed = mixing.mix(docs, weights=weights, share=0.5, n_tokens=F.col("n"))
+    got = mixed.groupBy(F.col("path")[0], F.col("path")[1], F.col("path")[2]).agg(F.sum("epochs")).collect()
+    assert sorted(tuple(r) for r in got) == [("a", "x", "s", 10), ("a", "x", "shut", 0), ("a", "y", "s", 0), ("b", "x", "s", 190)]
