@@ -112,3 +112,21 @@ def test_mixture_judges_rows_by_leaf(spark, documents, monkeypatch):
     rows = [(5, "shut leaf", "en", "src0"), (5, "open leaf", "en", "src4"), (None, "no id", None, "src1"), (None, "shut", "en", "src0"), (5, " ", "en", "src4")]
     got = corpus_pipeline.mixture(spark, documents(rows), "").collect()
     assert sorted(r["text"] for r in got) == ["no id", "open leaf"]
+
+
+def test_ablations_of_the_whole_table(spark):
+    got = quality_rules.ablations(quality_rules.ledger(queries.documents(spark, SF_DIR)))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+    con.execute(f"CREATE TABLE found AS SELECT failed FROM ({oracle.ORACLE['op1_quality_rules']})")
+    want = []
+    for policy, rules in quality_rules.POLICIES.items():
+        mask = quality_rules.mask(policy)
+        for rule in rules:
+            bit = 1 << quality_rules.RULES[rule][0]
+            want += con.execute(f"""
+                SELECT '{policy}', '{rule}', count(*), count(*) FILTER (failed & {mask} = 0), count(*) FILTER (failed & {bit} <> 0),
+                       count(*) FILTER (failed & {mask} = {bit}), count(*) FILTER (failed & {mask & ~bit} = 0)
+                FROM found""").fetchall()
+    names = ["policy", "rule", "n", "kept", "failing", "only_this", "kept_without"]
+    assert sorted(tuple(r[n] for n in names) for r in got.collect()) == sorted(want)
