@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from panelkit.llm import (
     arrow_sequences,
+    byte_codec,
     embedding_dedup,
     language_mixture,
     line_dedup,
@@ -96,6 +97,11 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.codec_digests(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_codec.codec_digests(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -109,5 +115,6 @@ QUERIES = {
         op8_mixing,
         op9_arrow_sequences,
         op10_sentencepiece,
+        op11_byte_bpe,
     )
 }
