@@ -142,6 +142,53 @@ SELECT doc_id, path[1] AS domain, path[2] AS lang, path[3] AS source, n_tokens,
 FROM added"""
 
 
+# Every order of five filters, document by document: a document falls to the first that it fails.
+_AUDIT = r"""
+WITH measured AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+),
+marks AS (
+  SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+),
+judged AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         list_concat(
+           CASE WHEN len(words) < 200 THEN ['A'] ELSE [] END,
+           CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN ['B'] ELSE [] END,
+           CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) THEN ['C'] ELSE [] END,
+           CASE WHEN regexp_matches(text, '[#$%&*|]') THEN ['D'] ELSE [] END,
+           CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN ['E'] ELSE [] END) AS fails
+  FROM measured LEFT JOIN marks USING (doc_id)
+),
+kinds AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic
+  FROM judged GROUP BY part, fails
+),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+orders AS (
+  SELECT [a.c, b.c, c.c, d.c, e.c] AS names FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5
+),
+steps AS (SELECT names, unnest(range(1, 6)) AS step FROM orders),
+counted AS (
+  SELECT part, array_to_string(names, '') AS filter_order, CAST(step AS INTEGER) AS step, names[step] AS name,
+         sum(CASE WHEN NOT list_has_any(fails, names[:step]) THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN list_contains(fails, names[step]) AND NOT list_has_any(fails, names[:step - 1]) THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN list_contains(fails, names[step]) AND list_has_any(fails, names[:step - 1]) THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails = [names[step]] THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN list_contains(fails, names[step]) AND NOT list_has_any(fails, names[:step - 1]) THEN n_good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN list_contains(fails, names[step]) AND NOT list_has_any(fails, names[:step - 1]) THEN n_toxic ELSE 0 END) AS toxic_lost
+  FROM kinds, steps GROUP BY part, names, step
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, name) AS BIGINT) AS shapley
+FROM counted"""
+
 ORACLE = {
     "op1_quality_rules": _RULES
     + f"""
@@ -150,4 +197,5 @@ SELECT *, failed & {quality_rules.mask("base-1")} <> 0 AS base_failed,
 FROM judged""",
     "op5_line_dedup": _LINES,
     "op8_mixing": _mixing(),
+    "op12_filter_audit": _AUDIT,
 }

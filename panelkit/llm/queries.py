@@ -10,6 +10,7 @@ from panelkit.llm import (
     arrow_sequences,
     byte_codec,
     embedding_dedup,
+    filter_audit,
     language_mixture,
     line_dedup,
     mixing,
@@ -102,6 +103,10 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_codec.codec_digests(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -116,5 +121,6 @@ QUERIES = {
         op9_arrow_sequences,
         op10_sentencepiece,
         op11_byte_bpe,
+        op12_filter_audit,
     )
 }
