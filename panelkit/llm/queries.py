@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from panelkit.llm import (
     arrow_sequences,
     byte_codec,
+    conversation_repair,
     embedding_dedup,
     filter_audit,
     language_mixture,
@@ -107,6 +108,32 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with the faults that the query plants by a checksum of their ids and turns."""
+    shown = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    rows = conversations.select(
+        "conv_id", "turn", *[F.coalesce(F.col(c), F.lit(" ")).alias(c) for c in ("role", "text")],
+        (F.crc32(F.concat_ws(":", *shown)) % 20).alias("fault"),
+    )
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("fault") == 4, "user").otherwise(F.col("role"))
+    copies = F.explode(F.array_repeat(F.lit(1), F.when(F.col("fault") == 3, 2).otherwise(1)))
+    return rows.filter("fault <> 0").select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    report = conversation_repair.Repair(damaged(conversations)).report
+    every = conversations.select(F.col("conv_id").alias("id")).distinct()
+    full = every.join(report, F.col("id").eqNullSafe(F.col("conv_id")), "left")
+    return full.select(
+        F.col("id").alias("conv_id"),
+        *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in conversation_repair.COUNTS],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -122,5 +149,6 @@ QUERIES = {
         op10_sentencepiece,
         op11_byte_bpe,
         op12_filter_audit,
+        op13_conversation_repair,
     )
 }
