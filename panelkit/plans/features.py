@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelkit.operators.keys import KEYS, dedup_first, require_keys
-from panelkit.operators.panel import add_future_value, assemble_panel, fill_features
+from panelkit.operators.panel import FUTURE, add_future_value, assemble_panel, fill_features
 from panelkit.operators.rollups import (
     N_NOTIFY,
     N_PRODUCTS,
@@ -20,9 +20,10 @@ from panelkit.operators.rollups import (
     rollup_points,
     rollup_visits,
 )
-from panelkit.sources.feature_table import create_feature_table, upsert_feature_table
+from panelkit.sources.feature_table import create_feature_table, read_feature_table, read_state, upsert_feature_table
+from panelkit.sources.folders import drop_folder
 from panelkit.sources.raw import read_app_events, read_people, read_points, read_visits
-from panelkit.sources.staging import stage
+from panelkit.sources.staging import new_folder
 
 ACTIVITY = [SUM_POINTS, N_PURCHASES, N_STORES, N_PRODUCTS, N_NOTIFY, N_VISITS]
 FEATURES = ["age", *ACTIVITY]
@@ -64,20 +65,64 @@ def _within(col: str, months: tuple[str, str], dash: str = "") -> Column:
     return F.col(col).between(f"{low}{dash}01", f"{high}{dash}31")
 
 
-def _rows_before(spine: DataFrame, months: tuple[str, str], low: str) -> DataFrame:
-    """Keys of the last row before ``months`` of each person who has rows in them, where it is older than ``low``."""
-    person, month = KEYS
-    now = spine.filter(F.col(month).between(*months)).select(person).distinct()
-    before = spine.filter(F.col(month) < months[0]).select(*KEYS).join(now, person, "left_semi")
-    return before.groupBy(person).agg(F.max(month).alias(month)).filter(F.col(month) < low)
+def monthly_rows(
+    spark: SparkSession,
+    people: str,
+    points: str,
+    events: str,
+    visits: str,
+    id_type: str | None = None,
+    months: tuple[str, str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(filled monthly rows, rows of ``people`` without id or month) from the raw tables at the given paths.
+
+    ``months``, the first and last as ``yyyyMM``, restricts every scan to these months; of people without a month none are
+    left out.
+    """
+    spine = read_people(spark, people, id_type)
+    lines, log = read_points(spark, points, id_type), read_app_events(spark, events, id_type)
+    calls = read_visits(spark, visits, id_type)
+    if months is not None:
+        month = F.col(KEYS[1])
+        spine = spine.filter(month.between(*months) | month.isNull())
+        lines, calls = (t.filter(_within("yyyymmdd", months)) for t in (lines, calls))
+        log = log.filter(_within("yyyymmdd", months, "-"))
+    bad = spine.filter(F.col(KEYS[0]).isNull() | F.col(KEYS[1]).isNull())
+    return fill_features(monthly_panel(require_keys(spine), lines, log, calls), FEATURES), bad
 
 
-def _with_rows(table: DataFrame, kept: Column, older: Column, month: Column, keys: DataFrame) -> DataFrame:
-    """The rows of ``table`` that are ``kept``, and of the ``older`` ones those of a person and month in ``keys``."""
-    person = keys.select(F.col(KEYS[0]).alias("__id"), F.col(KEYS[1]).alias("__month"))
-    rows = table.filter(older).withColumn("__of", month)
-    same = (F.col(KEYS[0]) == F.col("__id")) & (F.col("__of") == F.col("__month"))
-    return table.filter(kept).unionByName(rows.join(person, same, "left_semi").drop("__of"))
+def with_successors(known: DataFrame | None, new: DataFrame) -> DataFrame:
+    """``known`` and ``new`` rows, no key twice, each with the value to predict, null in a person's last row, and
+    ``_changed``: whether that may differ from what was known, because the row or the one behind it is new."""
+    person, month = KEYS
+    rows = new.withColumn("_new", F.lit(True))
+    if known is not None:
+        rows = known.withColumn("_new", F.lit(False)).unionByName(rows)
+    later = Window.partitionBy(person).orderBy(month)
+    return rows.withColumns(
+        {
+            FUTURE: F.lead(SUM_POINTS, 1).over(later),
+            "_changed": F.col("_new") | F.coalesce(F.lead("_new", 1).over(later), F.lit(False)),
+        }
+    ).drop("_new")
+
+
+def _known_rows(spark: SparkSession, table: str, new: DataFrame, months: tuple[str, str] | None) -> DataFrame:
+    """The rows that an update by ``new`` has to know.
+
+    Of months that come after all others these are the rows that wait, one for each person. An update that goes back, or
+    that names no months, needs the stored rows beside them, less those that it replaces.
+    """
+    waiting = read_state(spark, table)
+    if waiting is None and months is not None:
+        raise ValueError(f"no rows wait in {table}: update it once without months")
+    if waiting is not None and months is not None:
+        latest = waiting.agg(F.max(KEYS[1])).first()[0]
+        if latest is None or latest < months[0]:
+            return waiting
+    stored = read_feature_table(spark, table).drop(FUTURE)
+    rows = stored if waiting is None else stored.unionByName(waiting)
+    return rows.join(new.select(*KEYS), KEYS, "left_anti")
 
 
 def build_feature_table(
@@ -92,45 +137,34 @@ def build_feature_table(
     partition_by: str | None = KEYS[1],
     update: bool = False,
     months: tuple[str, str] | None = None,
-    overlap: int = 1,
 ) -> int:
     """Read the raw tables at the given paths and store their panel as a feature table.
 
-    ``update`` merges into the table at ``table``, otherwise it is created. ``months``, the first and last as
-    ``yyyyMM``, restricts every scan to these months and ``overlap`` months before them: a person's last stored
-    month gets its value to predict only when the next one comes. An update finds in the spine (ids and months only)
-    the persons of these months whose last row before them is older than that, and builds that row again too, as
-    its value to predict is known only now. Dates that are no dates are left out with and without ``months``.
+    A person's last row has no value to predict yet. Such rows, one for each person, wait in the table's state
+    and are published with each version. ``update`` merges into the table at ``table``, otherwise it is created.
+    ``months``, the first and last as ``yyyyMM``, restricts every scan of raw data to these months: a row that waits gets its
+    value when the person's next row comes, however many months lie between, and no older raw data are read for it.
+    Updates with older months than those that wait correct stored rows, and read the table for it; a row that the raw
+    data no longer have stays. Dates that are no dates are left out with and without ``months``.
 
-    Rows of ``people`` without id or month are set aside in ``<table>/rejects`` before anything else is computed;
-    gives their number.
+    Rows of ``people`` without id or month are set aside in ``<table>/rejects``; gives their number.
     """
-    spine = read_people(spark, people, id_type)
-    lines, log = read_points(spark, points, id_type), read_app_events(spark, events, id_type)
-    calls = read_visits(spark, visits, id_type)
-    bad = spine.filter(F.col(KEYS[0]).isNull() | F.col(KEYS[1]).isNull())
-    if months is not None:
-        span = (months_before(months[0], overlap), months[1])
-        older = stage(_rows_before(spine, months, span[0]), "older") if update else None
-        first = older.agg(F.min(KEYS[1])).first()[0] if update else None
-        month, date = F.col(KEYS[1]), F.col("yyyymmdd")
-        if first is None:
-            spine = spine.filter(month.between(*span))
-            lines, calls = lines.filter(_within("yyyymmdd", span)), calls.filter(_within("yyyymmdd", span))
-            log = log.filter(_within("yyyymmdd", span, "-"))
-        else:
-            gap = (first, months_before(span[0], 1))
-            spine = _with_rows(spine, month.between(*span), month.between(*gap), month, older)
-            kept, past, of = _within("yyyymmdd", span), _within("yyyymmdd", gap), F.substring(date, 1, 6)
-            lines, calls = (_with_rows(t, kept, past, of, older) for t in (lines, calls))
-            of = F.concat(F.substring(date, 1, 4), F.substring(date, 6, 2))
-            log = _with_rows(log, _within("yyyymmdd", span, "-"), _within("yyyymmdd", gap, "-"), of, older)
+    new, bad = monthly_rows(spark, people, points, events, visits, id_type, months)
+    held = new_folder(spark, "panel")
+    if update:
+        known = _known_rows(spark, table, new, months)
+        with_successors(known, new).write.parquet(held)
+    else:
+        with_successors(None, new).write.parquet(held)
+    rows = spark.read.parquet(held)
     rejected = bad.count()
     if rejected:
         bad.write.parquet(f"{table}/rejects/{uuid.uuid4().hex}")
-    panel = feature_panel(require_keys(spine), lines, log, calls)
+    ready = rows.filter(F.col(FUTURE).isNotNull() & F.col("_changed")).drop("_changed")
+    waiting = rows.filter(F.col(FUTURE).isNull()).drop(FUTURE, "_changed")
     if update:
-        upsert_feature_table(spark, table, panel)
+        upsert_feature_table(spark, table, ready, state=waiting)
     else:
-        create_feature_table(panel, table, KEYS, description, partition_by)
+        create_feature_table(ready, table, KEYS, description, partition_by, waiting)
+    drop_folder(spark, held)
     return rejected

@@ -2,7 +2,8 @@
 
     <path>/data/write=W/...         rows of one write; W is new with every attempt
     <path>/parts/P/...              (value, write): which writes hold the rows of each partition
-    <path>/versions/version=N/...   one JSON record: schema, keys, the folder under parts
+    <path>/state/S/...              rows kept beside the table for its next update, if any
+    <path>/versions/version=N/...   one JSON record: schema, keys, the folders under parts and state
 
 A version exists once its record does, and the record is written last, after the keys of
 the data have been checked: readers see whole, checked versions only, and a job
@@ -28,7 +29,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from panelkit.operators.keys import KEYS, key_violations
 from panelkit.sources.folders import drop_folder, list_folder
 
-_RECORD = "description string, primary_keys array<string>, partition_by string, schema string, parts string"
+_RECORD = "description string, primary_keys array<string>, partition_by string, schema string, parts string, state string"
 _PARTS = "value string, write string"
 
 
@@ -38,9 +39,11 @@ def create_feature_table(
     primary_keys: list[str] = KEYS,
     description: str = "",
     partition_by: str | None = None,
+    state: DataFrame | None = None,
 ) -> None:
     """Write ``df`` as version 1 of a new table. Fails if the table is there already or if the
-    keys are not unique and known. ``partition_by``: one of the keys."""
+    keys are not unique and known. ``partition_by``: one of the keys. ``state``: rows of any kind that belong to this
+    version without being rows of the table; ``read_state`` gives them."""
     if _versions(df.sparkSession, path):
         raise ValueError(f"feature table exists: {path}")
     if partition_by is not None and partition_by not in primary_keys:
@@ -50,14 +53,15 @@ def create_feature_table(
         "primary_keys": list(primary_keys),
         "partition_by": partition_by,
         "schema": df.schema.json(),
+        "state": _write_state(state, path),
     }
     _write_whole(df, path, 1, record)
 
 
 def upsert_feature_table(
-    spark: SparkSession, path: str, df: DataFrame, mode: str = "merge"
+    spark: SparkSession, path: str, df: DataFrame, mode: str = "merge", state: DataFrame | None = None
 ) -> None:
-    """Write ``df`` into the table as its next version.
+    """Write ``df`` into the table as its next version, ``state`` as its state; without one the state stays as it was.
 
     'merge': rows whose key is there replace the stored ones, others are added.
     'overwrite': the rows of ``df`` become the whole table. The columns have to be those of the table, in any order;
@@ -69,6 +73,8 @@ def upsert_feature_table(
         extra, missing = sorted({*df.columns} - {*columns.names}), sorted({*columns.names} - {*df.columns})
         raise ValueError(f"columns differ from the table's: further {extra}, missing {missing}")
     df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in columns])
+    if state is not None:
+        old = old | {"state": _write_state(state, path)}
     if mode == "overwrite":
         _write_whole(df, path, version + 1, old)
     elif mode == "merge":
@@ -82,6 +88,15 @@ def read_feature_table(spark: SparkSession, path: str, version: int | None = Non
     return _rows(spark, path, _record(spark, path, version)[1])
 
 
+def read_state(spark: SparkSession, path: str, version: int | None = None) -> DataFrame | None:
+    """The state of a version, by default of the newest; None if it has none."""
+    state = _record(spark, path, version)[1]["state"]
+    if state is None:
+        return None
+    kept = json.loads(state)
+    return spark.read.schema(StructType.fromJson(kept["schema"])).parquet(f"{path}/state/{kept['folder']}")
+
+
 def describe_feature_table(spark: SparkSession, path: str) -> DataFrame:
     """(column, type, is_key, position, description) of the newest version."""
     record = _record(spark, path)[1]
@@ -113,6 +128,9 @@ def clean_feature_table(spark: SparkSession, path: str, keep: int = 1) -> None:
             drop_folder(spark, f"{path}/data/{name}")
     for name in set(list_folder(spark, f"{path}/parts")) - {r["parts"] for r in records}:
         drop_folder(spark, f"{path}/parts/{name}")
+    states = {json.loads(r["state"])["folder"] for r in records if r["state"] is not None}
+    for name in set(list_folder(spark, f"{path}/state")) - states:
+        drop_folder(spark, f"{path}/state/{name}")
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
@@ -131,6 +149,15 @@ def _record(spark: SparkSession, path: str, version: int | None = None) -> tuple
     return version, row.asDict()
 
 
+def _write_state(state: DataFrame | None, path: str) -> str | None:
+    """The record of a state, written to a folder of its own: it counts once a version names it."""
+    if state is None:
+        return None
+    name = uuid.uuid4().hex
+    state.write.parquet(f"{path}/state/{name}")
+    return json.dumps({"folder": name, "schema": state.schema.jsonValue()})
+
+
 def _parts(spark: SparkSession, path: str, record: dict) -> DataFrame:
     return spark.read.schema(_PARTS).parquet(f"{path}/parts/{record['parts']}")
 
@@ -143,7 +170,7 @@ def _publish(spark: SparkSession, path: str, version: int, record: dict, parts:
     name = uuid.uuid4().hex
     parts.write.parquet(f"{path}/parts/{name}")
     fields = ("description", "primary_keys", "partition_by", "schema")
-    frame = spark.createDataFrame([(*[record[k] for k in fields], name)], _RECORD)
+    frame = spark.createDataFrame([(*[record[k] for k in fields], name, record["state"])], _RECORD)
     # fails if another writer has published this version meanwhile
     frame.coalesce(1).write.json(f"{path}/versions/version={version}")
 

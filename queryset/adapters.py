@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: every 50th customer is listed twice.
 LISTED_TWICE = 50
+# Months that some people miss, the first of late comers, the last of those who leave.
+AWAY, LATE, LEFT = ("199903", "200104"), "200101", "199912"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +48,19 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def people_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spine without some rows: single months, people who are away for two years, who come late or who leave."""
+    person, month = F.col("distinct_id"), F.col("yyyymm")
+    number = F.substring("yyyymm", 1, 4).cast("int") * 12 + F.substring("yyyymm", 5, 2).cast("int")
+    away = (
+        ((person + number) % 7 == 0)
+        | ((person % 11 == 3) & month.between(*AWAY))
+        | ((person % 13 == 5) & (month < LATE))
+        | ((person % 17 == 2) & (month > LEFT))
+    )
+    return people(spark, sf_dir).filter(~away)
+
+
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey",
@@ -92,12 +109,14 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_raw(spark: SparkSession, sf_dir: str, folder: str, id_column: Column | None = None) -> dict[str, str]:
+def write_raw(
+    spark: SparkSession, sf_dir: str, folder: str, id_column: Column | None = None, spine: Callable = people
+) -> dict[str, str]:
     """The four raw tables written under ``folder``, three as Parquet and the events as CSV; gives their paths.
 
-    ``id_column`` replaces the person id.
+    ``id_column`` replaces the person id, ``spine`` makes the people.
     """
-    made = {"people": people, "points": points, "events": app_events, "visits": visits}
+    made = {"people": spine, "points": points, "events": app_events, "visits": visits}
     paths = {name: f"{folder}/{name}" for name in made}
     for name, read in made.items():
         rows = read(spark, sf_dir)

@@ -149,6 +149,20 @@ area AS (
 )
 
 
+# The spine of feature_panel_updates, and its panel with the rows that have no next one.
+_GAPS = _RAW.replace(
+    "yyyymm FROM people)",
+    """yyyymm FROM people
+  WHERE NOT ((distinct_id + CAST(substr(yyyymm, 1, 4) AS INTEGER) * 12 + CAST(substr(yyyymm, 5, 2) AS INTEGER)) % 7 = 0
+    OR distinct_id % 11 = 3 AND yyyymm BETWEEN '199903' AND '200104'
+    OR distinct_id % 13 = 5 AND yyyymm < '200101'
+    OR distinct_id % 17 = 2 AND yyyymm > '199912'))""",
+)
+_GAPS_PANEL = (_GAPS + "," + _panel("panel", "spine LEFT JOIN extras USING (distinct_id, yyyymm)")).replace(
+    "  ) WHERE lag_sum_total IS NOT NULL\n", "  )\n"
+)
+
+
 def _standardized() -> str:
     stats = ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in _NUMBERS)
     out = ", ".join(f"round(({c} - m_{c}) / s_{c}, 6) AS {c}" for c in _NUMBERS)
@@ -383,6 +397,7 @@ SELECT CASE WHEN distinct_id % 2 = 0 THEN lpad(CAST(distinct_id AS VARCHAR), 6,
             ELSE 'C-' || CAST(distinct_id AS VARCHAR) END AS distinct_id, * EXCLUDE (distinct_id)
 FROM panel""",
     "feature_panel_incremental": _PANEL + " SELECT * FROM panel",
+    "feature_panel_updates": _GAPS_PANEL + " SELECT * FROM panel",
     "feature_vectors": _vectors(),
     "forest_stump": _stump(),
     "forest_score_keys": _TRAINING

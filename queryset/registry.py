@@ -294,6 +294,20 @@ def feature_panel_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feature_table.read_feature_table(spark, paths["table"])
 
 
+def feature_panel_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table built from a spine with gaps, all months but the last twelve, which come in one by one; beside its
+    rows those that wait for their value to predict."""
+    folder = new_folder(spark, "raw")
+    paths = adapters.write_raw(spark, sf_dir, folder, spine=adapters.people_with_gaps) | {"table": f"{folder}/table"}
+    first, last = adapters.month_span(spark, sf_dir)
+    ends = [features.months_before(last, k) for k in range(12, -1, -1)]
+    for k, month in enumerate(ends):
+        months = (first if k == 0 else month, month)
+        features.build_feature_table(spark, **paths, id_type="bigint", update=k > 0, months=months)
+    waiting = feature_table.read_state(spark, paths["table"])
+    return feature_table.read_feature_table(spark, paths["table"]).unionByName(waiting, allowMissingColumns=True)
+
+
 def classification_report_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As classification_report, with no probability for people of unknown gender."""
     points = F.col("sum_total_points")
@@ -422,6 +436,7 @@ QUERIES = {
         runs_reranked,
         text_ids,
         feature_panel_incremental,
+        feature_panel_updates,
         classification_report_gaps,
         feature_vectors,
         forest_stump,

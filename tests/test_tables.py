@@ -297,6 +297,67 @@ def test_build_by_months_with_gaps(spark, tmp_path):
     assert _rows(ft.read_feature_table(spark, parts["table"])) == whole
 
 
+def test_an_update_reads_new_months_only(spark, tmp_path):
+    """Plans: the raw scans carry the new months. Files: the raw data of older months are not even there any more."""
+    months = ["202209", "202210", "202211", "202212"]
+    whole = _write_raw(spark, tmp_path, months)
+    build_feature_table(spark, **whole, id_type="bigint")
+    paths = {n: p for n, p in whole.items() if n != "table"}
+    new, _ = features.monthly_rows(spark, **paths, id_type="bigint", months=("202212", "202212"))
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(filters) == 4
+    assert sum("GreaterThanOrEqual(yyyymmdd,20221201)" in f for f in filters) == 2
+    assert sum("GreaterThanOrEqual(yyyymmdd,2022-12-01)" in f for f in filters) == 1
+    assert sum("GreaterThanOrEqual(yyyymm,202212)" in f for f in filters) == 1
+
+    table = str(tmp_path / "parts")
+    for k, m in enumerate(months):
+        folder = tmp_path / f"only-{m}"
+        folder.mkdir()
+        only = _write_raw(spark, folder, [m])
+        build_feature_table(spark, **(only | {"table": table}), id_type="bigint", update=k > 0, months=(m, m))
+    assert _rows(ft.read_feature_table(spark, table)) == _rows(ft.read_feature_table(spark, whole["table"]))
+    waiting = ft.read_state(spark, table)
+    assert _rows(waiting.select("distinct_id", "yyyymm")) == [(1, "202212"), (2, "202212")]
+    assert _rows(waiting) == _rows(ft.read_state(spark, whole["table"]))
+    # the state belongs to a version
+    assert _rows(ft.read_state(spark, table, version=2).select("yyyymm").distinct()) == [("202210",)]
+    ft.clean_feature_table(spark, table)
+    assert len(list((tmp_path / "parts" / "state").iterdir())) == 1
+    assert _rows(ft.read_state(spark, table)) == _rows(waiting)
+
+
+def test_an_update_may_go_back(spark, tmp_path):
+    """A month that comes again corrects the stored rows and the value to predict of the rows before them."""
+    paths = _write_raw(spark, tmp_path, ["202210", "202211", "202212"])
+    build_feature_table(spark, **paths, id_type="bigint")
+    more = spark.createDataFrame(
+        [("50", "b", "q", 1, "20221103"), ("60", "b", "q", 2, "20221209")],
+        "total_points string, storename string, productname string, distinct_id bigint, yyyymmdd string",
+    )
+    more.write.mode("append").parquet(paths["points"])
+    fresh = paths | {"table": str(tmp_path / "fresh")}
+    build_feature_table(spark, **fresh, id_type="bigint")
+    for months in (("202211", "202211"), ("202212", "202212")):
+        build_feature_table(spark, **paths, id_type="bigint", update=True, months=months)
+    for read in (ft.read_feature_table, ft.read_state):
+        assert _rows(read(spark, paths["table"])) == _rows(read(spark, fresh["table"]))
+
+
+def test_a_table_without_state_needs_one_whole_update(spark, tmp_path):
+    paths = _write_raw(spark, tmp_path, ["202210", "202211"])
+    build_feature_table(spark, **(paths | {"table": str(tmp_path / "other")}), id_type="bigint")
+    plain = ft.read_feature_table(spark, str(tmp_path / "other"))
+    ft.create_feature_table(plain, paths["table"], partition_by="yyyymm")
+    assert ft.read_state(spark, paths["table"]) is None
+    with pytest.raises(ValueError, match="without months"):
+        build_feature_table(spark, **paths, id_type="bigint", update=True, months=("202211", "202211"))
+    build_feature_table(spark, **paths, id_type="bigint", update=True)
+    assert _rows(ft.read_feature_table(spark, paths["table"])) == _rows(plain)
+    assert len(_rows(ft.read_state(spark, paths["table"]))) == 2
+
+
 def test_months_reach_the_scan(spark, tmp_path):
     paths = _write_raw(spark, tmp_path, ["202301", "202302"])
     rows = raw.read_points(spark, paths["points"]).filter(features._within("yyyymmdd", ("202302", "202302")))
