@@ -283,6 +283,205 @@ FROM (VALUES {rows}) AS t(run_name, max_depth, num_trees)"""
     )
 
 
+# How often a tree draws a row, by four hexadecimal digits of a hash: once from the first limit on, and so on.
+_LIMITS = ["5e2d", "bc5b", "eb71", "fb24", "ff10", "ffd9", "fffb"]
+
+
+def _forest(depth: int, trees: int) -> str:
+    """``nodes`` of a forest grown on the training part, level by level, and ``walks``: where each distinct row comes
+    by at each depth, by a recursive walk through that table."""
+    names = ["gender", *_NUMBERS]
+    pick = "CASE j " + " ".join(f"WHEN {j} THEN b{j}" for j in range(len(names))) + " END"
+    value = "CASE feature " + " ".join(f"WHEN '{c}' THEN {c}" for c in names) + " END"
+    below = ", ".join(
+        f"len(list_filter(coalesce((SELECT list(v) FROM cuts WHERE j = {j}), []), lambda c: c < {n})) AS b{j}" for j, n in enumerate(names)
+    )
+    times = " + ".join(f"CAST(d >= '{x}' AS INTEGER)" for x in _LIMITS)
+    bins = ", ".join(f"b{j}" for j in range(len(names)))
+    fields = ", ".join(f"{{'j': {j}, 'name': '{c}'}}" for j, c in enumerate(names))
+    out = f""",
+labels AS {_indexed("label")},
+parts AS MATERIALIZED (
+  SELECT training.*, label_index AS y, {_ROW_SPLIT} AS part FROM training JOIN labels USING (label)
+),
+vals AS (
+  SELECT j, v, count(*) AS n FROM (
+    SELECT unnest([{", ".join(f"{{'j': {j}, 'v': CAST({c} AS DOUBLE)}}" for j, c in enumerate(names))}], recursive := true)
+    FROM parts WHERE part = 'train') GROUP BY j, v
+),
+ranked AS (
+  SELECT j, v, n, sum(n) OVER (PARTITION BY j ORDER BY v) AS upto, sum(n) OVER (PARTITION BY j) AS total,
+         count(*) OVER (PARTITION BY j) AS d
+  FROM vals
+),
+cuts AS MATERIALIZED (
+  SELECT j, v, row_number() OVER (PARTITION BY j ORDER BY v) - 1 AS bin FROM ranked
+  WHERE upto < total AND (d <= 32 OR floor(CAST(32 * upto AS DOUBLE) / total) > floor(CAST(32 * (upto - n) AS DOUBLE) / total))
+),
+binned AS MATERIALIZED (SELECT distinct_id, yyyymm, y, {below} FROM parts WHERE part = 'train'),
+digits AS (
+  SELECT b.*, g, i, substr(md5(concat_ws('|', CAST(distinct_id AS VARCHAR), yyyymm, '42', CAST(g AS VARCHAR))), 4 * i + 1, 4) AS d
+  FROM binned b, (SELECT unnest(range({-(-trees // 8)})) AS g), (SELECT unnest(range(8)) AS i) WHERE 8 * g + i < {trees}
+),
+bags AS MATERIALIZED (
+  SELECT 8 * g + i AS tree, {bins}, coalesce(sum({times}) FILTER (y = 1), 0) AS pos, coalesce(sum({times}) FILTER (y = 0), 0) AS neg
+  FROM digits WHERE d >= '{_LIMITS[0]}' GROUP BY ALL
+),
+lots AS (SELECT unnest([{fields}], recursive := true)),
+active0 AS MATERIALIZED (SELECT tree, 1 AS node, sum(pos) AS pos, sum(neg) AS neg FROM bags GROUP BY tree),
+placed0 AS (SELECT *, 1 AS node FROM bags)"""
+    for k in range(depth):
+        out += f""",
+picked{k} AS MATERIALIZED (
+  SELECT tree, node, pos, neg, j FROM active{k}, lots WHERE pos > 0 AND neg > 0
+  QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY md5(concat_ws('|', '42', CAST(tree AS VARCHAR), CAST(node AS VARCHAR), name)), j) <= 3
+),
+hist{k} AS (
+  SELECT tree, node, j, {pick} AS bin, sum(p.pos) AS p, sum(p.neg) AS n
+  FROM placed{k} p JOIN (SELECT tree, node, j FROM picked{k}) USING (tree, node) GROUP BY ALL
+),
+sides{k} AS (
+  SELECT tree, node, j, bin, a.pos, a.neg, CAST(sum(p) OVER w AS BIGINT) AS lp, CAST(sum(n) OVER w AS BIGINT) AS ln
+  FROM hist{k} JOIN active{k} a USING (tree, node) WINDOW w AS (PARTITION BY tree, node, j ORDER BY bin)
+),
+best{k} AS MATERIALIZED (
+  SELECT * FROM (
+    SELECT *, CAST(lp AS DOUBLE) * ln / (CAST(lp AS DOUBLE) + ln)
+              + CAST(pos - lp AS DOUBLE) * (neg - ln) / (CAST(pos - lp AS DOUBLE) + (neg - ln)) AS impurity
+    FROM sides{k} WHERE lp + ln < pos + neg)
+  WHERE impurity < CAST(pos AS DOUBLE) * neg / (CAST(pos AS DOUBLE) + neg)
+  QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY impurity, j, bin) = 1
+),
+active{k + 1} AS MATERIALIZED (
+  SELECT tree, 2 * node AS node, lp AS pos, ln AS neg FROM best{k}
+  UNION ALL SELECT tree, 2 * node + 1, pos - lp, neg - ln FROM best{k}
+),
+placed{k + 1} AS MATERIALIZED (
+  SELECT p.* REPLACE (2 * p.node + CAST({pick} > bin AS INTEGER) AS node)
+  FROM placed{k} p JOIN (SELECT tree, node, j, bin FROM best{k}) USING (tree, node)
+)"""
+    levels = " UNION ALL ".join(
+        [f"SELECT tree, node, a.pos, a.neg, j, bin FROM active{k} a LEFT JOIN (SELECT tree, node, j, bin FROM best{k}) USING (tree, node)" for k in range(depth)]
+        + [f"SELECT tree, node, pos, neg, NULL, NULL FROM active{depth}"]
+    )
+    return (
+        out
+        + f""",
+nodes AS MATERIALIZED (
+  SELECT CAST(tree AS INTEGER) AS tree, CAST(node AS INTEGER) AS node, name AS feature, v AS threshold,
+         CAST(CASE WHEN j IS NOT NULL THEN 2 * node END AS INTEGER) AS "left",
+         CAST(CASE WHEN j IS NOT NULL THEN 2 * node + 1 END AS INTEGER) AS "right", CAST(pos AS BIGINT) AS pos, CAST(neg AS BIGINT) AS neg
+  FROM ({levels}) LEFT JOIN lots USING (j) LEFT JOIN cuts USING (j, bin)
+),
+kinds AS MATERIALIZED (SELECT row_number() OVER () AS kind, * FROM (SELECT DISTINCT {", ".join(names)} FROM parts)),
+walks AS (
+  SELECT kind, {", ".join(names)}, tree, 1 AS node, 0 AS depth FROM kinds, (SELECT unnest(range({trees})) AS tree)
+  UNION ALL
+  SELECT w.* REPLACE (CASE WHEN {value} > threshold THEN "right" ELSE "left" END AS node, depth + 1 AS depth)
+  FROM walks w JOIN nodes USING (tree, node) WHERE feature IS NOT NULL
+),
+passed AS MATERIALIZED (
+  SELECT kind, tree, depth, CAST(floor(CAST(1073741824 * pos AS DOUBLE) / (pos + neg)) AS BIGINT) AS share
+  FROM walks JOIN nodes USING (tree, node)
+)"""
+    )
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _forest_scores() -> str:
+    names = ", ".join(["gender", *_NUMBERS])
+    return _recursive(
+        _TRAINING
+        + _forest(5, 20)
+        + f""",
+found AS (
+  SELECT kind, CAST(sum(share) AS DOUBLE) / 21474836480.0::DOUBLE AS p
+  FROM (SELECT kind, tree, arg_max(share, depth) AS share FROM passed GROUP BY kind, tree) GROUP BY kind
+)
+SELECT distinct_id, yyyymm, y AS label, CASE WHEN p > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, round(p, 9) AS probability_1
+FROM parts JOIN kinds USING ({names}) JOIN found USING (kind) WHERE part = 'test'"""
+    )
+
+
+def _search() -> str:
+    """``lines``: (trial, max_depth, num_trees, part, metric, value) of the search's trials on both parts."""
+    names = ", ".join(["gender", *_NUMBERS])
+    trials = ", ".join(f"({i}, {d}, {t})" for i, (d, t) in enumerate(_TRIALS))
+    lines = {
+        "n": "n", "n_left_out": "0.0::DOUBLE", "accuracy": "(tp + tn) / n", "precision": "pr1", "recall": "re1", "f1": "f1",
+        "weighted_precision": "(n1 * pr1 + n0 * pr0) / n", "weighted_recall": "(n1 * re1 + n0 * re0) / n",
+        "weighted_f1": "(n1 * f1 + n0 * f0) / n", "auc": "(re1 + re0) / 2", "log_loss": "loss / n", "auc_score": "passed / (n1 * n0)",
+    }
+    rate = "CASE WHEN {1} = 0 THEN 0.0::DOUBLE ELSE {0} / ({1}) END AS {2}"
+    rates = ", ".join(
+        rate.format(*r)
+        for r in (
+            ("tp", "tp + fp", "pr1"), ("tp", "tp + fn", "re1"), ("tn", "tn + fn", "pr0"), ("tn", "tn + fp", "re0"),
+            ("2 * tp", "2 * tp + fp + fn", "f1"), ("2 * tn", "2 * tn + fp + fn", "f0"),
+        )
+    )
+    return (
+        _TRAINING
+        + _forest(max(d for d, _ in _TRIALS), max(t for _, t in _TRIALS))
+        + f""",
+trials(trial, max_depth, num_trees) AS (VALUES {trials}),
+found AS (
+  SELECT trial, kind, CAST(sum(share) AS DOUBLE) / (1073741824.0::DOUBLE * any_value(num_trees)) AS p
+  FROM (
+    SELECT trial, num_trees, kind, tree, arg_max(share, depth) AS share
+    FROM passed JOIN trials ON depth <= max_depth AND tree < num_trees GROUP BY trial, num_trees, kind, tree
+  ) GROUP BY trial, kind
+),
+scores AS (
+  SELECT trial, part, p, CAST(count(*) FILTER (y = 1) AS DOUBLE) AS pos, CAST(count(*) FILTER (y = 0) AS DOUBLE) AS neg
+  FROM parts JOIN kinds USING ({names}) JOIN found USING (kind) GROUP BY trial, part, p
+),
+curve AS (
+  SELECT *, coalesce(sum(pos) OVER (PARTITION BY trial, part ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS higher,
+         least(greatest(p, 1e-15), 1 - 1e-15) AS q
+  FROM scores
+),
+sums AS (
+  SELECT trial, part, coalesce(sum(pos) FILTER (p > 0.5), 0.0) AS tp, coalesce(sum(neg) FILTER (p > 0.5), 0.0) AS fp,
+         coalesce(sum(pos) FILTER (p <= 0.5), 0.0) AS fn, coalesce(sum(neg) FILTER (p <= 0.5), 0.0) AS tn,
+         -sum(pos * ln(q) + neg * ln(1 - q)) AS loss, sum(neg * (higher + pos / 2)) AS passed
+  FROM curve GROUP BY trial, part
+),
+rates AS (SELECT *, tp + fp + fn + tn AS n, tp + fn AS n1, tn + fp AS n0, {rates} FROM sums),
+lines AS (
+  SELECT trial, part, unnest([{", ".join(f"{{'metric': '{m}', 'value': {v}}}" for m, v in lines.items())}], recursive := true) FROM rates
+)"""
+    )
+
+
+def _leaderboard() -> str:
+    return _recursive(
+        _search()
+        + """
+SELECT CAST(max_depth AS INTEGER) AS max_depth, CAST(num_trees AS INTEGER) AS num_trees, round(-auc.value, 9) AS negative_auc,
+       round(auc.value, 9) AS auc, round(s.value, 9) AS auc_score
+FROM trials JOIN lines auc ON auc.trial = trials.trial AND auc.part = 'test' AND auc.metric = 'auc'
+JOIN lines s ON s.trial = trials.trial AND s.part = 'test' AND s.metric = 'auc_score'"""
+    )
+
+
+def _run_reports() -> str:
+    return _recursive(
+        _search()
+        + """
+SELECT 'trial ' || CAST(trial AS VARCHAR) AS run_name, unnest(CASE
+         WHEN part = 'test' AND metric = 'auc' THEN ['test_auc', 'auc', 'negative_auc']
+         WHEN part = 'test' AND metric = 'auc_score' THEN ['test_auc_score', 'auc_score']
+         WHEN part = 'test' THEN ['test_' || metric] ELSE ['train_' || metric] END) AS metric,
+       unnest(CASE WHEN part = 'test' AND metric = 'auc' THEN [round(value, 9), round(value, 9), round(-value, 9)]
+         WHEN part = 'test' AND metric = 'auc_score' THEN [round(value, 9), round(value, 9)] ELSE [round(value, 9)] END) AS value
+FROM lines WHERE part = 'test' OR metric IN ('auc', 'auc_score')"""
+    )
+
+
 def _schema() -> str:
     kinds = {"age": "int", "gender": "string", "yyyymm": "string"}
     names = ["distinct_id", "yyyymm", "age", "gender", *_NUMBERS[1:], "lag_sum_total"]
@@ -405,4 +604,8 @@ FROM panel""",
 SELECT distinct_id, yyyymm, label_index AS label, true AS sane
 FROM training JOIN {_indexed("label")} USING (label) WHERE {_ROW_SPLIT} = 'test'""",
     "search_trials": _trials(),
+    "forest_scores": _forest_scores(),
+    "forest_nodes": _recursive(_TRAINING + _forest(5, 20) + " SELECT * FROM nodes"),
+    "search_leaderboard": _leaderboard(),
+    "run_reports": _run_reports(),
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.functions import month_key, reformat_date
-from panelkit.operators import encode, evaluate, keys, panel, rollups, split
+from panelkit.operators import encode, evaluate, forest, keys, panel, rollups, split
 from panelkit.plans import features, model, search
 from panelkit.sources import feature_table, models, raw, runs
 from panelkit.sources.staging import new_folder, stage
@@ -347,6 +347,10 @@ def forest_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(model.score(models.load_model(path), test, label="label"), "probability_1", digits=9)
 
 
+# Features of the forests that are tables.
+FOREST = ["gender", *NUMBERS]
+
+
 def _forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test, _ = _prepared(spark, sf_dir)
     path = new_folder(spark, "model")
@@ -355,21 +359,35 @@ def _forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores of the test part by a forest that was stored and loaded again."""
-    return _forest_scores(spark, sf_dir)
+    """Scores of the test part by a forest that is a table of nodes: five levels, twenty trees."""
+    train, test, _ = _prepared(spark, sf_dir)
+    nodes = forest.grow_forest(train, FOREST, model.LABEL)
+    return _rounded(forest.forest_score(nodes, test, FOREST, model.LABEL, 5, 20), "probability_1", digits=9)
+
+
+def forest_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of that forest."""
+    train, _, _ = _prepared(spark, sf_dir)
+    return forest.grow_forest(train, FOREST, model.LABEL)
 
 
 def forest_score_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys and labels of forest_scores, and whether its predictions follow from its probabilities."""
+    """Keys and labels of the test part scored by a Spark ML forest that was stored and loaded again, and whether its
+    predictions follow from its probabilities."""
     sane = F.col("probability_1").between(0, 1) & ((F.col("prediction") == 1) == (F.col("probability_1") > 0.5))
     return _forest_scores(spark, sf_dir).select(*KEYS, "label", sane.alias("sane"))
 
 
-def search_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test, _ = _prepared(spark, sf_dir)
+def _forest_search(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    train, test, steps = _prepared(spark, sf_dir)
     path = new_folder(spark, "search")
-    parent = search.random_search(train, test, path)
-    return search.leaderboard(spark, path, parent).drop("run_id")
+    return path, search.forest_search(train, test, FOREST, path, labels=model.label_names(steps))
+
+
+def search_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trials of a search over forests that are tables, best first."""
+    best = search.leaderboard(spark, *_forest_search(spark, sf_dir)).drop("run_id")
+    return _rounded(best, "negative_auc", "auc", "auc_score", digits=9)
 
 
 def _reported_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -383,8 +401,10 @@ def _reported_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reports of every trial's stored model on the test part, as logged with the runs."""
-    return _reported_trials(spark, sf_dir).select("run_name", F.explode("metrics").alias("metric", "value"))
+    """Everything logged with the trials of that search: their reports on the test part, their areas on both."""
+    path, parent = _forest_search(spark, sf_dir)
+    found = runs.search_runs(runs.read_runs(spark, f"{path}/runs"), F.col("parent_run_id") == parent)
+    return _rounded(found.select("run_name", F.explode("metrics").alias("metric", "value")), "value", digits=9)
 
 
 def search_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -441,6 +461,7 @@ QUERIES = {
         feature_vectors,
         forest_stump,
         forest_scores,
+        forest_nodes,
         forest_score_keys,
         search_leaderboard,
         run_reports,

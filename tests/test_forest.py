@@ -1,0 +1,199 @@
+"""Forests as tables of nodes."""
+
+import hashlib
+import math
+import random
+
+import duckdb
+import pytest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from panelkit.operators import forest
+from panelkit.operators.evaluate import classification_report, classification_reports
+from panelkit.plans import model, search
+from panelkit.sources.runs import read_runs
+
+FEATURES = ["a", "b", "c", "d"]
+SCHEMA = "distinct_id bigint, yyyymm string, a int, b bigint, c double, d int, y double"
+
+
+def some_rows(n, seed):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        a, b, c, d = rng.randrange(3), rng.randrange(200), rng.choice([0.0, 0.0, 0.0, rng.random()]), 1
+        rows.append((i, f"2023{i % 12 + 1:02}", a, b, c, d, float((a == 2 and b > 90) or rng.random() < 0.1)))
+    return rows
+
+
+def by_hand(rows, depth, trees, seed, bins):
+    """The same forest, row by row."""
+    cuts = []
+    for j in range(4):
+        values = sorted(r[2 + j] for r in rows)
+        kinds = sorted(set(values))
+        if len(kinds) > bins:
+            ends = {v: values.index(v) + values.count(v) for v in kinds}
+            kinds = [v for v in kinds if ends[v] * bins // len(values) > (ends[v] - values.count(v)) * bins // len(values)]
+            kinds = [v for v in kinds if v != values[-1]]
+        else:
+            kinds = kinds[:-1]
+        cuts.append(kinds)
+    limits = [round(65536 * sum(math.exp(-1) / math.factorial(i) for i in range(k + 1))) for k in range(7)]
+    out = {}
+    for t in range(trees):
+        bag = []
+        for r in rows:
+            digest = hashlib.md5(f"{r[0]}|{r[1]}|{seed}|{t // 8}".encode()).hexdigest()
+            number = int(digest[4 * (t % 8) : 4 * (t % 8) + 4], 16)
+            bag += [r] * sum(number >= x for x in limits)
+
+        def grow(node, part, level, t=t):
+            pos = sum(r[6] == 1 for r in part)
+            neg = len(part) - pos
+            out[t, node] = (None, None, pos, neg)
+            if level == depth or not pos or not neg:
+                return
+            order = sorted(range(4), key=lambda j: (hashlib.md5(f"{seed}|{t}|{node}|{FEATURES[j]}".encode()).hexdigest(), j))
+            best = None
+            for j in order[:2]:
+                for k, cut in enumerate(cuts[j]):
+                    left = [r for r in part if r[2 + j] <= cut]
+                    if not left or len(left) == len(part):
+                        continue
+                    lp = float(sum(r[6] == 1 for r in left))
+                    ln = len(left) - lp
+                    rp, rn = pos - lp, neg - ln
+                    found = (lp * ln / (lp + ln) + rp * rn / (rp + rn), j, k, cut)
+                    best = found if best is None or found[:3] < best[:3] else best
+            if best is None or not best[0] < pos * neg / (pos + neg):
+                return
+            _, j, _, cut = best
+            out[t, node] = (FEATURES[j], float(cut), pos, neg)
+            grow(2 * node, [r for r in part if r[2 + j] <= cut], level + 1)
+            grow(2 * node + 1, [r for r in part if r[2 + j] > cut], level + 1)
+
+        grow(1, bag, 0)
+    return out
+
+
+def table_of(nodes):
+    return {(r["tree"], r["node"]): (r["feature"], r["threshold"], r["pos"], r["neg"]) for r in nodes.collect()}
+
+
+def test_grown_as_by_hand_whatever_the_partitions(spark):
+    rows = some_rows(300, 1)
+    want = by_hand(rows, 3, 10, 7, 8)
+    df = spark.createDataFrame(rows, SCHEMA)
+    for parts in (1, 5):
+        nodes = forest.grow_forest(df.repartition(parts), FEATURES, "y", 3, 10, 7, bins=8)
+        got = table_of(nodes)
+        # a cut point where no row of the node lies between two values gives the same split as the one before it
+        assert got.keys() == want.keys()
+        assert {k: (v[0], *v[2:]) for k, v in got.items()} == {k: (v[0], *v[2:]) for k, v in want.items()}
+    inner = nodes.filter("feature IS NOT NULL")
+    assert inner.filter("left <> 2 * node OR right <> 2 * node + 1").count() == 0
+    assert nodes.filter("feature IS NULL AND (left IS NOT NULL OR threshold IS NOT NULL)").count() == 0
+
+
+def test_small_forests_are_parts_of_large_ones(spark):
+    df = spark.createDataFrame(some_rows(300, 2), SCHEMA)
+    large = forest.grow_forest(df, FEATURES, "y", 4, 9)
+    small = forest.grow_forest(df, FEATURES, "y", 2, 3)
+    score = lambda nodes: sorted(map(tuple, forest.forest_score(nodes, df, FEATURES, "y", 2, 3).collect()))
+    assert score(large) == score(small)
+    kept = {k: v[2:] for k, v in table_of(large).items() if k[0] < 3 and k[1] < 8}
+    assert kept == {k: v[2:] for k, v in table_of(small).items()}
+
+
+def walk_in_sql(path, rows, features, depth):
+    """Mean share of class 1, by a recursive walk through the stored node table."""
+    con = duckdb.connect()
+    con.execute("CREATE TABLE x (row INTEGER, feature VARCHAR, value DOUBLE)")
+    con.executemany("INSERT INTO x VALUES (?, ?, ?)", [(i, c, float(v)) for i, r in enumerate(rows) for c, v in zip(features, r, strict=True)])
+    return dict(
+        con.execute(f"""
+        WITH RECURSIVE nodes AS (SELECT * FROM '{path}/*.parquet'),
+        walk AS (
+          SELECT row, tree, 1 AS node FROM (SELECT DISTINCT row FROM x), (SELECT DISTINCT tree FROM nodes)
+          UNION ALL
+          SELECT w.row, w.tree, CASE WHEN x.value > n.threshold THEN n."right" ELSE n."left" END
+          FROM walk w JOIN nodes n USING (tree, node) JOIN x ON x.row = w.row AND x.feature = n.feature WHERE n.node < {2**depth}
+        )
+        SELECT row, avg(pos / (pos + neg)) FROM walk JOIN nodes USING (tree, node)
+        WHERE nodes.feature IS NULL OR nodes.node >= {2**depth} GROUP BY row""").fetchall()
+    )
+
+
+def test_scores_as_a_recursive_walk_in_sql(spark, tmp_path):
+    rows = some_rows(250, 3)
+    df = spark.createDataFrame(rows, SCHEMA)
+    nodes = forest.grow_forest(df, FEATURES, "y", 4, 6)
+    nodes.write.parquet(str(tmp_path / "nodes"))
+    want = walk_in_sql(tmp_path / "nodes", [r[2:6] for r in rows], FEATURES, 4)
+    got = {r["distinct_id"]: r for r in forest.forest_score(nodes, df, FEATURES, "y", 4, 6).collect()}
+    assert all(abs(got[i]["probability_1"] - p) < 1e-8 for i, p in want.items()) and len(got) == 250
+    assert all(r["prediction"] == float(r["probability_1"] > 0.5) for r in got.values())
+    hits = sum(r["prediction"] == r["label"] for r in got.values())
+    assert hits > 200
+
+
+def test_a_spark_forest_as_a_table(spark, tmp_path):
+    """A model of Spark ML read into the same form scores as the model does, in Spark and in SQL."""
+    rows = some_rows(250, 4)
+    df = spark.createDataFrame(rows, SCHEMA)
+    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(df)
+    fitted = model.train_forest(vectors, 4, 5, label="y")
+    nodes = forest.model_nodes(spark, fitted, FEATURES)
+    nodes.write.parquet(str(tmp_path / "nodes"))
+    share = forest.forest_share(nodes, vector_to_array("features"), FEATURES, 4, 5)
+    both = model.score(fitted, vectors, label="y").join(vectors.select("distinct_id", share.alias("share")), "distinct_id")
+    assert both.filter(F.abs(F.col("share") - F.col("probability_1")) > 1e-8).count() == 0
+    want = walk_in_sql(tmp_path / "nodes", [r[2:6] for r in rows], FEATURES, 4)
+    assert all(abs(r["probability_1"] - want[r["distinct_id"]]) < 1e-8 for r in both.collect())
+
+
+def test_rows_that_cannot_be_used(spark):
+    rows = [*some_rows(40, 5), (900, "202301", None, 1, 1.0, 1, 1.0), (901, "202301", 1, 1, 1.0, 1, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    whole, known = (forest.grow_forest(d, FEATURES, "y", 2, 3) for d in (df, df.filter("distinct_id < 900")))
+    assert table_of(whole) == table_of(known)
+    assert forest.forest_score(whole, df, FEATURES, "y", 2, 3).count() == 40
+    assert forest.grow_forest(df.limit(0), FEATURES, "y", 2, 3).count() == 0
+    one = df.filter("distinct_id < 5").withColumn("y", F.lit(0.0))
+    assert table_of(forest.grow_forest(one, FEATURES, "y", 2, 1)).keys() == {(0, 1)}
+    # a null takes the left way where a caller scores it all the same
+    nodes = spark.createDataFrame([(0, 1, "a", 1.0, 2, 3, 5, 5), (0, 2, None, None, None, None, 1, 3), (0, 3, None, None, None, None, 4, 0)], forest.NODES)
+    got = df.select(forest.forest_share(nodes, F.array(F.lit(None).cast("double")), ["a"], 1, 1).alias("p")).distinct().collect()
+    assert [r["p"] for r in got] == [0.25]
+
+
+def test_reports_of_groups(spark):
+    rng = random.Random(6)
+    rows = [(g, rng.choice([0.0, 1.0, None]), rng.choice([0.1, 0.5, 0.7, rng.random()]), rng.randint(1, 3)) for g in (1, 2, None) for _ in range(50)]
+    df = spark.createDataFrame(rows, "g int, label double, score double, n int").withColumn("prediction", (F.col("score") > 0.5).cast("double"))
+    got = {}
+    for r in classification_reports(df, ["g"], weight="n").collect():
+        got.setdefault(r["g"], {})[r["metric"]] = r["value"]
+    for g in (1, 2, None):
+        mine = df.filter(F.col("g").eqNullSafe(g)).withColumn("k", F.explode(F.sequence(F.lit(1), "n")))
+        want = {r["metric"]: r["value"] for r in classification_report(mine, score="score").collect()}
+        assert got[g] == pytest.approx(want)
+
+
+def test_search_over_forests(spark, tmp_path):
+    df = spark.createDataFrame(some_rows(400, 7), SCHEMA)
+    train, valid = df.filter("distinct_id % 3 > 0"), df.filter("distinct_id % 3 = 0")
+    path = str(tmp_path / "s")
+    parent = search.forest_search(train, valid, FEATURES, path, labels=["0.0", "1.0"], label="y", trials=[{"max_depth": 1, "num_trees": 2}, {"max_depth": 3, "num_trees": 6}])
+    runs = {r["run_name"]: r for r in read_runs(spark, f"{path}/runs").filter(F.col("parent_run_id") == parent).collect()}
+    for trial in ("trial 0", "trial 1"):
+        scored = search.run_scores(spark, path, runs[trial]["run_id"], valid, FEATURES, "y")
+        want = {r["metric"]: r["value"] for r in classification_report(scored, score="probability_1").collect()}
+        logged = runs[trial]["metrics"]
+        assert {k: logged[f"test_{k}"] for k in want} == pytest.approx(want)
+        assert logged["negative_auc"] == -logged["auc"] and runs[trial]["tags"] == {"label_0": "0.0", "label_1": "1.0"}
+    assert runs["trial 1"]["metrics"]["auc"] > runs["trial 0"]["metrics"]["auc"] - 0.05
+    assert [r["max_depth"] for r in search.leaderboard(spark, path, parent).collect()][0] in (1, 3)

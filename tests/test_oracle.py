@@ -12,8 +12,7 @@ from queryset.registry import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = "region nation customer supplier part orders lineitem".split()
-# whole forests; what SQL knows of them is in forest_stump, forest_score_keys and search_trials
-NO_SQL = {"forest_scores", "search_leaderboard", "run_reports"}
+NO_SQL: set[str] = set()
 
 
 @pytest.fixture(scope="module")
