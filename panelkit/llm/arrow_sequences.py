@@ -13,10 +13,12 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import cache
+from itertools import chain, pairwise
 
 import numpy as np
 import pandas as pd
@@ -25,20 +27,24 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from panelkit.llm.batches import Memory
 from panelkit.sources.staging import new_folder, stage
 
 SEQUENCE, BATCH = 1024, 256
-# Entries that a task's memory of encoded words holds before it is emptied; longer words are not remembered; texts
-# that are cut into words at a time.
-MEMORY, LONGEST_KEY, TEXTS = 900_000, 64, 500
+# Bytes that a task's memory of encoded words holds before it is emptied; longer words are not remembered; texts that
+# are cut into words at a time.
+MEMORY, LONGEST_KEY, TEXTS = 96 << 20, 64, 500
+# Words of letters that stand for themselves: their small forms are single characters too, and nothing in them composes.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 _INDEX = "doc_id bigint, file string, place bigint, n_tokens bigint"
 
 
 class WordEncoder:
     """Ids of texts by a tokenizers file whose pre-tokenizer never keeps a space or line end inside a token.
 
-    A text is cut there, and the words that come again are remembered. Words that differ by what the file's rules
-    take apart or fold anyway, a full stop or comma behind an ASCII letter and ASCII capitals, are encoded once.
+    A text is cut there, and the words that come again are remembered. Words of plain letters, in capitals or with a
+    full stop or comma behind them, are encoded once in small letters, by a second tokenizer of the same vocabulary that
+    leaves out the rules which do nothing to them. All other words go through the file's own rules as they are.
     """
 
     def __init__(self, path: str):
@@ -48,53 +54,52 @@ class WordEncoder:
         self.model = Tokenizer.from_file(path)
         rules = json.loads(self.model.to_str())
         steps = [n["type"] for n in rules["normalizer"]["normalizers"]]
-        if steps != ["NFC", "Replace", "Lowercase"] or any("<" not in t["content"] for t in rules["added_tokens"]):
+        cuts = rules["pre_tokenizer"]["pretokenizers"]
+        if (
+            steps != ["NFC", "Replace", "Lowercase"]
+            or [c["type"] for c in cuts] != ["Split", "ByteLevel"]
+            or r"[\p{L}]+" not in cuts[0]["pattern"]["Regex"]
+            or any("<" not in t["content"] for t in rules["added_tokens"])
+        ):
             raise ValueError(f"not a vocabulary of the expected kind: {path}")
+        bytes_only = rules | {"normalizer": None, "pre_tokenizer": cuts[1], "added_tokens": [], "post_processor": None}
+        self.plain = Tokenizer.from_str(json.dumps(bytes_only))
         self.dtype = np.dtype("<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4")
-        self.words: dict[bytes, bytes] = {}
-
-    def _ids(self, words: list[bytes]) -> list[bytes]:
-        texts = [w.decode("utf-8", "surrogatepass") for w in words]
-        coded = self.model.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(c.ids, self.dtype).tobytes() for c in coded]
-
-    def _learn(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
+        self.words = Memory(MEMORY)
+        self.stops = dict(zip(("", ".", ","), self._ids(self.model, ["", ".", ","]), strict=True))
+
+    def _ids(self, model, words: list[str]) -> list[bytes]:
+        """Ids of words, all of a lot in one array."""
+        out: list[bytes] = []
+        width = self.dtype.itemsize
+        for k in range(0, len(words), 10_000):
+            coded = [c.ids for c in model.encode_batch_fast(words[k : k + 10_000], add_special_tokens=False)]
+            ends = np.cumsum([len(ids) for ids in coded]) * width
+            data = np.fromiter(chain.from_iterable(coded), self.dtype).tobytes()
+            out += [data[i:j] for i, j in pairwise([0, *ends.tolist()])]
+        return out
+
+    def _learn(self, words: list[bytes]) -> list[bytes]:
         """Ids of words."""
-        split = {}
-        for w in words:
-            stop = w[-1:] in (b".", b",") and w[-2:-1].isalpha()
-            stem, tail = (w[:-1], w[-1:]) if stop else (w, b"")
-            # a special string in capitals is none
-            split[w] = (stem if b"<" in stem else stem.lower()), tail
-        unknown = list({part for pair in split.values() for part in pair if part}.difference(self.words))
-        fresh = {}
-        for k in range(0, len(unknown), 10_000):
-            part = unknown[k : k + 10_000]
-            fresh.update(zip(part, self._ids(part), strict=True))
-        fresh[b""] = b""
-
-        def ids(part: bytes) -> bytes:
-            known = fresh.get(part)
-            return self.words[part] if known is None else known
-
-        return {w: ids(stem) + ids(tail) for w, (stem, tail) in split.items()}
+        texts = [w.decode("utf-8", "surrogatepass") for w in words]
+        found = list(map(_PLAIN.fullmatch, texts))
+        parts = [(m[1].lower(), m[2]) if m else None for m in found]
+        of = {p[0]: self.words.get(p[0].encode()) for p in parts if p}
+        stems = [s for s, ids in of.items() if ids is None]
+        whole = [t for t, m in zip(texts, found, strict=True) if not m]
+        of.update(zip(stems, self._ids(self.plain, stems), strict=True))
+        others = iter(self._ids(self.model, whole))
+        return [of[p[0]] + self.stops[p[1]] if p else next(others) for p in parts]
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of each text as the bytes of an array of ``dtype``; null and empty texts have none."""
         for k in range(0, len(texts), TEXTS):
             cut = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts[k : k + TEXTS]]
-            if len(self.words) > MEMORY:
-                self.words.clear()
-            new: set[bytes] = set()
-            for words in cut:
-                new.update(words)
-            new.difference_update(self.words)
-            self.words.update(self._learn(new))
+            new = list(set().union(*cut).difference(self.words))
+            self.words.learn(new, self._learn(new))
             get = self.words.__getitem__
             yield from [b"".join(map(get, words)) for words in cut]
-            for w in new:
-                if len(w) > LONGEST_KEY:
-                    del self.words[w]
+            self.words.trim(w for w in new if len(w) > LONGEST_KEY)
 
 
 @cache
