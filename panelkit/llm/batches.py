@@ -30,10 +30,14 @@ class Memory(dict):
         self.update(zip(keys, values, strict=True))
         self.held += sum(map(len, keys)) + sum(map(len, values)) + ENTRY_BYTES * len(keys)
 
+    def drop(self, keys: Iterable) -> None:
+        """Forget some keys."""
+        for k in keys:
+            self.held -= len(k) + len(self.pop(k)) + ENTRY_BYTES
+
     def trim(self, drop: Iterable = ()) -> None:
         """Forget the keys of ``drop``, and everything if too much is held."""
-        for k in drop:
-            self.held -= len(k) + len(self.pop(k)) + ENTRY_BYTES
+        self.drop(drop)
         if self.held > self.limit:
             self.clear()
 

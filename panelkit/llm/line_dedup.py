@@ -60,10 +60,8 @@ def split_lines(docs: DataFrame, text: str = "text", short: bool = False) -> Dat
 
 
 def distinct_lines(lines: DataFrame) -> DataFrame:
-    """(id, first, n, anchors): each distinct line, where it is found first, how often, and its halves; no halves (null)
-    of a line under MIN_CHARS characters, which so never enters the join."""
-    halves = F.when(F.length("line") >= MIN_CHARS, _halves())
-    return lines.withColumn("anchors", halves).groupBy("id").agg(
+    """(id, first, n, anchors): each distinct line of (place, id, anchors), where it is found first and how often."""
+    return lines.groupBy("id").agg(
         F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), F.any_value("anchors").alias("anchors")
     )
 
@@ -153,13 +151,17 @@ def near_lines(known: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def dropped_lines(docs: DataFrame, text: str = "text", short: bool = False) -> DataFrame:
-    """(doc_id, row, dropped): positions of the lines to drop, for documents that have any."""
+    """(doc_id, row, dropped): positions of the lines to drop, for documents that have any. Texts are cut here once for
+    the lines' hashes and places, which are written, and once for the texts of lines that may be near another."""
     lines = split_lines(docs, text, short)
-    known = stage(distinct_lines(lines), "lines")
+    # no halves (null) of a line under MIN_CHARS characters, which so never enters the join
+    halves = F.when(F.length("line") >= MIN_CHARS, _halves()).alias("anchors")
+    places = stage(lines.select("place", "id", halves), "places")
+    known = stage(distinct_lines(places), "lines")
     near = near_lines(known, lines).withColumn("near", F.lit(True))
     again = known.join(near, "id", "left").select("id", "first", "n", F.coalesce("near", F.lit(False)).alias("near"))
     again = stage(again.filter("near or n > 1").drop("n"), "repeated")
-    gone = lines.drop("line").join(_small(again), "id").filter(F.col("near") | (F.col("place") > F.col("first")))
+    gone = places.select("place", "id").join(_small(again), "id").filter(F.col("near") | (F.col("place") > F.col("first")))
     by_row = gone.groupBy(F.col("place.doc_id").alias("doc_id"), F.col("place.row").alias("row"))
     return by_row.agg(F.collect_set("place.pos").alias("dropped"))
 
@@ -179,14 +181,15 @@ def dedup_lines(docs: DataFrame, text: str = "text", short: bool = False) -> Dat
     gone = dropped_lines(docs, text, short).select(
         F.col("doc_id").alias("__id"), F.col("row").alias("__row"), F.col("dropped").alias("__dropped")
     )
+    gone = _small(stage(gone, "gone"))
     body = F.col(f"`{text}`")
     same = body.isNotNull() & docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(body) == F.col("__row"))
-    # cut once, in a step of its own: what follows uses the lines several times
-    joined = docs.join(gone, same, "left").withColumn("__lines", F.split(body, _END))
+    # cut in a step of its own: what follows uses the lines several times
+    joined = docs.join(gone, same, "left").withColumn("__lines", F.when(F.col("__dropped").isNotNull(), F.split(body, _END)))
     kept = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__dropped"))
     rest = F.array_join(F.transform(kept, lambda i: F.col("__lines")[i]), _END)
     counts = {
-        "n_lines": F.coalesce(F.when(body.isNotNull(), F.size("__lines")), F.lit(0)).cast("bigint"),
+        "n_lines": F.coalesce(F.length(body) - F.length(F.replace(body, F.lit(_END))) + 1, F.lit(0)).cast("bigint"),
         "n_dropped": F.when(F.col("__dropped").isNull(), 0).otherwise(F.size("__dropped")).cast("bigint"),
     }
     changed = {text: F.when(F.col("__dropped").isNull(), body).otherwise(rest)}

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from panelkit.sources.staging import stage
 
-# Leading hexadecimal digits of the order that make a slice; leaves that may be broadcast.
-SLICE_DIGITS, BROADCAST_LEAVES = 3, 50_000
+# Leading hexadecimal digits of the order that make a slice; leaves that may be broadcast; equal rows made in one lot.
+SLICE_DIGITS, BROADCAST_LEAVES, COPIES = 3, 50_000, 4096
 LEVELS = ["domain", "lang", "source"]
 Weights = dict[tuple[str | None, ...], float]
 
@@ -82,8 +82,25 @@ def leaf_budgets(leaves: DataFrame, depth: int, weights: Weights, epochs: int, s
 
 
 def _order(seed: int) -> Column:
-    """Place of a document in the epoch that its leaf uses in part, as text."""
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("full").cast("string"), F.col("doc_id").cast("string")))
+    """Place of a row in the epoch that its leaf uses in part, as text: by its id, text and number among equal rows."""
+    parts = [F.lit(str(seed)), *[F.col(c).cast("string") for c in ("full", "doc_id", "row", "copy")]]
+    return F.md5(F.concat_ws("|", *parts))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``copy``, their number among rows that are equal, from 0.
+
+    Equal rows are counted, combined before the shuffle, and made again from their number, in lots that are dealt out, so
+    that no task gets all rows of one id.
+    """
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
+    counted = stage(counted, "sizes")
+    once = counted.filter("n = 1").withColumn("copy", F.lit(0).cast("bigint")).drop("n")
+    lots = counted.filter("n > 1").withColumn("from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(COPIES).cast("bigint"))))
+    dealt = lots.repartition("doc_id", "row", "from")
+    last = F.least(F.col("n") - 1, F.col("from") + COPIES - 1)
+    again = dealt.withColumn("copy", F.explode(F.sequence(F.col("from"), last))).drop("n", "from")
+    return once.unionByName(again)
 
 
 def mix(
@@ -95,18 +112,20 @@ def mix(
     seed: int = 11,
     n_tokens: Column | None = None,
 ) -> DataFrame:
-    """(doc_id, path, n_tokens, epochs) for each document: how often it is taken, 0 if not.
+    """(doc_id, path, row, n_tokens, epochs) for each document: how often it is taken, 0 if not; ``row`` is a hash of its
+    text.
 
     ``weights`` maps paths, tuples of the values of the first levels, to weights; other nodes weigh 1. ``share`` of
     all tokens is the budget, ``epochs`` the most that a document may be taken. Of the last epoch of a leaf, the
     documents are taken whose tokens, added up in the epoch's order, stay within the budget. ``n_tokens`` counts a
     document's tokens (its words if not given); texts that are null or have no word are never taken. Null levels are
-    nodes like others. Rows that repeat an id, and null ids, stand at one place of the order and are taken together or
-    not at all. An empty table gives no rows.
+    nodes like others. Rows that repeat an id, and rows without one, have places of their own by their texts, and those
+    that repeat the text too by their number. An empty table gives no rows.
     """
     path = F.array(*[F.col(f"`{c}`").cast("string") for c in levels])
     size = word_count() if n_tokens is None else n_tokens
-    rows = stage(docs.select("doc_id", path.alias("path"), size.alias("n_tokens")), "sizes")
+    row = F.md5(F.coalesce(F.col("text"), F.lit("")))
+    rows = _numbered(docs.select("doc_id", path.alias("path"), size.alias("n_tokens"), row.alias("row")))
     leaves = stage(rows.groupBy("path").agg(F.sum("n_tokens").alias("supply")), "leaves")
     budgets = leaf_budgets(leaves, len(levels), weights or {}, epochs, share)
     target = F.floor("budget").cast("bigint")
@@ -135,4 +154,4 @@ def mix(
     edge = edge.withColumn("taken", F.col("before") + F.sum("n_tokens").over(running) <= F.col("left"))
     taken = (F.col("taken") & (F.col("left") > 0)).cast("bigint")
     chosen = F.when(F.col("n_tokens") > 0, F.col("full") + taken).otherwise(0).cast("bigint")
-    return inside.unionByName(edge).select("doc_id", "path", "n_tokens", chosen.alias("epochs"))
+    return inside.unionByName(edge).select("doc_id", "path", "row", "n_tokens", chosen.alias("epochs"))

@@ -44,20 +44,23 @@ judged AS (
   FROM measured
 )"""
 
-# An edit leaves the first or the last nine characters of a line of 20 or more alone.
-_LINES = f"""
+# Lines with a word that repeat an earlier one, of any length. An edit counts in lines of 20 characters or more; it leaves
+# their first or their last nine characters alone.
+_LINES = rf"""
 WITH lines AS (
   SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS pos, unnest(string_split(text, chr(10))) AS line
   FROM documents
 ),
 known AS (
-  SELECT line, min(doc_id * 1000000 + pos) AS first FROM lines WHERE length(line) >= {line_dedup.MIN_CHARS} GROUP BY line
+  SELECT line, min(doc_id * 1000000 + pos) AS first FROM lines
+  WHERE length(line) >= {line_dedup.MIN_CHARS} OR regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY line
 ),
+long AS (SELECT * FROM known WHERE length(line) >= {line_dedup.MIN_CHARS}),
 pairs AS (
-  SELECT a.line, b.line AS earlier FROM known a JOIN known b
+  SELECT a.line, b.line AS earlier FROM long a JOIN long b
   ON left(a.line, 9) = left(b.line, 9) AND b.first < a.first AND abs(length(a.line) - length(b.line)) <= 1
   UNION
-  SELECT a.line, b.line AS earlier FROM known a JOIN known b
+  SELECT a.line, b.line AS earlier FROM long a JOIN long b
   ON right(a.line, 9) = right(b.line, 9) AND b.first < a.first AND abs(length(a.line) - length(b.line)) <= 1
 ),
 sized AS (
@@ -121,7 +124,7 @@ def _mixing() -> str:
         levels.append(_fill(f"level{k}", nodes))
     return f"""
 WITH sizes AS (
-  SELECT doc_id, ['domain' || CAST(CAST(regexp_extract(source, '(\\d+)$', 1) AS BIGINT) % {queries.DOMAINS} AS VARCHAR), lang, source] AS path,
+  SELECT doc_id, md5(coalesce(text, '')) AS row, ['domain' || CAST(CAST(regexp_extract(source, '(\\d+)$', 1) AS BIGINT) % {queries.DOMAINS} AS VARCHAR), lang, source] AS path,
          CAST(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS n_tokens
   FROM documents
 ),
@@ -133,8 +136,8 @@ plan AS (
 ),
 placed AS (
   SELECT doc_id, path, n_tokens, target // supply AS whole, target % supply AS left_over,
-         md5(concat_ws('|', '11', CAST(target // supply AS VARCHAR), CAST(doc_id AS VARCHAR))) AS place
-  FROM sizes JOIN plan USING (path)
+         md5(concat_ws('|', '11', CAST(target // supply AS VARCHAR), CAST(doc_id AS VARCHAR), row, CAST(copy AS VARCHAR))) AS place
+  FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, path, row) - 1 AS copy FROM sizes) JOIN plan USING (path)
 ),
 added AS (SELECT *, sum(n_tokens) OVER (PARTITION BY path ORDER BY place) AS upto FROM placed)
 SELECT doc_id, path[1] AS domain, path[2] AS lang, path[3] AS source, n_tokens,

@@ -125,20 +125,25 @@ def fit_rows(found: list[np.ndarray], grade: np.ndarray, grades: int, least_docs
 
 
 def sample_ids(labels: DataFrame, sample: int = SAMPLE, seed: int = 5) -> DataFrame:
-    """(doc_id, grade) of the labelled documents to learn from: the ``sample`` smallest by a hash of the id."""
+    """(doc_id, grade) of the labelled documents to learn from: the ``sample`` smallest by a hash of the id, each once,
+    with its lowest grade."""
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("grade").isNotNull())
-    return known.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id", "grade").limit(sample)
+    once = known.groupBy("doc_id").agg(F.min("grade").alias("grade"))
+    return once.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(sample)
 
 
 def fit(docs: DataFrame, labels: DataFrame, grades: int = GRADES, sample: int = SAMPLE, text: str = "text") -> Model:
     """A model of (doc_id, grade), grades from 0 to ``grades`` - 1, and the texts of these documents.
 
     Learns from ``sample`` labelled documents at most, in one task; the driver gets the weights. Labels without a
-    document, null labels and null ids teach nothing.
+    document, null labels and null ids teach nothing. Of rows that repeat an id the one with the smallest hash of its text
+    is learned from, of labels that repeat one the lowest.
     """
     chosen = sample_ids(labels.select("doc_id", F.col("grade").cast("int").alias("grade")), sample)
-    # rows bounded by the sample
-    rows = docs.select("doc_id", F.col(f"`{text}`").alias("text")).join(F.broadcast(chosen), "doc_id")
+    found = docs.select("doc_id", F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    # a row for each id of the sample, so rows are bounded by it
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")
+    rows = found.groupBy("doc_id", "grade").agg(one).select("doc_id", "grade", "one.text")
     hashed = map_texts(rows, lambda texts: [[features(t) for t in texts]], "found array<int>", "text", ["doc_id", "grade"])
 
     def learn(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

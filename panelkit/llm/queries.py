@@ -64,7 +64,7 @@ def op4_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rest = line_dedup.dedup_lines(documents(spark, sf_dir))
+    rest = line_dedup.dedup_lines(documents(spark, sf_dir), short=True)
     return rest.select(
         "doc_id",
         "n_lines",

@@ -21,14 +21,14 @@ import ahocorasick
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from panelkit.llm.batches import map_texts
+from panelkit.llm.batches import Memory, map_texts
 
 # Fixed value: the character that stands for a space in pieces.
 MARK = "▁"
 _CHUNK = re.compile(rf"{MARK}+[^{MARK}]*|^[^{MARK}]+")
-# Entries that a task's memory of chunks, and of checked pairs, holds before it is emptied; longer chunks are not
-# remembered.
-MEMORY, LONGEST_KEY = 500_000, 64
+# Checked pairs that a task remembers before it forgets them; longer chunks are not remembered; texts in bytes that are
+# handled at a time.
+PAIRS, LONGEST_KEY, LOT = 150_000, 64, 1 << 20
 REPLACEMENT = "�"
 
 
@@ -58,7 +58,8 @@ class Codec:
                 self.automaton.add_word(p, i)
         self.automaton.make_automaton()
         self.pairs: dict[int, bool] = {}
-        self.chunks: dict[str, tuple[bytes, int, str]] = {}
+        # ids of a chunk as decimal text, and its decoded text where that is another one
+        self.chunks, self.changed = Memory(), Memory()
 
     def merge(self, text: str) -> list[int | str]:
         """Pieces of a short text by merging the best-scored pair, the leftmost of equals, until none is left.
@@ -80,7 +81,7 @@ class Codec:
         key = left << 32 | right
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) > MEMORY:
+            if len(self.pairs) > PAIRS:
                 self.pairs.clear()
             known = self.merge(self.surface[left] + self.surface[right]) == [left, right]
             self.pairs[key] = known
@@ -142,31 +143,38 @@ class Codec:
         text = "".join(out)
         return text.removeprefix(MARK).replace(MARK, " ")
 
-    def _learn(self, chunk: str) -> tuple[bytes, int, str]:
-        """Ids as decimal text, their number, and the chunk decoded with all its spaces: of what is decoded, the mark
-        put in front is the one that goes."""
-        ids = self.encode_chunk(chunk)
-        return " ".join(map(str, ids)).encode(), len(ids), self.decode([self.ids[MARK], *ids])
+    def _learn(self, chunks: list[str]) -> None:
+        """Remember chunks: their ids as decimal text, and how they are decoded with all their spaces, if not as they
+        are: of what is decoded, the mark put in front is the one that goes."""
+        ids = [self.encode_chunk(c) for c in chunks]
+        self.chunks.learn(chunks, [" ".join(map(str, i)).encode() for i in ids])
+        decoded = [self.decode([self.ids[MARK], *i]) for i in ids]
+        other = {c: d for c, d in zip(chunks, decoded, strict=True) if d != c.replace(MARK, " ")}
+        self.changed.learn(other, other.values())
 
     def digest(self, texts: list[str | None]) -> list:
         """Number of ids (with the end id), hash of the ids, hash of the decoded text, of each text."""
-        if len(self.chunks) > MEMORY:
-            self.chunks.clear()
         sizes, id_hashes, text_hashes = [], [], []
         end = str(self.end).encode()
-        for text in texts:
-            chunks = _CHUNK.findall(MARK + text.replace(" ", MARK)) if text else []
-            for c in set(chunks).difference(self.chunks):
-                self.chunks[c] = self._learn(c)
-            coded = [self.chunks[c] for c in chunks]
-            sizes.append(sum(c[1] for c in coded) + 1)
-            id_hashes.append(hashlib.sha256(b" ".join([*[c[0] for c in coded], end])).hexdigest())
+        cut = [_CHUNK.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        new = list(set().union(*cut).difference(self.chunks))
+        self._learn(new)
+        get, changed = self.chunks.__getitem__, self.changed
+        for chunks in cut:
+            ids = b" ".join([*map(get, chunks), end])
+            sizes.append(ids.count(b" ") + 1)
+            id_hashes.append(hashlib.sha256(ids).hexdigest())
             # the mark that encoding puts before a text is the one that decoding takes away
-            decoded = "".join([c[2] for c in coded])[1:]
+            some = changed and not changed.keys().isdisjoint(chunks)
+            whole = "".join([changed.get(c) or c.replace(MARK, " ") for c in chunks] if some else chunks)
+            decoded = whole[1:] if some else whole.replace(MARK, " ")[1:]
             text_hashes.append(hashlib.sha256(decoded.encode("utf-8")).hexdigest())
-            for c in chunks:
-                if len(c) > LONGEST_KEY:
-                    self.chunks.pop(c, None)
+        long = [c for c in new if len(c) > LONGEST_KEY]
+        self.chunks.drop(long)
+        self.changed.drop(c for c in long if c in self.changed)
+        if self.chunks.held + self.changed.held > self.chunks.limit:
+            self.chunks.clear()
+            self.changed.clear()
         return [sizes, id_hashes, text_hashes]
 
     def encode(self, text: str | None) -> list[int]:
@@ -206,7 +214,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFram
     def run(texts: list[str | None]) -> list:
         return [[codec(path).encode(t) for t in texts]]
 
-    return map_texts(docs, run, "ids array<int>", text, ["doc_id"])
+    return map_texts(docs, run, "ids array<int>", text, ["doc_id"], LOT)
 
 
 def codec_digests(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
@@ -218,4 +226,4 @@ def codec_digests(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     def run(texts: list[str | None]) -> list:
         return codec(path).digest(texts)
 
-    return map_texts(docs, run, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", text, ["doc_id"])
+    return map_texts(docs, run, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", text, ["doc_id"], LOT)

@@ -29,8 +29,8 @@ PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_S}\p{{L}}\p{{N}
 _CUT = re.compile(rf"(?<=[^{_S}]) (?=[^{_S}])")
 
 # Entries that a task's memory of counted chunks and of pre-tokens holds before it is emptied; longer keys are not
-# remembered.
-MEMORY, LONGEST_KEY = 700_000, 64
+# remembered; texts in bytes that are handled at a time.
+MEMORY, LONGEST_KEY, LOT = 350_000, 64, 1 << 21
 
 
 def byte_symbols() -> dict[str, int]:
@@ -183,5 +183,5 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024, text: str = "tex
         sizes = [len((t or "").encode("utf-8", "surrogatepass")) for t in texts]
         return [sizes, _counter(path).count(texts)]
 
-    counted = map_texts(docs, count, "n_bytes bigint, n_tokens bigint", text, ["doc_id"])
+    counted = map_texts(docs, count, "n_bytes bigint, n_tokens bigint", text, ["doc_id"], LOT)
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

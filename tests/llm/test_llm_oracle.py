@@ -7,6 +7,7 @@ import duckdb
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from panelkit.llm import oracle, quality_rules, queries
@@ -94,6 +95,23 @@ def test_lines_leave_no_stub_of_a_copy(spark, documents):
     assert got == {i: (t, len(t)) for i, t in want.items()}
 
 
+def test_further_columns_go_through_as_they_are(spark, documents):
+    """Columns with names that the operators use for their own, and one of a type that has no hash."""
+    body = [" ".join(letters(k, i) for i in range(60)) for k in range(6)]
+    rows = [(i, t) for i, t in enumerate([*body, body[0], f"Title\n{body[1]}"])] + [(0, body[0]), (None, body[5] + " x")]
+    names = ["n_words", "n_lines", "n_dropped", "failed", "kept", "row", "place", "domain", "path", "epochs", "n_tokens", "__hash", "__id", "component_id"]
+    docs = documents(rows).withColumns({n: F.concat(F.lit(f"{n} of "), F.col("doc_id").cast("string")) for n in names})
+    docs = docs.withColumn("a map", F.create_map(F.lit("k"), F.col("doc_id")))
+    plain = documents(rows)
+    for name, step in corpus_pipeline.STAGES[:4]:
+        got, want = step(spark, docs, ""), step(spark, plain, "")
+        assert got.columns == docs.columns, name
+        found = got.collect()
+        assert sorted(((r["doc_id"], r["text"]) for r in found), key=repr) == sorted(((r["doc_id"], r["text"]) for r in want.collect()), key=repr)
+        assert all(r[n] == (None if r["doc_id"] is None else f"{n} of {r['doc_id']}") for r in found for n in names)
+        assert all(r["a map"] == {"k": r["doc_id"]} for r in found)
+
+
 def test_near_duplicates_judge_rows(spark, documents):
     a, b, c, d = (" ".join(letters(k, i) for i in range(60)) for k in (1, 5, 9, 13))
     rows = [(1, a), (5, a), (5, b), (9, b), (7, c), (7, c), (None, a), (None, d), (None, d), (None, d, None, "en"), (None, d, "en", None)]

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from panelkit.llm import mixing
 
 
+TEXT = "y"
+
+
 def fill(budget, caps, weights):
     """Shares of children, by raising the level step by step."""
     out = {k: 0.0 for k in caps}
@@ -40,12 +43,15 @@ def by_hand(rows, weights, epochs, share, seed):
         full = target // held if held else 0
         left = target - full * held
 
-        def place(r):
-            return hashlib.md5("|".join([str(seed), str(full)] + [str(r[0])] * (r[0] is not None)).encode()).hexdigest()
+        def place(r, copy):
+            text = hashlib.md5(TEXT.encode()).hexdigest()
+            parts = [str(seed), str(full), *[str(r[0])] * (r[0] is not None), text, str(copy)]
+            return hashlib.md5("|".join(parts).encode()).hexdigest()
 
         own = [r for r in rows if r[1] == path]
-        for r in own:
-            upto = sum(o[2] for o in own if place(o) <= place(r))
+        places = [place(r, own[:i].count(r)) for i, r in enumerate(own)]
+        for r, mine in zip(own, places, strict=True):
+            upto = sum(o[2] for o, p in zip(own, places, strict=True) if p <= mine)
             out.append((*r, (full + (left > 0 and upto <= left)) if r[2] else 0))
     return sorted(out, key=repr)
 
@@ -60,7 +66,7 @@ def test_as_by_hand(spark, monkeypatch, epochs, share):
     rows += [(None, ("a", "x", "p"), 3), (None, ("a", "x", "p"), 4), (7, rows[7][1], rows[7][2])]
     weights = {("a",): 3.0, ("a", "x"): 0.5, ("b", None, "p"): 4.0, ("b", "y"): 0.0, ("nowhere",): 9.0}
     docs = spark.createDataFrame([(i, *p, n) for i, p, n in rows], "doc_id bigint, domain string, lang string, source string, n bigint")
-    docs = docs.withColumn("path", F.lit("x")).withColumn("left", F.lit(1)).withColumn("text", F.lit("y"))
+    docs = docs.withColumn("path", F.lit("x")).withColumn("left", F.lit(1)).withColumn("text", F.lit(TEXT))
     want = by_hand(rows, weights, epochs, share, 11)
     for few, digits in ((50_000, 3), (0, 1)):
         monkeypatch.setattr(mixing, "BROADCAST_LEAVES", few)
@@ -74,7 +80,7 @@ def test_shortages_go_to_siblings_first(spark):
     rows = [(i, "a", "x", "s", 1) for i in range(10)]
     rows += [(100 + i, "a", "y", "s", 1) for i in range(200)]
     rows += [(1000 + i, "b", "x", "s", 1) for i in range(200)]
-    docs = spark.createDataFrame(rows, "doc_id bigint, domain string, lang string, source string, n bigint")
+    docs = spark.createDataFrame(rows, "doc_id bigint, domain string, lang string, source string, n bigint").withColumn("text", F.lit(TEXT))
     got = mixing.mix(docs, share=200 / 410, n_tokens=F.col("n")).groupBy(F.col("path")[0], F.col("path")[1]).agg(F.sum("epochs")).collect()
     assert sorted(tuple(r) for r in got) == [("a", "x", 10), ("a", "y", 90), ("b", "x", 100)]
 
@@ -98,8 +104,19 @@ def test_shut_children_are_no_supply(spark):
     rows += [(100 + i, "a", "x", "shut", 1) for i in range(90)]
     rows += [(300 + i, "a", "y", "s", 1) for i in range(100)]
     rows += [(1000 + i, "b", "x", "s", 1) for i in range(200)]
-    docs = spark.createDataFrame(rows, "doc_id bigint, domain string, lang string, source string, n bigint")
+    docs = spark.createDataFrame(rows, "doc_id bigint, domain string, lang string, source string, n bigint").withColumn("text", F.lit(TEXT))
     weights = {("a", "y"): 0.0, ("a", "x", "shut"): 0.0}
     mixed = mixing.mix(docs, weights=weights, share=0.5, n_tokens=F.col("n"))
     got = mixed.groupBy(F.col("path")[0], F.col("path")[1], F.col("path")[2]).agg(F.sum("epochs")).collect()
     assert sorted(tuple(r) for r in got) == [("a", "x", "s", 10), ("a", "x", "shut", 0), ("a", "y", "s", 0), ("b", "x", "s", 190)]
+
+
+def test_repeated_ids_are_taken_by_their_share(spark, monkeypatch):
+    """Rows without id, and rows that repeat one, up to the very text, fill a budget like others."""
+    monkeypatch.setattr(mixing, "COPIES", 300)
+    kinds = [(None, lambda i: f"a b c{i}"), (1, lambda i: f"a b c{i}"), (2, lambda i: "a b c"), (None, lambda i: "x y z")]
+    for doc_id, text in kinds:
+        rows = [(doc_id, text(i), "d", "en", "s") for i in range(4000)]
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string, domain string, lang string, source string")
+        got = mixing.mix(docs, share=0.8).agg(F.sum(F.col("n_tokens") * F.col("epochs")), F.count("*"), F.max("epochs")).first()
+        assert tuple(got) == (9600, 4000, 1)

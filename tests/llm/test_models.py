@@ -1,4 +1,6 @@
+import itertools
 import random
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -114,3 +116,81 @@ def test_grade_edges(spark, documents):
     none = oq.fit(docs, labels.limit(0))
     assert {round(r["expected_grade"], 9) for r in oq.predict(docs, none).collect()} == {1.0}
     assert oq.predict(docs.limit(0), none).count() == 0
+
+
+def test_fit_as_by_plain_descent():
+    """The same likelihood with the same prior, by the slope of its plain formula in small steps."""
+    rng = random.Random(11)
+    texts, grade = [], []
+    for _ in range(120):
+        g = rng.randrange(3)
+        texts.append(" ".join(rng.choice(["aa", "bb", "cc"][: g + 1] + ["dd"]) for _ in range(3)))
+        grade.append(g)
+    found = [oq.features(t) for t in texts]
+    columns = sorted({int(f) for row in found for f in row})
+    x = np.array([[c in row for c in columns] for row in (set(r.tolist()) for r in found)], float)
+    y, n, m = np.array(grade), len(grade), len(columns)
+
+    def loss(v):
+        cuts = np.array([v[m], v[m] + np.exp(v[m + 1])])
+        tail = 1 / (1 + np.exp(cuts[None, :] - (x @ v[:m])[:, None]))  # P(grade > k)
+        chance = np.c_[1 - tail[:, 0], tail[:, 0] - tail[:, 1], tail[:, 1]][np.arange(n), y]
+        return -np.log(chance).mean() + 0.5 * oq.PRIOR / n * (v[:m] @ v[:m])
+
+    v = np.zeros(m + 2)
+    for _ in range(3000):
+        slope = np.array([(loss(v + 1e-5 * e) - loss(v - 1e-5 * e)) / 2e-5 for e in np.eye(m + 2)])
+        v -= 0.5 * slope
+        if np.abs(slope).max() < 1e-6:
+            break
+    model = oq.fit_rows(found, y, 3, least_docs=1)
+    assert np.allclose(model.thresholds, [v[m], v[m] + np.exp(v[m + 1])], atol=2e-2)
+    tails = 1 / (1 + np.exp(np.array([v[m], v[m] + np.exp(v[m + 1])])[None, :] - (x @ v[:m])[:, None]))
+    assert np.allclose([model.tails(f) for f in found], tails, atol=1e-2)
+
+
+def test_a_repeated_id_is_one_row_of_the_sample(spark, documents, monkeypatch):
+    """However many rows share an id, the fit gets one for each id of the sample, whatever the order of the rows."""
+    rows = [(i % 5, f"text {k} of {i % 5} word{k % 7}") for k, i in enumerate(range(3000))]
+    labels = spark.createDataFrame([(i, i % 3) for i in range(5)] + [(1, 0), (1, 2)], "doc_id bigint, grade int")
+    assert oq.sample_ids(labels).count() == 5
+    models = [oq.fit(documents(part).repartition(k), labels) for k, part in ((1, rows), (7, rows[::-1]))]
+    assert np.array_equal(models[0].weights, models[1].weights)
+    assert np.array_equal(models[0].thresholds, models[1].thresholds)
+    first = documents(rows).groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    one = [r["text"] for r in first.orderBy("doc_id").collect()]
+    want = oq.fit_rows([oq.features(t) for t in one], np.array([0, 0, 2, 0, 1]), 3)
+    assert np.allclose(models[0].thresholds, want.thresholds)
+
+
+def test_counts_as_one_by_one(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id % 3 = 0")
+    want = Counter()
+    for r in docs.collect():
+        if r["text"] is not None and r["lang"] is not None:
+            want.update((r["lang"], int(b)) for b in lm.grams(r["text"]))
+    got = {(r["lang"], r["bucket"]): r["n"] for r in lm.count_grams(docs.repartition(5)).collect()}
+    assert got == want
+
+
+def test_language_sets_as_by_all_sets(spark):
+    """Every set of languages with its best proportions: none has a higher likelihood less its penalty than the chosen."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("held_out", lm.held_out())
+    model = lm.fit(lm.count_grams(docs.filter("not held_out")))
+    by_lang = {}
+    for r in docs.filter("held_out and length(text) > 1200").select("lang", "text").collect():
+        by_lang.setdefault(r["lang"], []).append(r["text"])
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(by_lang[x])[: rng.choice([80, 300, 900])] for x in rng.sample(sorted(by_lang), k)) for k in (1, 2, 3, 4) for _ in range(8)]
+    for text in texts:
+        bucket, n = np.unique(lm.grams(text), return_counts=True)
+        cost = lm.PENALTY * 0.5 * np.log(n.sum())
+        best = {}
+        for k in range(1, len(model.langs) + 1):
+            for some in itertools.combinations(range(len(model.langs)), k):
+                prob, share = model.prob[list(some)][:, bucket], np.full(k, 1 / k)
+                for _ in range(300):
+                    share = share * ((prob / (share @ prob)) @ n) / n.sum()
+                best[some] = float(n @ np.log(share @ prob)) - cost * k
+        chosen = tuple(sorted(model.langs.index(x) for x in model.mixture(text)[0]))
+        assert best[chosen] >= max(best.values()) - 0.5, (chosen, max(best, key=best.get))
