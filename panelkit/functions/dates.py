@@ -17,6 +17,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The periods that a key may name.
+GRAINS = ("week", "month", "quarter", "year")
 _FIXED = re.compile(r"(yyyy|MM|dd|[-/._: ])")
 
 
@@ -71,8 +73,49 @@ def month_key(col: Column | str, fmt: str = "yyyyMMdd") -> Column:
     return reformat_date(col, fmt, "yyyyMM")
 
 
+def _quarter(month: Column) -> Column:
+    return F.concat(F.lit("Q"), F.ceil(month.try_cast("int") / 3).cast("string"))
+
+
+def _week(date: Column) -> Column:
+    """ISO week with the year that it counts to."""
+    year = F.extract(F.lit("YEAROFWEEK"), date).cast("string")
+    return F.concat(F.lpad(year, 4, "0"), F.lit("W"), F.lpad(F.weekofyear(date).cast("string"), 2, "0"))
+
+
+def period_key(col: Column | str, fmt: str = "yyyyMMdd", grain: str = "month") -> Column:
+    """Key of a date text's week ('2023W05', ISO), month ('202302'), quarter ('2023Q1') or year ('2023').
+
+    Keys of one grain are in the order of time; null where the text is no date.
+    """
+    if grain == "month":
+        return month_key(col, fmt)
+    if grain not in GRAINS:
+        raise ValueError(f"unknown grain: {grain}")
+    text, pieces = _as_column(col), _layout(fmt)
+    if pieces is None:
+        date = F.try_to_date(text, fmt)
+        year, month, is_date = F.date_format(date, "yyyy"), F.date_format(date, "MM"), date.isNotNull()
+    else:
+        is_date, parts = _parse_fixed(text, pieces)
+        year, month = parts["yyyy"], parts["MM"]
+        date = F.concat_ws("-", year, month, parts["dd"]).try_cast("date")
+    key = {"week": lambda: _week(date), "quarter": lambda: F.concat(year, _quarter(month)), "year": lambda: year}[grain]()
+    return F.when(is_date, key)
+
+
+def coarser(month: Column | str, grain: str) -> Column:
+    """The quarter or year of a month key. Weeks cross the ends of months, so no other key tells them."""
+    key = _as_column(month)
+    if grain == "quarter":
+        return F.concat(F.substring(key, 1, 4), _quarter(F.substring(key, 5, 2)))
+    if grain in ("month", "year"):
+        return key if grain == "month" else F.substring(key, 1, 4)
+    raise ValueError(f"a month has no {grain}")
+
+
 def with_period(
-    df: DataFrame, date_col: str = "yyyymmdd", fmt: str = "yyyyMMdd", out: str = "yyyymm"
+    df: DataFrame, date_col: str = "yyyymmdd", fmt: str = "yyyyMMdd", out: str = "yyyymm", grain: str = "month"
 ) -> DataFrame:
-    """Add the month key of a date text column."""
-    return df.withColumn(out, month_key(date_col, fmt))
+    """Add the period key of a date text column, by default its month."""
+    return df.withColumn(out, period_key(date_col, fmt, grain))

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from panelkit.functions import coarser
 from panelkit.operators.keys import KEYS, dedup_first, require_keys
 from panelkit.operators.panel import FUTURE, add_future_value, assemble_panel, fill_features
 from panelkit.operators.rollups import (
@@ -15,7 +16,9 @@ from panelkit.operators.rollups import (
     N_PURCHASES,
     N_STORES,
     N_VISITS,
+    SKETCHES,
     SUM_POINTS,
+    roll_up,
     rollup_notifications,
     rollup_points,
     rollup_visits,
@@ -30,16 +33,17 @@ FEATURES = ["age", *ACTIVITY]
 
 
 def monthly_panel(
-    people: DataFrame, points: DataFrame, events: DataFrame, visits: DataFrame, nest: bool = True
+    people: DataFrame, points: DataFrame, events: DataFrame, visits: DataFrame, nest: bool = True, approx: bool = False
 ) -> DataFrame:
-    """One row per person and month with its activity; unknown activity stays null.
+    """One row per person and month with its activity; unknown activity stays null. With ``approx`` the distinct counts
+    are estimates, with their sketches beside them.
 
     Copies of a spine row are removed before the joins, while rows are narrow; the
     joined tables are unique on the keys, so the result is the same as after.
     """
     return assemble_panel(
         dedup_first(people),
-        rollup_points(points),
+        rollup_points(points, approx=approx),
         [rollup_notifications(events), rollup_visits(visits)],
         nest=nest,
     )
@@ -53,6 +57,21 @@ def feature_panel(
     return add_future_value(fill_features(panel, FEATURES))
 
 
+def coarser_panel(monthly: DataFrame, grain: str) -> DataFrame:
+    """The panel of stored months by quarters or years, filled, with the next row's points as the value to predict.
+
+    ``monthly`` are rows of ``monthly_panel`` with sketches. A person has a row for each period with any month in the spine;
+    age and gender are those of its last month.
+    """
+    person, month = KEYS
+    sums = (SUM_POINTS, N_PURCHASES, N_NOTIFY, N_VISITS)
+    united = roll_up(monthly, (grain,), sums, everyone=False).drop("grain", *SKETCHES.values())
+    last = F.max_by(F.struct("age", "gender"), month).alias("last")
+    own = monthly.groupBy(person, coarser(month, grain).alias("period")).agg(last).select(person, "period", "last.*")
+    rows = own.join(united, [person, "period"])
+    return add_future_value(fill_features(rows, FEATURES), order="period")
+
+
 def months_before(month: str, n: int) -> str:
     """The month key ``n`` months before another."""
     at = int(month[:4]) * 12 + int(month[4:]) - 1 - n

@@ -491,6 +491,8 @@ def _schema() -> str:
     return f"SELECT * FROM (VALUES {rows}) AS t(\"column\", type, is_key, position, description)"
 
 
+_QUARTER = "substr(yyyymm, 1, 4) || 'Q' || CAST((CAST(substr(yyyymm, 5, 2) AS INTEGER) + 2) // 3 AS VARCHAR)"
+
 ORACLE = {
     "people_spine": _RAW + " SELECT distinct_id, age, gender, yyyymm FROM spine",
     "period_key": """
@@ -503,9 +505,46 @@ WITH texts AS (
 SELECT o_orderkey,
        strftime(try_strptime(y || m || d, '%Y%m%d'), '%Y%m') AS yyyymm,
        strftime(try_strptime(concat_ws('-', y, m, d), '%Y-%m-%d'), '%Y%m') AS yyyymm_dashed,
+       strftime(try_strptime(y || m || d, '%Y%m%d'), '%GW%V') AS week,
+       y || 'Q' || CAST(quarter(try_strptime(y || m || d, '%Y%m%d')) AS VARCHAR) AS quarter,
+       strftime(try_strptime(y || m || d, '%Y%m%d'), '%Y') AS year,
+       y || 'Q' || CAST(quarter(try_strptime(y || m || d, '%Y%m%d')) AS VARCHAR) AS quarter_of_month,
        strftime(try_strptime(concat_ws('-', y, m, d), '%Y-%m-%d'), '%Y%m%d') AS yyyymmdd
 FROM texts""",
     "points_monthly": _RAW + " SELECT * FROM points_monthly",
+    "points_by_grain": _RAW
+    + f""",
+dated AS (
+  SELECT *, {_QUARTER} AS quarter, substr(yyyymm, 1, 4) AS year FROM points
+)
+SELECT distinct_id, CASE WHEN grouping(quarter) = 0 THEN 'quarter' ELSE 'year' END AS grain, coalesce(quarter, year) AS period,
+       CAST(sum(total_points) AS BIGINT) AS sum_total_points, count(storename) AS count_consumption,
+       count(DISTINCT storename) AS count_store_distinct, count(DISTINCT productname) AS count_product_distinct,
+       true AS stores_close, true AS products_close
+FROM dated GROUP BY GROUPING SETS ((distinct_id, quarter), (distinct_id, year), (quarter), (year))""",
+    "quarterly_panel": _RAW
+    + f""",
+quarters AS (
+  SELECT distinct_id, {_QUARTER} AS period, CAST(sum(total_points) AS BIGINT) AS sum_total_points,
+         count(storename) AS count_consumption, count(DISTINCT storename) AS count_store_distinct,
+         count(DISTINCT productname) AS count_product_distinct
+  FROM points GROUP BY 1, 2
+),
+more AS (
+  SELECT distinct_id, {_QUARTER} AS period, CAST(sum(count_notify) AS BIGINT) AS count_notify,
+         CAST(sum(count_distinct_region) AS BIGINT) AS count_distinct_region
+  FROM extras GROUP BY 1, 2
+),
+filled AS (
+  SELECT distinct_id, period, age, gender, coalesce(sum_total_points, 0) AS sum_total_points,
+         coalesce(count_consumption, 0) AS count_consumption, coalesce(count_notify, 0) AS count_notify,
+         coalesce(count_distinct_region, 0) AS count_distinct_region,
+         coalesce(count_store_distinct, 0) AS count_store_distinct, coalesce(count_product_distinct, 0) AS count_product_distinct
+  FROM (SELECT DISTINCT distinct_id, {_QUARTER} AS period, age, gender FROM spine)
+  LEFT JOIN quarters USING (distinct_id, period) LEFT JOIN more USING (distinct_id, period)
+),
+nexts AS (SELECT *, lead(sum_total_points) OVER (PARTITION BY distinct_id ORDER BY period) AS lag_sum_total FROM filled)
+SELECT * FROM nexts WHERE lag_sum_total IS NOT NULL""",
     "notify_monthly": _RAW + " SELECT * FROM notify_monthly",
     "visits_monthly": _RAW + " SELECT * FROM visits_monthly",
     "app_events_csv": _RAW + " SELECT * FROM notify_monthly",

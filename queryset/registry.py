@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.functions import month_key, reformat_date
+from panelkit.functions import coarser, month_key, reformat_date
+from panelkit.functions import period_key as key_of
 from panelkit.operators import encode, evaluate, forest, keys, panel, rollups, split
 from panelkit.plans import features, model, search
 from panelkit.sources import feature_table, models, raw, runs
@@ -54,6 +55,8 @@ def period_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey",
         month_key("compact").alias("yyyymm"),
         month_key("dashed", "yyyy-MM-dd").alias("yyyymm_dashed"),
+        *[key_of("compact", grain=g).alias(g) for g in ("week", "quarter", "year")],
+        coarser(month_key("compact"), "quarter").alias("quarter_of_month"),
         reformat_date("dashed", "yyyy-MM-dd", "yyyyMMdd").alias("yyyymmdd"),
     )
 
@@ -62,6 +65,54 @@ def points_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.rollup_points(adapters.points(spark, sf_dir))
 
 
+def _stored_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months of people with sketches of their stores and products, kept as a feature table."""
+    path = new_folder(spark, "sketches")
+    months = rollups.rollup_points(adapters.points(spark, sf_dir), approx=True)
+    feature_table.create_feature_table(months, path, KEYS, partition_by="yyyymm")
+    return feature_table.read_feature_table(spark, path)
+
+
+def points_by_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarters and years of each person and of all people, out of the stored months; beside the sums the exact
+    distinct counts of the lines, and whether the sketches' estimates are as near to them as they have to be."""
+    united = rollups.roll_up(_stored_sketches(spark, sf_dir))
+    lines = adapters.points(spark, sf_dir)
+    everyone = lines.withColumn("distinct_id", F.lit(0))
+    exact = None
+    for grain in ("quarter", "year"):
+        for rows, person in ((lines, F.col("distinct_id")), (everyone, F.lit(None).cast("bigint"))):
+            part = rollups.rollup_points(rows, grain=grain).select(
+                person.alias("_person"),
+                F.lit(grain).alias("_grain"),
+                F.col("yyyymm").alias("_period"),
+                F.col(rollups.N_STORES).alias("stores"),
+                F.col(rollups.N_PRODUCTS).alias("products"),
+            )
+            exact = part if exact is None else exact.unionByName(part)
+    same = F.col("distinct_id").eqNullSafe(F.col("_person")) & (F.col("grain") == F.col("_grain")) & (F.col("period") == F.col("_period"))
+
+    def close(estimate: str, count: str) -> Column:
+        return F.abs(F.col(estimate) - F.col(count)) <= F.col(count) * rollups.sketch_error()
+
+    return united.join(exact, same, "full").select(
+        "distinct_id", "grain", "period", "sum_total_points", "count_consumption",
+        F.col("stores").alias("count_store_distinct"), F.col("products").alias("count_product_distinct"),
+        close(rollups.N_STORES, "stores").alias("stores_close"), close(rollups.N_PRODUCTS, "products").alias("products_close"),
+    )
+
+
+def quarterly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel by quarters, out of stored months with their sketches, with the next quarter's points to predict."""
+    months = features.monthly_panel(
+        adapters.people(spark, sf_dir), adapters.points(spark, sf_dir), adapters.app_events(spark, sf_dir),
+        adapters.visits(spark, sf_dir), approx=True,
+    )
+    path = new_folder(spark, "months")
+    feature_table.create_feature_table(months, path, KEYS, partition_by="yyyymm")
+    return features.coarser_panel(feature_table.read_feature_table(spark, path), "quarter")
+
+
 def notify_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.rollup_notifications(adapters.app_events(spark, sf_dir))
 
@@ -428,6 +479,8 @@ QUERIES = {
         people_spine,
         period_key,
         points_monthly,
+        points_by_grain,
+        quarterly_panel,
         notify_monthly,
         visits_monthly,
         app_events_csv,
