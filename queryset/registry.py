@@ -441,6 +441,43 @@ def search_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(best, "negative_auc", "auc", "auc_score", digits=9)
 
 
+# The grid of the cross-validated search.
+GRID = {"max_depth": [2, 4], "num_trees": [5, 15]}
+
+
+def _grid_search(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    train, _, steps = _prepared(spark, sf_dir)
+    path = new_folder(spark, "grid")
+    return path, search.grid_search(train, FOREST, path, GRID, labels=model.label_names(steps))
+
+
+def grid_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of a cross-validated grid: the area on each fold, mean and spread, and the area of all scores together."""
+    path, parent = _grid_search(spark, sf_dir)
+    points = runs.search_runs(runs.read_runs(spark, f"{path}/runs"), F.col("parent_run_id") == parent)
+    names = [*[f"fold_{f}_auc_score" for f in range(3)], "mean_auc_score", "spread_auc_score", "auc_score", "mean_log_loss"]
+    return points.select(
+        *[F.col("params")[c].cast("int").alias(c) for c in GRID], *[F.round(F.col("metrics")[m], 9).alias(m) for m in names]
+    )
+
+
+def grid_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folds of that search: rows, people, scores, rows not scored just once at each point, and people who were also in
+    the rows that the fold's forest learned from."""
+    path, parent = _grid_search(spark, sf_dir)
+    scores = spark.read.parquet(f"{path}/scores/{parent}")
+    points = len(GRID["max_depth"]) * len(GRID["num_trees"])
+    by_row = scores.groupBy(*KEYS, "fold").agg(F.count("score").alias("n"), F.count_distinct("point").alias("points"))
+    odd = F.count_if((F.col("n") != points) | (F.col("points") != points))
+    folds = scores.groupBy("distinct_id").agg(F.collect_set("fold").alias("folds"))
+    seen = folds.filter(F.size("folds") > 1).select("distinct_id", F.explode("folds").alias("fold"))
+    rows = by_row.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("distinct_id").alias("people"), F.sum("n").alias("scores"), odd.alias("odd")
+    )
+    leaked = seen.groupBy("fold").agg(F.count(F.lit(1)).alias("leaked"))
+    return rows.join(leaked, "fold", "left").withColumn("leaked", F.coalesce("leaked", F.lit(0)))
+
+
 def _reported_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The runs of a search, every trial reported on the test part."""
     train, test, steps = _prepared(spark, sf_dir)
@@ -518,6 +555,8 @@ QUERIES = {
         forest_score_keys,
         search_leaderboard,
         run_reports,
+        grid_leaderboard,
+        grid_folds,
         search_trials,
     )
 }

@@ -197,3 +197,42 @@ def test_search_over_forests(spark, tmp_path):
         assert logged["negative_auc"] == -logged["auc"] and runs[trial]["tags"] == {"label_0": "0.0", "label_1": "1.0"}
     assert runs["trial 1"]["metrics"]["auc"] > runs["trial 0"]["metrics"]["auc"] - 0.05
     assert [r["max_depth"] for r in search.leaderboard(spark, path, parent).collect()][0] in (1, 3)
+
+
+def test_grid_search_over_folds(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(i % 60, f"2023{i // 60 + 1:02}", *r[2:]) for i, r in enumerate(some_rows(420, 8))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    path = str(tmp_path / "g")
+    parent = search.grid_search(df, FEATURES, path, {"max_depth": [1, 3], "num_trees": [2, 4]}, k=4, label="y")
+    scores = spark.read.parquet(f"{path}/scores/{parent}")
+    assert rng and scores.count() == 420 * 4 and scores.select("distinct_id", "yyyymm", "point").distinct().count() == 420 * 4
+    assert scores.groupBy("distinct_id").agg(F.count_distinct("fold").alias("n")).filter("n > 1").count() == 0
+    points = {r["run_name"]: r for r in read_runs(spark, f"{path}/runs").filter(F.col("parent_run_id") == parent).collect()}
+    assert [points[f"point {i}"]["params"] for i in range(4)] == [{"max_depth": d, "num_trees": t} for d in "13" for t in "24"]
+    # a fold's scores are those of a forest grown without its people
+    fold = scores.filter("point = 3 AND fold = 1")
+    people = [r[0] for r in fold.select("distinct_id").distinct().collect()]
+    nodes = forest.grow_forest(df.filter(~F.col("distinct_id").isin(people)), FEATURES, "y", 3, 4)
+    want = forest.forest_score(nodes, df.filter(F.col("distinct_id").isin(people)), FEATURES, "y", 3, 4)
+    both = fold.join(want, ["distinct_id", "yyyymm"])
+    assert both.count() == fold.count() and both.filter("score <> probability_1").count() == 0
+    logged = points["point 3"]["metrics"]
+    report = {r["metric"]: r["value"] for r in classification_report(want, score="probability_1").collect()}
+    assert {m: logged[f"fold_1_{m}"] for m in report} == pytest.approx(report)
+    areas = [logged[f"fold_{f}_auc_score"] for f in range(4)]
+    assert logged["mean_auc_score"] == pytest.approx(sum(areas) / 4) and logged["spread_auc_score"] >= 0
+    assert search.run_scores(spark, path, f"{parent}-3", df, FEATURES, "y").count() == 420
+
+
+def test_spark_models_over_the_same_folds(spark):
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import ParamGridBuilder
+
+    df = spark.createDataFrame([(i % 40, *r[1:]) for i, r in enumerate(some_rows(200, 9))], SCHEMA)
+    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(df)
+    trees = RandomForestClassifier(labelCol="y", numTrees=3, seed=1)
+    grid = ParamGridBuilder().addGrid(trees.maxDepth, [1, 3]).build()
+    best = search.grid_model(vectors, trees, grid, BinaryClassificationEvaluator(labelCol="y"))
+    assert len(best.avgMetrics) == 2 and all(0.5 < m <= 1 for m in best.avgMetrics)
