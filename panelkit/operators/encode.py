@@ -13,9 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.operators.ranking import running_totals
+from panelkit.sources.staging import stage
 
 # Gender codes.
 GENDER_CODES = {"F": 2, "M": 1}
+# Values of a column whose rows are never shuffled to be indexed; values that an indexer may hold on the driver.
+HOT, MAX_CATEGORIES = 1_000, 100_000
 
 
 def encode_map(
@@ -74,10 +77,48 @@ def _indexer(cols: list[str], invalid: str) -> StringIndexer:
 
 
 def index_categories(train: DataFrame, cols: list[str], invalid: str = "skip") -> StringIndexerModel:
-    """Indexer learnt on ``train``; with 'skip' it drops rows with unseen or null values."""
+    """Indexer learnt on ``train``; with 'skip' it drops rows with unseen or null values.
+
+    Its values come to the driver: more than MAX_CATEGORIES of a column are an error, use ``index_by_table`` for them.
+    """
+    some = [train.select(F.col(f"`{c}`").alias("v")).distinct().limit(MAX_CATEGORIES + 1).count() for c in cols]
+    if max(some, default=0) > MAX_CATEGORIES:
+        raise ValueError(f"more than {MAX_CATEGORIES} values in one of {cols}: use index_by_table")
     return _indexer(cols, invalid).fit(train)
 
 
+def index_by_table(
+    train: DataFrame, df: DataFrame, cols: list[str], invalid: str = "skip", hot: int = HOT
+) -> DataFrame:
+    """``df`` with the index of each column's value, as ``index_categories`` gives it, for any number of values.
+
+    The index is the table of ``category_map`` on ``train``, written, and joined; no list of values comes to the driver.
+    The ``hot`` most frequent values of a column are broadcast, so their rows, however many, are not shuffled; the rows
+    of all others, of which each has a ``hot``-th of the rows at most, are dealt out by value. Values unseen in
+    ``train`` and nulls: with 'skip' their rows are left out, with 'keep' they get the number of values as their index, with
+    'error' they stop the query. The order of the rows is not kept.
+    """
+    if invalid not in ("skip", "keep", "error"):
+        raise ValueError(f"unknown way to treat invalid values: {invalid}")
+    every = stage(category_map(train, cols), "categories")
+    for c in cols:
+        known = every.filter(F.col("col") == c).select(F.col("value").alias("_value"), F.col("index").alias(index_name(c)))
+        text = F.col(f"`{c}`").cast("string")
+        near = F.broadcast(known.filter(F.col(index_name(c)) < hot))
+        met = df.join(near, text == F.col("_value"), "left")
+        rest = met.filter(F.col("_value").isNull()).drop("_value", index_name(c))
+        far = known.filter(F.col(index_name(c)) >= hot)
+        if invalid == "skip":
+            found = rest.join(far, text == F.col("_value"))
+        else:
+            found = rest.join(far, text == F.col("_value"), "left")
+            n = known.agg(F.count(F.lit(1)).cast("double")).scalar()
+            unseen = F.raise_error(F.concat(F.lit(f"unseen value of {c}: "), F.coalesce(text, F.lit("null")))).cast("double")
+            found = found.withColumn(index_name(c), F.coalesce(index_name(c), n if invalid == "keep" else unseen))
+        df = met.filter(F.col("_value").isNotNull()).unionByName(found).drop("_value")
+    return df
+
+
 def valid_feature_rows(
     train: DataFrame, df: DataFrame, categorical: list[str], numeric: list[str]
 ) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from panelkit.operators.rollups import (
 from panelkit.sources.feature_table import create_feature_table, read_feature_table, read_state, upsert_feature_table
 from panelkit.sources.folders import drop_folder
 from panelkit.sources.raw import read_app_events, read_people, read_points, read_visits
+from panelkit.sources.rejects import add_rejects, scan
 from panelkit.sources.staging import new_folder
 
 ACTIVITY = [SUM_POINTS, N_PURCHASES, N_STORES, N_PRODUCTS, N_NOTIFY, N_VISITS]
@@ -92,15 +94,22 @@ def monthly_rows(
     visits: str,
     id_type: str | None = None,
     months: tuple[str, str] | None = None,
+    rejects: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(filled monthly rows, rows of ``people`` without id or month) from the raw tables at the given paths.
 
     ``months``, the first and last as ``yyyyMM``, restricts every scan to these months; of people without a month none are
-    left out.
+    left out. ``rejects``: the rejects table to which the records go that the scans cannot use, whatever their months.
     """
-    spine = read_people(spark, people, id_type)
-    lines, log = read_points(spark, points, id_type), read_app_events(spark, events, id_type)
-    calls = read_visits(spark, visits, id_type)
+    if rejects is None:
+        spine = read_people(spark, people, id_type)
+        lines, log = read_points(spark, points, id_type), read_app_events(spark, events, id_type)
+        calls = read_visits(spark, visits, id_type)
+    else:
+        paths = {"people": people, "points": points, "events": events, "visits": visits}
+        scans = {name: scan(spark, name, path, id_type) for name, path in paths.items()}
+        add_rejects(rejects, reduce(DataFrame.unionByName, [bad for _, bad in scans.values()]))
+        spine, lines, log, calls = (good for good, _ in scans.values())
     if months is not None:
         month = F.col(KEYS[1])
         spine = spine.filter(month.between(*months) | month.isNull())
@@ -156,6 +165,7 @@ def build_feature_table(
     partition_by: str | None = KEYS[1],
     update: bool = False,
     months: tuple[str, str] | None = None,
+    rejects: str | None = None,
 ) -> int:
     """Read the raw tables at the given paths and store their panel as a feature table.
 
@@ -166,9 +176,11 @@ def build_feature_table(
     Updates with older months than those that wait correct stored rows, and read the table for it; a row that the raw
     data no longer have stays. Dates that are no dates are left out with and without ``months``.
 
-    Rows of ``people`` without id or month are set aside in ``<table>/rejects``; gives their number.
+    Rows of ``people`` without id or month are set aside in ``<table>/rejects``; gives their number. With ``rejects``,
+    a path, the records of all four tables that cannot be used go there instead, with the reason (``sources.rejects``): lines
+    that cannot be read, unknown ids, ids that do not convert, unknown dates. This reads the raw tables whole.
     """
-    new, bad = monthly_rows(spark, people, points, events, visits, id_type, months)
+    new, bad = monthly_rows(spark, people, points, events, visits, id_type, months, rejects)
     held = new_folder(spark, "panel")
     if update:
         known = _known_rows(spark, table, new, months)

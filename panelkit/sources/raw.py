@@ -12,6 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ID = "distinct_id"
+# Columns of each raw table and the types that they are brought to (None: as stored), and the form of its dates; the
+# spine has months.
+SCANS: dict[str, tuple[dict[str, str | None], str | None]] = {
+    "people": ({ID: None, "age": "int", "gender": "string", "yyyymm": "string"}, None),
+    "points": (
+        {"total_points": None, "storename": "string", "productname": "string", ID: None, "yyyymmdd": "string"},
+        "yyyyMMdd",
+    ),
+    "visits": ({ID: None, "yyyymmdd": "string", "region": "string"}, "yyyyMMdd"),
+    "events": ({ID: None, "yyyymmdd": "string", "main_event": "string"}, "yyyy-MM-dd"),
+}
 
 
 def _typed(df: DataFrame, types: dict[str, str | None], id_type: str | None) -> DataFrame:
@@ -31,26 +42,17 @@ def _typed(df: DataFrame, types: dict[str, str | None], id_type: str | None) ->
 
 def read_people(spark: SparkSession, path: str, id_type: str | None = None) -> DataFrame:
     """Spine: one row per person and month, Parquet."""
-    types = {ID: None, "age": "int", "gender": "string", "yyyymm": "string"}
-    return _typed(spark.read.parquet(path), types, id_type)
+    return _typed(spark.read.parquet(path), SCANS["people"][0], id_type)
 
 
 def read_points(spark: SparkSession, path: str, id_type: str | None = None) -> DataFrame:
     """Purchase lines with ``yyyyMMdd`` dates, Parquet; points may be stored as text."""
-    types = {
-        "total_points": None,
-        "storename": "string",
-        "productname": "string",
-        ID: None,
-        "yyyymmdd": "string",
-    }
-    return _typed(spark.read.parquet(path), types, id_type)
+    return _typed(spark.read.parquet(path), SCANS["points"][0], id_type)
 
 
 def read_visits(spark: SparkSession, path: str, id_type: str | None = None) -> DataFrame:
     """Visits with ``yyyyMMdd`` dates, Parquet."""
-    types = {ID: None, "yyyymmdd": "string", "region": "string"}
-    return _typed(spark.read.parquet(path), types, id_type)
+    return _typed(spark.read.parquet(path), SCANS["visits"][0], id_type)
 
 
 def read_app_events(
@@ -61,8 +63,7 @@ def read_app_events(
     ``header`` names the columns of the files in their order, by default as the first file has them. A file with
     another header stops the read with an error; read files of another order on their own, with theirs.
     """
-    types = {ID: None, "yyyymmdd": "string", "main_event": "string"}
     reader = spark.read.option("header", True)
     names = reader.csv(path).columns if header is None else header
     schema = ", ".join(f"`{c}` string" for c in names)
-    return _typed(reader.schema(schema).option("enforceSchema", False).csv(path), types, id_type)
+    return _typed(reader.schema(schema).option("enforceSchema", False).csv(path), SCANS["events"][0], id_type)

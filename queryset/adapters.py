@@ -128,6 +128,36 @@ def write_raw(
     return paths
 
 
+def write_faulty(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, str]:
+    """As ``write_raw`` with ids as text and faults by the number of the order (of the person in the spine): no id, an
+    id that is no number, no date, a date that is none, and, in the CSV file, lines that end before their last column."""
+    paths = {name: f"{folder}/{name}" for name in ("people", "points", "events", "visits")}
+    key = F.col("o_orderkey")
+    person = F.col("o_custkey").cast("string")
+    ids = F.when(key % 11 == 1, None).when(key % 11 == 2, F.concat(F.lit("x"), person)).otherwise(person)
+
+    def dates(fmt: str) -> Column:
+        return F.when(key % 13 == 3, None).when(key % 13 == 4, "2023-99").otherwise(_day("o_orderdate", fmt))
+
+    orders = table(spark, sf_dir, "orders")
+    rows = orders.select(ids.alias("distinct_id"), dates("yyyyMMdd").alias("yyyymmdd"), key.alias("key"))
+    rows.select("distinct_id", "yyyymmdd", F.lit("ASIA").alias("region")).write.parquet(paths["visits"])
+    rows.select(
+        F.lit("3").alias("total_points"), F.lit("s").alias("storename"), F.lit("p").alias("productname"), "distinct_id", "yyyymmdd"
+    ).write.parquet(paths["points"])
+    line = F.concat_ws(",", F.coalesce(ids, F.lit("")), F.coalesce(dates("yyyy-MM-dd"), F.lit("")), F.lit("notification"))
+    short = F.when(key % 17 == 5, F.coalesce(ids, F.lit("7"))).otherwise(line)
+    # one column whose name is the whole header, so that lines are written as they are
+    plain = orders.select(short.alias("distinct_id,yyyymmdd,main_event")).write.option("header", True)
+    plain.option("sep", "\u0001").option("quote", "\u0000").csv(paths["events"])
+    spine, n = people(spark, sf_dir), F.col("distinct_id")
+    spine.select(
+        F.when(n % 11 == 1, None).when(n % 11 == 2, F.concat(F.lit("x"), n.cast("string"))).otherwise(n.cast("string")).alias("distinct_id"),
+        "age", "gender", F.when(n % 13 == 3, None).otherwise(F.col("yyyymm")).alias("yyyymm"),
+    ).write.parquet(paths["people"])
+    return paths
+
+
 def month_span(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """First and last month of the orders."""
     key = F.date_format(F.col("o_orderdate").cast("date"), "yyyyMM")

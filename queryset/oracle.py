@@ -582,6 +582,21 @@ SELECT * FROM nexts WHERE lag_sum_total IS NOT NULL""",
     "raw_parquet_rollups": _RAW
     + " SELECT p.*, v.count_distinct_region FROM points_monthly p"
     + " LEFT JOIN visits_monthly v USING (distinct_id, yyyymm)",
+    "rejected_records": _RAW
+    + """,
+told AS (
+  SELECT unnest(['points', 'visits', 'events']) AS source, o_orderkey AS key FROM orders
+),
+reasons AS (
+  SELECT source, CASE WHEN source = 'events' AND key % 17 = 5 THEN 'broken record' WHEN key % 11 = 1 THEN 'no id'
+         WHEN key % 11 = 2 THEN 'bad id' WHEN key % 13 = 3 THEN 'no date' WHEN key % 13 = 4 THEN 'bad date' END AS reason
+  FROM told
+  UNION ALL
+  SELECT 'people', CASE WHEN distinct_id % 11 = 1 THEN 'no id' WHEN distinct_id % 11 = 2 THEN 'bad id'
+         WHEN distinct_id % 13 = 3 THEN 'no date' END
+  FROM people
+)
+SELECT source, reason, count(*) AS n, count(*) AS with_file FROM reasons WHERE reason IS NOT NULL GROUP BY source, reason""",
     "points_with_extras": _RAW + " SELECT * FROM extras",
     "feature_panel": _PANEL + " SELECT * FROM panel",
     "feature_panel_flat": _RAW
@@ -609,6 +624,18 @@ pairs AS (
 )
 SELECT col, value, CAST(row_number() OVER (PARTITION BY col ORDER BY count(*) DESC, value) - 1 AS DOUBLE) AS index
 FROM pairs GROUP BY col, value""",
+    "product_index": """
+WITH lines AS (
+  SELECT concat_ws(' ', p_name, CAST(l_partkey AS VARCHAR)) AS part,"""
+    + _SPLIT.format(key="concat_ws('|', CAST(l_orderkey AS VARCHAR), '42')")
+    + """ AS split
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+),
+indexed AS (
+  SELECT part, CAST(row_number() OVER (ORDER BY count(*) DESC, part) - 1 AS DOUBLE) AS index
+  FROM lines WHERE split = 'train' GROUP BY part
+)
+SELECT part, index, count(*) AS n FROM lines JOIN indexed USING (part) WHERE split = 'test' GROUP BY ALL""",
     "standardized": _standardized(),
     "valid_feature_rows": _RAW
     + """

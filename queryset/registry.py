@@ -12,6 +12,7 @@ from panelkit.functions import period_key as key_of
 from panelkit.operators import encode, evaluate, forest, keys, panel, rollups, split
 from panelkit.plans import features, model, search
 from panelkit.sources import feature_table, models, raw, runs
+from panelkit.sources.rejects import read_rejects
 from panelkit.sources.staging import new_folder, stage
 from queryset import adapters
 
@@ -127,6 +128,16 @@ def app_events_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.rollup_notifications(raw.read_app_events(spark, path, id_type="bigint"))
 
 
+def rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that the scans set aside, by table and reason, out of raw tables with faults planted by order and person."""
+    folder = new_folder(spark, "faulty")
+    paths = adapters.write_faulty(spark, sf_dir, folder) | {"table": f"{folder}/table"}
+    features.build_feature_table(spark, **paths, id_type="bigint", rejects=f"{folder}/rejects")
+    found = read_rejects(spark, f"{folder}/rejects")
+    files = F.count_if(F.col("file").contains(F.concat(F.lit("/"), F.col("source"), F.lit("/"))))
+    return found.groupBy("source", "reason").agg(F.count("record").alias("n"), files.alias("with_file"))
+
+
 def raw_parquet_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points and visits written as raw tables and read back by their readers."""
     points_path, visits_path = new_folder(spark, "points"), new_folder(spark, "visits")
@@ -186,8 +197,17 @@ def category_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.category_map(training_set(spark, sf_dir), ["gender", "label"])
 
 
+def product_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts, by name and number, indexed by their frequency among the training orders' lines, for the lines of all others."""
+    named = adapters.table(spark, sf_dir, "lineitem").join(adapters.table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    lines = named.select("l_orderkey", F.concat_ws(" ", "p_name", F.col("l_partkey").cast("string")).alias("part"))
+    train, test = split.split_parts(stage(split.hash_split(lines, by="l_orderkey"), "lines"))
+    rows = encode.index_by_table(train, test, ["part"], hot=100)
+    return rows.groupBy("part", F.col("partIndex").alias("index")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def standardized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stage(training_set(spark, sf_dir), "training")
+    rows = stage(training_set(spark, sf_dir), "training")  # written once: read for the learning and the scaling
     train, _ = split.split_parts(split.hash_split(rows))
     return _rounded(encode.standardize(train, rows, NUMBERS).select(*KEYS, *NUMBERS), *NUMBERS)
 
@@ -522,6 +542,7 @@ QUERIES = {
         visits_monthly,
         app_events_csv,
         raw_parquet_rollups,
+        rejected_records,
         points_with_extras,
         feature_panel,
         feature_panel_flat,
@@ -531,6 +552,7 @@ QUERIES = {
         split_sizes,
         split_by_person,
         category_map,
+        product_index,
         standardized,
         valid_feature_rows,
         confusion_matrix,
