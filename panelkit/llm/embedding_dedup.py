@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,11 +16,24 @@ from panelkit.llm.blocks import block_pairs, compare, forest
 from panelkit.llm.components import components
 from panelkit.sources.staging import stage
 
-# Two vectors at cosine 0.93 share a bit with probability 0.880, so all 12 bits of one of 20 tables with 0.991.
-TABLES, BITS, SEED = 20, 12, 7
+# Least and most bits of a table; the chance of a pair at the threshold to be in no bucket together; vectors that are
+# hashed at a time.
+BITS, MISSED, LOT, SEED = (12, 24), 0.009, 1_000, 7
 SIMILARITY = 0.93
 
 
+def sizes(n: int, similarity: float = SIMILARITY) -> tuple[int, int]:
+    """(tables, bits) for ``n`` vectors: buckets as many as vectors, so that what meets by chance grows with the vectors, not
+    with their square; and tables enough for a pair at the threshold to share a bucket of one but for MISSED.
+
+    Two vectors at an angle share a bit with probability 1 - angle / pi. At cosine 0.93 that is 0.880, so 12 bits take 20
+    tables, 16 take 35, 20 take 59; the tables grow with the 0.18th power of the vectors.
+    """
+    bits = min(max(math.ceil(math.log2(max(n, 1))), BITS[0]), BITS[1])
+    same = (1 - math.acos(similarity) / math.pi) ** bits
+    return (math.ceil(math.log(MISSED) / math.log(1 - same)) if same < 1 else 1), bits
+
+
 def _planes(dim: int, tables: int, bits: int) -> np.ndarray:
     return np.random.default_rng([SEED, dim]).standard_normal((dim, tables * bits))
 
@@ -32,8 +46,12 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 def sign_codes(vectors: np.ndarray, tables: int, bits: int) -> np.ndarray:
     """One number per vector and table: the sides of ``bits`` random hyperplanes that the vector lies on."""
-    signs = _unit(vectors) @ _planes(vectors.shape[1], tables, bits) > 0
-    return signs.reshape(len(vectors), tables, bits) @ (1 << np.arange(bits, dtype=np.int32))
+    planes, weights = _planes(vectors.shape[1], tables, bits), 1 << np.arange(bits, dtype=np.int32)
+    codes = np.empty((len(vectors), tables), np.int32)
+    for k in range(0, len(vectors), LOT):
+        signs = _unit(vectors[k : k + LOT]) @ planes > 0
+        codes[k : k + LOT] = signs.reshape(-1, tables, bits) @ weights
+    return codes
 
 
 def _usable(vector) -> F.Column:
@@ -62,13 +80,17 @@ def _coded(reps: DataFrame, tables: int, bits: int) -> DataFrame:
 
 
 def near_duplicates(
-    rows: DataFrame, similarity: float = SIMILARITY, tables: int = TABLES, bits: int = BITS, vector: str = "embedding"
+    rows: DataFrame,
+    similarity: float = SIMILARITY,
+    tables: int | None = None,
+    bits: int | None = None,
+    vector: str = "embedding",
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of (vec_id, label, ``vector``).
 
     Rows link where their labels are equal and the cosine is ``similarity`` or more. Equal vectors of a label are
     compared once and always link. All others that share a bucket of one of the ``tables`` are compared,
-    exactly; nothing is capped. ``n_links`` counts other rows, ``component_id`` is the smallest vec_id that links
+    exactly; nothing is capped. Tables and their ``bits`` follow the number of distinct vectors (``sizes``) if not given. ``n_links`` counts other rows, ``component_id`` is the smallest vec_id that links
     reach, ``kept`` marks the rows with that id. Link with nothing: null labels and ids, null or empty vectors, those
     of zeros only or with a null, NaN or infinite number, and vectors of different lengths. A null id has a null
     component and is kept. Rows that repeat an id count as rows. An empty table gives no rows.
@@ -79,6 +101,9 @@ def near_duplicates(
     usable = _usable(F.col("vector")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     same = source.filter(usable).groupBy("label", "vector")
     reps = same.agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"))
+    if tables is None or bits is None:
+        reps = stage(reps, "vectors")
+        tables, bits = sizes(reps.count(), similarity)
     # numbered as they are written, so that every later reading sees one number for a distinct vector
     coded = stage(_coded(reps, tables, bits).withColumn("id", F.monotonically_increasing_id()), "codes")
     found = stage(_links(coded, similarity), "links")

@@ -101,16 +101,38 @@ def test_vectors_of_the_test_table(spark):
     assert sorted(got, key=repr) == brute_vectors(rows, 0.93)
 
 
-def test_recall_of_sign_hashing():
-    """Pairs at the very threshold are found with a probability of 0.99."""
+@pytest.mark.parametrize("vectors", [1, 50_000, 5_000_000])
+def test_recall_of_sign_hashing(vectors):
+    """Pairs at the very threshold are found with a probability of 0.99, whatever the number of vectors."""
+    tables, bits = embedding_dedup.sizes(vectors)
+    assert bits == {1: 12, 50_000: 16, 5_000_000: 23}[vectors]
     rng = np.random.default_rng(3)
     a, b = rng.standard_normal((2, 4000, 64))
     a /= np.linalg.norm(a, axis=1, keepdims=True)
     b -= (a * b).sum(axis=1, keepdims=True) * a
     b /= np.linalg.norm(b, axis=1, keepdims=True)
     other = 0.93 * a + math.sqrt(1 - 0.93**2) * b
-    codes = [embedding_dedup.sign_codes(x, embedding_dedup.TABLES, embedding_dedup.BITS) for x in (a, other)]
-    assert (codes[0] == codes[1]).any(axis=1).mean() > 0.98
+    codes = [embedding_dedup.sign_codes(x, tables, bits) for x in (a, other)]
+    assert (codes[0] == codes[1]).any(axis=1).mean() > 0.985
+    # what meets by chance: as many pairs as there are tables for each vector, or fewer
+    far = [embedding_dedup.sign_codes(x, 1, bits) for x in (a, b)]
+    assert (far[0] == far[1]).mean() < 5 / 2**bits + 2e-3
+
+
+def test_sizes_grow_slowly():
+    got = [embedding_dedup.sizes(10**k) for k in range(4, 8)]
+    assert [b for _, b in got] == [14, 17, 20, 24]
+    assert all(b[0] / a[0] < 10**0.25 for a, b in zip(got, got[1:], strict=False))
+    assert embedding_dedup.sizes(10**12)[1] == embedding_dedup.BITS[1]
+    assert embedding_dedup.sizes(1000, 1.0) == (1, 12)
+
+
+def test_more_bits_find_the_same_links(spark):
+    """At the sizes of the test tables nothing depends on the number of bits."""
+    table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    few = embedding_dedup.near_duplicates(table).collect()
+    many = embedding_dedup.near_duplicates(table, tables=embedding_dedup.sizes(10**5)[0], bits=17).collect()
+    assert sorted(map(tuple, few)) == sorted(map(tuple, many))
 
 
 def brute_fingerprint(text, size=3):
