@@ -656,6 +656,7 @@ FROM matrix""",
     + """
 SELECT threshold, round(fpr, 9) AS fpr, round(tpr, 9) AS tpr FROM curve
 UNION ALL SELECT NULL, 0.0, 0.0""",
+    "roc_sketch": "SELECT CAST(unnest(range(1, 51)) AS INTEGER) AS point, true AS fpr_close, true AS tpr_close",
     "auc_hard": _RULE + " SELECT round((tp / (tp + fn) + tn / (tn + fp)) / 2, 9) AS auc FROM cells",
     "auc_score": _RULE + " SELECT round((rank_sum - p * (p + 1) / 2) / (p * q), 9) AS auc FROM area",
     "classification_report": _RULE + _REPORT,
@@ -687,6 +688,27 @@ hits AS ("""
 SELECT run_id, run_name, threshold, round(-auc, 9) AS negative_auc, round(accuracy, 9) AS accuracy,
        row_number() OVER (ORDER BY accuracy DESC, run_id) = 1 AS best
 FROM rules JOIN hits USING (run_id)""",
+    "run_tree": _TRAINING
+    + """,
+trials AS ("""
+    + " UNION ALL ".join(
+        f"SELECT gender, concat_ws('-', 'rule', CAST(gender AS VARCHAR), '{t}') AS run_id, "
+        f"(avg(CASE WHEN sum_total_points >= {t} THEN 1.0 ELSE 0.0 END) FILTER (label = 1) + "
+        f"avg(CASE WHEN sum_total_points < {t} THEN 1.0 ELSE 0.0 END) FILTER (label = 0)) / 2 AS auc FROM training GROUP BY gender"
+        for t in (1, 20, 50, 100)
+    )
+    + """),
+every AS (
+  SELECT run_id, 2 AS depth, 1::BIGINT AS n_trials, run_id AS best_run, auc AS best_value FROM trials
+  UNION ALL
+  SELECT 'gender-' || CAST(gender AS VARCHAR), 1, count(*), arg_max(run_id, auc), max(auc) FROM trials GROUP BY gender
+  UNION ALL
+  SELECT 'study', 0, count(*), arg_max(run_id, auc), max(auc) FROM trials
+  UNION ALL
+  SELECT unnest(['here', 'there', 'lost']), NULL, 1, 'lost', 0.25
+)
+SELECT run_id, CAST(depth AS INTEGER) AS depth, n_trials, best_run, round(best_value, 9) AS best_value, run_id IN ('here', 'there') AS in_loop
+FROM every""",
     "text_ids": _PANEL
     + """
 SELECT CASE WHEN distinct_id % 2 = 0 THEN lpad(CAST(distinct_id AS VARCHAR), 6, '0')

@@ -240,6 +240,16 @@ def roc_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(points, "fpr", "tpr", digits=9)
 
 
+def roc_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each point of the curve of fixed size is as near to the exact curve at its threshold as it has to be."""
+    rows = stage(_rule_scores(spark, sf_dir).select("label", "sum_total_points"), "scores")
+    exact = evaluate.roc_points(rows, "sum_total_points").select("threshold", F.col("fpr").alias("x"), F.col("tpr").alias("y"))
+    points = stage(evaluate.roc_sketch(rows, "sum_total_points", n=50), "curve")
+    both = points.join(exact, "threshold", "left")
+    near = [(F.abs(F.col(a) - F.col(b)) <= evaluate.rank_error()).alias(f"{a}_close") for a, b in (("fpr", "x"), ("tpr", "y"))]
+    return both.select("point", *near)
+
+
 def auc_hard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(evaluate.auc_of_classes(_rule_scores(spark, sf_dir)), "auc", digits=9)
 
@@ -340,6 +350,34 @@ def runs_reranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.join(best, "run_id", "left").withColumn("best", F.coalesce("best", F.lit(False)))
 
 
+def run_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A study of three searches, one for each gender code, of four rules each, and two runs that name each other."""
+    rows = training_set(spark, sf_dir)
+    y = F.col("label") == 1
+    rates = []
+    for t in RULE_THRESHOLDS:
+        hit = F.col("sum_total_points") >= t
+        rates.append(((F.count_if(hit & y) / F.count_if(y) + F.count_if(~hit & ~y) / F.count_if(~y)) / 2).alias(f"auc_{t}"))
+    by_gender = rows.groupBy("gender").agg(*rates)
+    none = F.lit(None).cast("map<string,string>")
+    trials = F.array(
+        *[
+            F.struct(
+                F.concat_ws("-", F.lit("rule"), "gender", F.lit(str(t))).alias("run_id"), F.lit("trial").alias("run_name"),
+                F.concat(F.lit("gender-"), "gender").alias("parent_run_id"), none.alias("params"),
+                F.create_map(F.lit("auc"), f"auc_{t}").alias("metrics"), none.alias("tags"),
+            )
+            for t in RULE_THRESHOLDS
+        ]
+    )
+    path = new_folder(spark, "runs")
+    runs.append_runs(spark, path, by_gender.select(F.inline(trials)))
+    named = [{"run_id": "study"}, *[{"run_id": f"gender-{g}", "parent_run_id": "study"} for g in range(3)]]
+    named += [{"run_id": "here", "parent_run_id": "there"}, {"run_id": "there", "parent_run_id": "here"}]
+    runs.append_runs(spark, path, [*named, {"run_id": "lost", "parent_run_id": "here", "metrics": {"auc": 0.25}}])
+    return _rounded(runs.run_tree(runs.read_runs(spark, path), "auc"), "best_value", digits=9)
+
+
 def text_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids that are no numbers, '000007' and 'C-8', through all four readers to the panel."""
     number = F.col("distinct_id").cast("string")
@@ -558,6 +596,7 @@ QUERIES = {
         confusion_matrix,
         confusion_cells,
         roc_points,
+        roc_sketch,
         auc_hard,
         auc_score,
         classification_report,
@@ -566,6 +605,7 @@ QUERIES = {
         runs_by_parent,
         best_run,
         runs_reranked,
+        run_tree,
         text_ids,
         feature_panel_incremental,
         feature_panel_updates,
