@@ -33,7 +33,7 @@ from panelkit.sources.staging import new_folder, stage
 SEQUENCE, BATCH = 1024, 256
 # Bytes that a task's memory of encoded words holds before it is emptied; longer words are not remembered; texts that
 # are cut into words at a time.
-MEMORY, LONGEST_KEY, TEXTS = 96 << 20, 64, 500
+MEMORY, LONGEST_KEY, TEXTS = 208 << 20, 64, 1000
 # Words of letters that stand for themselves: their small forms are single characters too, and nothing in them composes.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 _INDEX = "doc_id bigint, file string, place bigint, n_tokens bigint"
@@ -91,10 +91,11 @@ class WordEncoder:
         others = iter(self._ids(self.model, whole))
         return [of[p[0]] + self.stops[p[1]] if p else next(others) for p in parts]
 
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Ids of each text as the bytes of an array of ``dtype``; null and empty texts have none."""
+    def encode(self, texts: list[str | bytes | None]) -> Iterator[bytes]:
+        """Ids of each text, or of its UTF-8 bytes, as the bytes of an array of ``dtype``; null and empty texts have none."""
         for k in range(0, len(texts), TEXTS):
-            cut = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts[k : k + TEXTS]]
+            part = [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else t or b"" for t in texts[k : k + TEXTS]]
+            cut = [t.split() for t in part]
             new = list(set().union(*cut).difference(self.words))
             self.words.learn(new, self._learn(new))
             get = self.words.__getitem__
@@ -219,7 +220,7 @@ def write_sequences(
                 name = f"part-{uuid.uuid4().hex}.arrow"
                 writer = SequenceWriter(sink := fs.open_output_stream(f"{root}/{name}"), encoder.dtype, length)
             sizes = []
-            for ids in encoder.encode(part.column(1).to_pylist()):
+            for ids in encoder.encode(part.column(1).cast(pa.binary()).to_pylist()):
                 writer.add(ids + end)
                 sizes.append(len(ids) // width + 1)
             places = place + np.r_[0, np.cumsum(sizes)[:-1]]
