@@ -728,6 +728,10 @@ FROM training JOIN {_indexed("label")} USING (label) WHERE {_ROW_SPLIT} = 'test'
     "search_leaderboard": _leaderboard(),
     "run_reports": _run_reports(),
     "grid_leaderboard": _grid(),
+    "parzen_trials": _TRAINING
+    + f""" SELECT 'trial ' || CAST(i AS VARCHAR) AS run_name, CASE WHEN i < 4 THEN 'drawn' ELSE 'proposed' END AS kind,
+  (SELECT CAST(count(*) AS DOUBLE) FROM training WHERE {_ROW_SPLIT} = 'test') AS n, true AS inside
+FROM (SELECT unnest(range(8)) AS i)""",
     "grid_folds": _TRAINING
     + f""" SELECT CAST({_FOLD} AS INTEGER) AS fold, count(*) AS n, count(DISTINCT distinct_id) AS people,
   CAST(4 * count(*) AS BIGINT) AS scores, 0::BIGINT AS odd, 0::BIGINT AS leaked

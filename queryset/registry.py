@@ -536,6 +536,19 @@ def grid_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(leaked, "fold", "left").withColumn("leaked", F.coalesce("leaked", F.lit(0)))
 
 
+def parzen_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A search of eight trials, the last four proposed after the others: names, kinds, rows judged, and whether the
+    parameters lie in the space."""
+    train, test, steps = _prepared(spark, sf_dir)
+    path = new_folder(spark, "parzen")
+    parent = search.parzen_search(train, test, FOREST, path, n=8, labels=model.label_names(steps))
+    found = runs.search_runs(runs.read_runs(spark, f"{path}/runs"), F.col("parent_run_id") == parent)
+    inside = F.lit(True)
+    for name, (low, high, _) in search.SPACE.items():
+        inside = inside & F.col("params")[name].cast("int").between(low, high)
+    return found.select("run_name", F.col("params")["kind"].alias("kind"), F.col("metrics")["n"].alias("n"), inside.alias("inside"))
+
+
 def _reported_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The runs of a search, every trial reported on the test part."""
     train, test, steps = _prepared(spark, sf_dir)
@@ -619,6 +632,7 @@ QUERIES = {
         run_reports,
         grid_leaderboard,
         grid_folds,
+        parzen_trials,
         search_trials,
     )
 }

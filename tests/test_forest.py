@@ -236,3 +236,49 @@ def test_spark_models_over_the_same_folds(spark):
     grid = ParamGridBuilder().addGrid(trees.maxDepth, [1, 3]).build()
     best = search.grid_model(vectors, trees, grid, BinaryClassificationEvaluator(labelCol="y"))
     assert len(best.avgMetrics) == 2 and all(0.5 < m <= 1 for m in best.avgMetrics)
+
+
+def test_densities_and_proposals_by_hand():
+    space = {"a": (2, 5, 1), "b": (10, 40, 10)}
+    assert search.densities([], 2, 5, 1) == pytest.approx({2: 1 / 6, 3: 1 / 3, 4: 1 / 3, 5: 1 / 6})
+    history = [({"a": 2 + i % 4, "b": 10 * (1 + i % 3)}, abs(i % 4 - 2) + (i % 3) / 10) for i in range(20)]
+    order = sorted(range(20), key=lambda i: (history[i][1], i))
+    parts = order[:5], order[5:]
+
+    def density(seen, x, low, high, step):
+        grid = range(low, high + 1, step)
+        total = [(0.5 if y in (low, high) else 1.0) / (len(grid) - 1) for y in grid][(x - low) // step]
+        width = max((high - low) / (1 + len(seen)), step)
+        for v in seen:
+            total += math.exp(-((x - v) ** 2) / (2 * width**2)) / sum(math.exp(-((y - v) ** 2) / (2 * width**2)) for y in grid)
+        return total / (1 + len(seen))
+
+    for seed in range(30):
+        got = search.propose(history, space, random.Random(seed))
+        again = random.Random(seed)
+        for name, (low, high, step) in space.items():
+            good, other = ([history[i][0][name] for i in p] for p in parts)
+            grid = list(range(low, high + 1, step))
+            tried = again.choices(grid, weights=[density(good, x, low, high, step) for x in grid], k=24)
+            ratio = {x: density(good, x, low, high, step) / density(other, x, low, high, step) for x in tried}
+            assert ratio[got[name]] == pytest.approx(max(ratio.values()))
+    # most proposals lie where the losses are low
+    near = [search.propose(history, space, random.Random(s))["a"] for s in range(40)]
+    assert sum(a == 4 for a in near) > 30
+
+
+def test_parzen_search_ends(spark, tmp_path):
+    df = spark.createDataFrame(some_rows(150, 10), SCHEMA)
+    path = str(tmp_path / "p")
+    space = {"max_depth": (1, 3, 1), "num_trees": (1, 6, 1)}
+    parent = search.parzen_search(df, df, FEATURES, path, space, n=6, start=4, label="y")
+    runs = read_runs(spark, f"{path}/runs").filter(F.col("parent_run_id") == parent).orderBy("run_id").collect()
+    assert [r["params"]["kind"] for r in runs] == ["drawn"] * 4 + ["proposed"] * 2
+    assert all(1 <= int(r["params"]["max_depth"]) <= 3 and 1 <= int(r["params"]["num_trees"]) <= 6 for r in runs)
+    history = [({c: int(r["params"][c]) for c in space}, -r["metrics"]["auc_score"]) for r in runs]
+    rng = random.Random(search.SEED)
+    for k in (4, 5):
+        assert search.propose(history[:k], space, rng) == history[k][0]
+    last = search.run_scores(spark, path, runs[-1]["run_id"], df, FEATURES, "y")
+    want = {r["metric"]: r["value"] for r in classification_report(last, score="probability_1").collect()}
+    assert want == pytest.approx(runs[-1]["metrics"])
