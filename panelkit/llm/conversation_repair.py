@@ -102,6 +102,12 @@ def ordered_rows(conversations: DataFrame) -> DataFrame:
     return stage(told.select(_ID, "turn", "role", "sha", "initial", fault.alias("fault"), "pos"), "faults")
 
 
+def _key() -> Column:
+    """What tells a row by conversation, turn, role and text: one value, never null, so that texts move by it once."""
+    place = F.to_json(F.struct(_ID, "turn", "role"), {"ignoreNullFields": "false"})
+    return F.unhex(F.sha2(F.concat(place, F.hex("sha")), 256))
+
+
 def _block(pos: str = "pos") -> Column:
     return F.shiftright(pos, BLOCK_BITS)
 
@@ -166,7 +172,7 @@ def _paths(rows: Iterator[tuple]) -> Iterator[tuple]:
             yield (conv, block, pos, s, t, inserts, len(places), *counts)
 
 
-_EDITS = "pos bigint, audit string, long boolean, head string, role_out string, tail string"
+_EDITS = "pos bigint, audit string, long boolean, head string, role_out string, tail string, key binary"
 
 
 def _text_of(roles: list[str]) -> str | None:
@@ -175,34 +181,34 @@ def _text_of(roles: list[str]) -> str | None:
 
 
 def _edits(rows: Iterator[tuple]) -> Iterator[tuple]:
-    """The letters of each row's edits, the lines inserted before it and, at the end of a conversation, behind it, and the
-    role of its own line, '' for its own role. A segment's states come before its rows."""
+    """The letters of each row's edits, the lines inserted before it and, at the end of a conversation, behind it; of a row
+    that stays the role of its line and its key. A segment's states come before its rows."""
     for (_, conv, _), group in groupby(_told(rows), key=lambda r: (r[0], r[1], r[2])):
         part = [r[3:] for r in group]
         (s, t, inserts, n_segments), places = part[0][:4], part[1:]
-        kinds = [turn_edits.row_kind(initial, _KIND[fault]) for _, initial, fault in places]
-        for i, ((pos, _, _), kind) in enumerate(zip(places, kinds, strict=True)):
+        kinds = [turn_edits.row_kind(initial, _KIND[fault]) for _, initial, fault, _, _ in places]
+        for i, ((pos, _, _, own, key), kind) in enumerate(zip(places, kinds, strict=True)):
             if i == 0:
                 ways = turn_edits.crossings(kinds, s, t)
             a, b = next(ways)
             audit = turn_edits.moves(kind)[a, b][1]
             made = list(turn_edits.lines(a, audit))
-            role = {"K": "", "R": made[-1][1], "D": None}[audit[-1]]
+            role = {"K": own, "R": made[-1][1], "D": None}[audit[-1]]
             closing = "I" * inserts if i == len(places) - 1 else ""
             behind = [r for _, r in turn_edits.lines(b, closing)]
             head, tail = _text_of([r for _, r in made[:-1]]), _text_of(behind)
-            yield conv, pos, audit + closing, n_segments > 1, head, role, tail
+            yield conv, pos, audit + closing, n_segments > 1, head, role, tail, None if role is None else key
 
 
 def _told(rows: Iterator[tuple]) -> Iterator[tuple]:
     """Rows with the block, conversation and number of their segment; the row of its states is the first."""
     number = 0
-    for block, conv, pos, is_row, initial, fault, before, behind, tail, n_segments in rows:
+    for block, conv, pos, is_row, initial, fault, role, key, before, behind, tail, n_segments in rows:
         if not is_row:
             number += 1
             yield block, conv, number, before, behind, tail, n_segments
         else:
-            yield block, conv, number, pos, initial, fault
+            yield block, conv, number, pos, initial, fault, role, key
 
 
 class Repair:
@@ -236,22 +242,19 @@ class Repair:
     def _joined(self) -> tuple[DataFrame, DataFrame]:
         states = ["before", "behind", "tail", "n_segments"]
         told = self.paths.select("block", _ID, "pos", F.lit(False).alias("is_row"), *states)
-        rows = self.rows.select(_block().alias("block"), _ID, "pos", F.lit(True).alias("is_row"), "initial", "fault")
+        own = ["initial", "fault", "role", "key"]
+        rows = self.rows.withColumn("key", _key()).select(_block().alias("block"), _ID, "pos", F.lit(True).alias("is_row"), *own)
         both = rows.unionByName(told, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", "pos", "is_row")
-        names = ["block", _ID, "pos", "is_row", "initial", "fault", *states]
-        edits = _stream(both.select(*names), _edits, _with(self.rows, _EDITS))
-        key = self.rows.select("pos", "turn", "role", "sha")
-        edits = stage(edits.join(key, "pos"), "edits")
-        # a line that stays is the only one of its conversation with this role and text, so its text is found by them
-        texts = _rows(self.conversations).dropDuplicates([_ID, "turn", "role", "sha"])
-        kept = edits.filter(F.col("role_out").isNotNull())
-        same = [kept[c].eqNullSafe(texts[c]) for c in (_ID, "turn")] + [kept[c] == texts[c] for c in ("role", "sha")]
-        found = kept.join(texts, same).select(kept["pos"], texts["text"])
-        own = F.when(F.col("role_out") == "", F.col("role")).otherwise(F.col("role_out"))
-        full = edits.join(found, "pos", "left")
-        line = F.when(F.col("role_out").isNotNull(), F.concat(own, F.lit(":"), F.col("text")))
-        data = F.when(F.coalesce("head", line, "tail").isNotNull(), F.concat_ws("\n", "head", line, "tail"))
-        pieces = full.select(_ID, "pos", "audit", "long", data.alias("data"))
+        names = ["block", _ID, "pos", "is_row", *own, *states]
+        edits = stage(_stream(both.select(*names), _edits, _with(self.rows, _EDITS)), "edits")
+        # a line that stays is the only one of its conversation with this role and text; equal rows have one text
+        texts = _rows(self.conversations).select(_key().alias("key"), "text").dropDuplicates(["key"])
+        kept = edits.filter(F.col("key").isNotNull()).join(texts, "key")
+        gone = edits.filter(F.col("key").isNull())
+        line = F.concat("role_out", F.lit(":"), "text")
+        said = kept.select(_ID, "pos", "audit", "long", F.concat_ws("\n", "head", line, "tail").alias("data"))
+        rest = F.when(F.coalesce("head", "tail").isNotNull(), F.concat_ws("\n", "head", "tail"))
+        pieces = said.unionByName(gone.select(_ID, "pos", "audit", "long", rest.alias("data")))
         return pieces.filter(F.col("data").isNotNull()).select(_ID, "pos", "data"), pieces
 
     @property
