@@ -14,6 +14,8 @@ marks and the characters behind them, and chunks that come again are remembered.
 from __future__ import annotations
 
 import hashlib
+import itertools
+import math
 import re
 from functools import cache
 
@@ -26,6 +28,7 @@ from panelkit.llm.batches import Memory, map_texts
 # Fixed value: the character that stands for a space in pieces.
 MARK = "▁"
 _CHUNK = re.compile(rf"{MARK}+[^{MARK}]*|^[^{MARK}]+")
+_SPACED = re.compile(r" +[^ ]*")
 # Checked pairs that a task remembers before it forgets them; longer chunks are not remembered; texts in bytes that are
 # handled at a time.
 PAIRS, LONGEST_KEY, LOT = 150_000, 64, 1 << 20
@@ -45,6 +48,7 @@ class Codec:
         special = {i for i in range(n) if model.is_control(i) or model.is_unknown(i) or model.is_unused(i)}
         self.special = special
         self.ids = {p: i for i, p in enumerate(self.surface) if i not in special and i not in self.byte_of}
+        self.whole = frozenset(self.ids.values())  # neither bytes nor special
         self.score = {p: model.get_score(i) for p, i in self.ids.items()}
         if len(self.byte_of) != 256 or any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError(f"not a vocabulary of the expected kind: {path}")
@@ -52,11 +56,16 @@ class Codec:
             if model.decode(model.encode(probe)) != probe:
                 raise ValueError(f"the vocabulary normalises texts: {path}")
         self.length = [len(p) for p in self.surface]
+        self.decimal = [str(i) for i in range(n)]
+        reached = {p: i for p, i in self.ids.items() if self.merge(p) == [i]}  # others are never given
         self.automaton = ahocorasick.Automaton()
-        for p, i in self.ids.items():
-            if self.merge(p) == [i]:  # a piece that merging cannot reach is never given
-                self.automaton.add_word(p, i)
+        # of each piece the longest shorter one that it starts with, -1 if there is none
+        self.shorter = [-1] * n
+        for p, i in reached.items():
+            self.automaton.add_word(p, i)
+            self.shorter[i] = next((reached[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in reached), -1)
         self.automaton.make_automaton()
+        self.characters = frozenset(p for p in self.ids if len(p) == 1)
         self.pairs: dict[int, bool] = {}
         # ids of a chunk as decimal text, and its decoded text where that is another one
         self.chunks, self.changed = Memory(), Memory()
@@ -66,15 +75,17 @@ class Codec:
 
         Characters without a piece stay as they are."""
         parts = list(text)
-        while True:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                score = self.score.get(parts[i] + parts[i + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, i
-            if best is None:
-                return [self.ids.get(p, p) for p in parts]
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        score, none = self.score.get, -math.inf
+        scores = [score(a + b, none) for a, b in itertools.pairwise(parts)]
+        while scores and (best := max(scores)) > none:
+            i = scores.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del scores[i]
+            if i:
+                scores[i - 1] = score(parts[i - 1] + parts[i], none)
+            if i < len(scores):
+                scores[i] = score(parts[i] + parts[i + 1], none)
+        return [self.ids.get(p, p) for p in parts]
 
     def fits(self, left: int, right: int) -> bool:
         """True if merging the two pieces alone gives them again."""
@@ -90,33 +101,35 @@ class Codec:
     def _run(self, text: str) -> list[int]:
         """Pieces of a text all of whose characters have one."""
         n = len(text)
-        found: list[list[int]] = [[] for _ in range(n)]  # by start, the longest last
-        length = self.length
+        length, shorter, known = self.length, self.shorter, self.pairs.get
+        longest = [-1] * (n + 1)  # by start; found by their ends, so the longest comes last
         for last, piece in self.automaton.iter(text):
-            found[last + 1 - length[piece]].append(piece)
+            longest[last + 1 - length[piece]] = piece
         given_up = bytearray(n // 8 + 1)
         pieces: list[int] = []
-        tried: list[int] = []  # of the place behind each piece: how many of its candidates are used up
-        at, used = 0, 0
+        at, before, piece = 0, -1, longest[0]
         while at < n:
-            here = found[at]
-            while used < len(here):
-                used += 1
-                piece = here[-used]
+            while piece >= 0:
                 to = at + length[piece]
-                if not given_up[to >> 3] >> (to & 7) & 1 and (not pieces or self.fits(pieces[-1], piece)):
-                    pieces.append(piece)
-                    tried.append(used)
-                    at, used = to, 0
-                    break
+                if not given_up[to >> 3] >> (to & 7) & 1:
+                    fit = before < 0 or known(before << 32 | piece)
+                    if self.fits(before, piece) if fit is None else fit:
+                        break
+                piece = shorter[piece]
             else:
                 given_up[at >> 3] |= 1 << (at & 7)
-                at -= length[pieces.pop()]
-                used = tried.pop()
+                last = pieces.pop()
+                at -= length[last]
+                before, piece = pieces[-1] if pieces else -1, shorter[last]
+                continue
+            pieces.append(piece)
+            at, before, piece = to, piece, longest[to]
         return pieces
 
     def encode_chunk(self, chunk: str) -> list[int]:
         """Ids of a chunk. A character without a piece never merges, so it parts the chunk, and gives its bytes."""
+        if self.characters.issuperset(chunk):
+            return self._run(chunk)
         out: list[int] = []
         start = 0
         for i, char in enumerate(chunk):
@@ -129,6 +142,8 @@ class Codec:
     def decode(self, ids: list[int]) -> str:
         """Text of a sequence of ids; control ids give nothing, the first mark goes, bytes that are no UTF-8 give a
         replacement character each."""
+        if self.whole.issuperset(ids):
+            return "".join([self.surface[i] for i in ids]).removeprefix(MARK).replace(MARK, " ")
         out: list[str] = []
         data = bytearray()
         for i in [*ids, -1]:
@@ -144,31 +159,36 @@ class Codec:
         return text.removeprefix(MARK).replace(MARK, " ")
 
     def _learn(self, chunks: list[str]) -> None:
-        """Remember chunks: their ids as decimal text, and how they are decoded with all their spaces, if not as they
-        are: of what is decoded, the mark put in front is the one that goes."""
-        ids = [self.encode_chunk(c) for c in chunks]
-        self.chunks.learn(chunks, [" ".join(map(str, i)).encode() for i in ids])
-        decoded = [self.decode([self.ids[MARK], *i]) for i in ids]
-        other = {c: d for c, d in zip(chunks, decoded, strict=True) if d != c.replace(MARK, " ")}
+        """Remember chunks, with spaces for their marks: their ids as decimal text, and how they are decoded with all their
+        spaces, if not as they are: of what is decoded, the mark put in front is the one that goes."""
+        digits, other = [], {}
+        for c in chunks:
+            ids = self.encode_chunk(c.replace(" ", MARK))
+            digits.append(" ".join([self.decimal[i] for i in ids]).encode())
+            decoded = self.decode([self.ids[MARK], *ids])
+            if decoded != c:
+                other[c] = decoded
+        self.chunks.learn(chunks, digits)
         self.changed.learn(other, other.values())
 
     def digest(self, texts: list[str | None]) -> list:
         """Number of ids (with the end id), hash of the ids, hash of the decoded text, of each text."""
         sizes, id_hashes, text_hashes = [], [], []
         end = str(self.end).encode()
-        cut = [_CHUNK.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        # marks of a text are spaces to the codec; chunks keep spaces, as texts of one byte a character are handled faster
+        spaced = [" " + t.replace(MARK, " ") if t else "" for t in texts]
+        cut = [_SPACED.findall(t) for t in spaced]
         new = list(set().union(*cut).difference(self.chunks))
         self._learn(new)
         get, changed = self.chunks.__getitem__, self.changed
-        for chunks in cut:
+        for text, chunks in zip(spaced, cut, strict=True):
             ids = b" ".join([*map(get, chunks), end])
             sizes.append(ids.count(b" ") + 1)
             id_hashes.append(hashlib.sha256(ids).hexdigest())
             # the mark that encoding puts before a text is the one that decoding takes away
             some = changed and not changed.keys().isdisjoint(chunks)
-            whole = "".join([changed.get(c) or c.replace(MARK, " ") for c in chunks] if some else chunks)
-            decoded = whole[1:] if some else whole.replace(MARK, " ")[1:]
-            text_hashes.append(hashlib.sha256(decoded.encode("utf-8")).hexdigest())
+            decoded = "".join([changed.get(c) or c for c in chunks]) if some else text
+            text_hashes.append(hashlib.sha256(decoded[1:].encode("utf-8")).hexdigest())
         long = [c for c in new if len(c) > LONGEST_KEY]
         self.chunks.drop(long)
         self.changed.drop(c for c in long if c in self.changed)

@@ -75,6 +75,22 @@ def test_pieces_as_the_library_has_them(texts):
             assert b == hashlib.sha256(model.decode(ids).encode()).hexdigest()
 
 
+def test_chunks_are_remembered_in_one_byte_a_character():
+    """A task remembers more of them in the same memory, and a text with a mark of its own is as one with a space."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model, ours = sentencepiece.SentencePieceProcessor(model_file=path), sentencepiece_codec.Codec(path)
+    part = ["some words  of a text", "a▁mark ▁ here", " ", "▁", "ends with "]
+    assert ours.digest(part)[0] == [len(model.encode(t, add_eos=True)) for t in part]
+    assert len(ours.chunks) > 5 and all(c.isascii() for c in ours.chunks)
+
+
+def test_shorter_pieces_are_known_beforehand():
+    ours = sentencepiece_codec.Codec(public_tokenizers.path("piece_bpe_32k.model"))
+    for p, i in list(ours.ids.items())[::50]:
+        shorter = [ours.ids[p[:k]] for k in range(1, len(p)) if p[:k] in ours.ids and ours.merge(p[:k]) == [ours.ids[p[:k]]]]
+        assert ours.shorter[i] == (shorter[-1] if shorter else -1) or ours.merge(p) != [i]
+
+
 def test_decoding_of_any_ids():
     path = public_tokenizers.path("piece_bpe_32k.model")
     model, ours = sentencepiece.SentencePieceProcessor(model_file=path), sentencepiece_codec.Codec(path)
