@@ -28,3 +28,17 @@ def test_customers_are_dealt_out_before_their_months(spark, tmp_path):
     spark.createDataFrame(orders, "o_orderdate string").coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
     sizes = adapters.people(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
     assert len(sizes) > 4 and sum(r["count"] for r in sizes) == 480
+
+
+def test_lines_are_dealt_out_by_their_number_before_they_meet_their_orders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(adapters, "LINES_OF_TASK", 50, raising=False)
+    tables = {
+        "orders": ([(o, o % 5, "1997-01-05") for o in range(200)], "o_orderkey long, o_custkey long, o_orderdate string"),
+        "lineitem": ([(o, 1, 1, 2.0, "R") for o in range(200) for _ in range(2)], "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, l_returnflag string"),
+        "supplier": ([(1, "s")], "s_suppkey long, s_name string"),
+        "part": ([(1, "p")], "p_partkey long, p_name string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    sizes = [r["count"] for r in adapters.points(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 400 and max(sizes) < 150
