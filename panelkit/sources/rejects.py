@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.functions import period_key
+from panelkit.operators.keys import KEYS
 from panelkit.sources.raw import ID, SCANS
 
 REJECTS = "source string, file string, reason string, record string"
@@ -55,6 +56,8 @@ def scan(
     )
     told = rows.withColumn("_reason", reason)
     good = told.filter(F.col("_reason").isNull()).select(*[v.alias(c) for c, v in typed.items()])
+    if source == "people":  # dealt out as ``read_people`` does it, before anything sorts them
+        good = good.repartition(*KEYS)
     record = F.to_json(F.struct(*[c for c in stored.columns if c != _LINE]), {"ignoreNullFields": "false"})
     record = F.coalesce(F.col(_LINE), record) if source == "events" else record
     bad = told.filter(F.col("_reason").isNotNull())

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from panelkit.operators.keys import dedup_first
+from panelkit.sources import rejects
 from panelkit.sources.raw import read_people
 from queryset import adapters
 
@@ -30,6 +31,16 @@ def test_customers_are_dealt_out_before_their_months(spark, tmp_path):
     assert len(sizes) > 4 and sum(r["count"] for r in sizes) == 480
 
 
+def test_rows_of_a_spine_read_with_rejects_are_sorted_behind_the_shuffle_only(spark, tmp_path):
+    path = str(tmp_path / "people")
+    person, month = (F.col("id") % 7).cast("string").alias("distinct_id"), F.lit("202401").alias("yyyymm")
+    spark.range(100).select(person, F.col("id").cast("int").alias("age"), F.lit("F").alias("gender"), month).write.parquet(path)
+    kept = dedup_first(rejects.scan(spark, "people", path, "bigint")[0])
+    above, below = plan_of(kept).split("Exchange hashpartitioning", 1)
+    assert "Sort" in above and "Sort" not in below and "Exchange" not in below
+    assert sorted(r["age"] for r in kept.collect()) == list(range(7))
+
+
 def test_lines_are_dealt_out_by_their_number_before_they_meet_their_orders(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(adapters, "LINES_OF_TASK", 50, raising=False)
     tables = {
