@@ -56,6 +56,15 @@ def test_lines_are_dealt_out_by_their_number_before_they_meet_their_orders(spark
     assert sum(sizes) == 400 and max(sizes) < 150
 
 
+def test_parts_are_told_once_and_stored(spark):
+    rows = [(i, "202401", 20 + i % 7, "FM"[i % 2], i % 5, i % 3) for i in range(60)]
+    panel = spark.createDataFrame(rows, "distinct_id long, yyyymm string, age int, gender string, sum_total_points long, lag_sum_total long")
+    train, test, _ = model.prepare(panel)
+    assert "md5" not in plan_of(train) + plan_of(test) and "split" not in train.columns
+    assert {r[0] for r in train.select("distinct_id").collect()}.isdisjoint(r[0] for r in test.select("distinct_id").collect())
+    assert train.count() + test.count() == 60
+
+
 def test_rows_are_dealt_out_by_their_number_before_a_forest(spark):
     rows = spark.range(1000).select(F.lit(1.0).alias("same"), "id").coalesce(1)
     dealt = model.dealt_out(rows, 100)
