@@ -1,12 +1,15 @@
 """Work is spread over tasks whose size follows the rows, not the bytes of the files."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from panelkit.operators.keys import dedup_first
 from panelkit.plans import model
 from panelkit.sources import rejects
 from panelkit.sources.raw import read_people
-from queryset import adapters
+from panelkit.sources.staging import new_folder, stage, tidy
+from queryset import adapters, registry
 
 
 def plan_of(df):
@@ -72,3 +75,41 @@ def test_rows_are_dealt_out_by_their_number_before_a_forest(spark):
     assert sum(sizes) == 1000 and max(sizes) < 250
     assert dealt.columns == ["same", "id"] and dealt.select("id").distinct().count() == 1000
     assert model.dealt_out(rows, 1000).rdd.getNumPartitions() == 1
+
+
+def shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for f in blocks.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f and f.endswith(".data")}
+
+
+def test_written_results_leave_no_shuffle_files(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffle_files(spark), spark.conf.get(key)
+    groups = spark.range(1000).groupBy((F.col("id") % 9).alias("k")).count()
+    kept = stage(groups, "groups")
+    with tidy(spark):
+        groups.write.parquet(new_folder(spark, "groups"))
+    for _ in range(50):
+        if shuffle_files(spark) <= before:
+            break
+        time.sleep(0.1)  # they are removed beside the query
+    assert shuffle_files(spark) <= before and spark.conf.get(key) == setting
+    assert sorted(r["count"] for r in kept.collect()) == [111] * 8 + [112]
+    assert sorted(r["count"] for r in groups.collect()) == [111] * 8 + [112]
+
+
+def test_reranked_runs_build_the_panel_once(spark, monkeypatch):
+    rows = [(p, int(p % 3 > 0)) for p in (0, 1, 19, 20, 49, 50, 99, 100, 150)]
+    made = []
+
+    def training(*_):
+        made.append(1)
+        return spark.createDataFrame(rows, "sum_total_points long, label int")
+
+    monkeypatch.setattr(registry, "training_set", training)
+    found = {r["threshold"]: r for r in registry.runs_reranked(spark, "").collect()}
+    assert len(made) == 1 and len(found) == 4
+    for t in registry.RULE_THRESHOLDS:
+        right = sum((p >= t) == (y == 1) for p, y in rows) / len(rows)
+        assert found[str(t)]["accuracy"] == round(right, 9)
+    assert sum(r["best"] for r in found.values()) == 1
