@@ -1,6 +1,7 @@
 """Forest, scores, stored models, search."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from panelkit.operators.encode import index_name
 from panelkit.plans import model, search
@@ -132,3 +133,35 @@ def test_trials_are_judged_on_each_different_row_once(spark, parts):
         report = search.classification_report(model.score(fitted, part, keys=[]), score="probability_1")
         lines = {r.metric: r.value for r in report.collect()}
         assert {m: metrics[prefix + m] for m in ("auc", "auc_score")} == pytest.approx({m: lines[m] for m in ("auc", "auc_score")})
+
+
+def test_many_equal_rows_are_drawn_in_lots_that_add_up(spark):
+    sizes = {0: 1, 1: 256, 2: 300, 3: 10_000, 4: 1_000_003}
+    groups = spark.createDataFrame([(k, 1.0, n) for k, n in sizes.items()], "features int, labelIndex double, n long").coalesce(1)
+    told = model.lots(groups, 1_000)
+    found = {r.features: r for r in told.groupBy("features").agg(F.sum("_weight").alias("n"), F.count("*").alias("lots"), F.max("_weight").alias("most")).collect()}
+    assert {k: r.n for k, r in found.items()} == sizes
+    assert {k: r.lots for k, r in found.items()} == {0: 1, 1: 256, 2: 256, 3: 625, 4: 62_501}
+    assert all(r.most <= 16 for r in found.values()) and {found[0].most, found[1].most} == {1.0}
+    hot = told.filter("features = 4").groupBy(F.spark_partition_id()).count().count()
+    assert hot > 1 and told.columns == ["features", "labelIndex", "_weight"]
+
+
+def test_a_forest_of_grouped_rows_is_that_of_all_rows(parts, monkeypatch):
+    train, test = parts
+    many = train
+    for _ in range(3):
+        many = many.unionByName(many)
+    whole = {"max_depth": 3, "num_trees": 1, "bootstrap": False, "featureSubsetStrategy": "all"}
+    plain, drawn = model.train_forest(many, **whole), model.train_forest(many)
+    weighted = model.train_forest(many.withColumn("w", F.lit(2.0)), weightCol="w", **whole)
+    monkeypatch.setattr(model, "FIT_ROWS", 50)
+    monkeypatch.setattr(model, "ALONE", 4)
+    grouped = model.train_forest(many, **whole)
+    assert grouped.getOrDefault("weightCol") == "_weight"
+    assert grouped.toDebugString.split("\n", 1)[1] == plain.toDebugString.split("\n", 1)[1]
+    assert _scores(model.score(grouped, test)) == _scores(model.score(plain, test))
+    again = model.train_forest(many.withColumn("w", F.lit(2.0)), weightCol="w", **whole)
+    assert _scores(model.score(again, test)) == _scores(model.score(weighted, test))
+    sure = [[r.prediction for r in model.score(m, test).orderBy("distinct_id", "yyyymm").collect()] for m in (drawn, model.train_forest(many))]
+    assert sum(a == b for a, b in zip(*sure, strict=True)) / len(sure[0]) > 0.9
