@@ -165,3 +165,15 @@ def test_a_forest_of_grouped_rows_is_that_of_all_rows(parts, monkeypatch):
     assert _scores(model.score(again, test)) == _scores(model.score(weighted, test))
     sure = [[r.prediction for r in model.score(m, test).orderBy("distinct_id", "yyyymm").collect()] for m in (drawn, model.train_forest(many))]
     assert sum(a == b for a, b in zip(*sure, strict=True)) / len(sure[0]) > 0.9
+
+
+def test_a_search_over_many_rows_keeps_their_different_ones_only(spark, parts, tmp_path, monkeypatch):
+    train, test = parts
+    for place in (model, search):
+        monkeypatch.setattr(place, "FIT_ROWS", 50)
+    staged = []
+    monkeypatch.setattr(search, "stage", lambda df, name: staged.append(name) or stage(df, name))
+    path = str(tmp_path / "search")
+    parent = search.random_search(train, test, path, space={"max_depth": (2, 3, 1), "num_trees": (2, 4, 1)}, n=2)
+    assert staged == ["alike", "alike"]
+    assert all(r.auc > 0.8 and r.negative_auc == -r.auc for r in search.leaderboard(spark, path, parent).collect())
